@@ -13,6 +13,7 @@ from soukwise.plans import business, catalogue, history, insights, merges
 from soukwise.session import materialise, new_folder, settle
 from soukwise.sources import documents, lake
 from soukwise.sources.model import Marketplace, discounts
+from soukwise.sources.tables import stream_table
 from soukwise.streaming import events as event_streams
 from soukwise.streaming import stock as stock_stream
 
@@ -106,14 +107,14 @@ def events_month_pruned(m):
 @query
 def events_flat(m):
     path = new_folder(m.spark, "event-documents")
-    documents.as_documents(m.clickstream()).write.json(path)
+    documents.write_documents(documents.as_documents(m.clickstream()), path)
     return documents.events_flat(documents.read_events(m.spark, path))
 
 
 @query
 def scans_clean(m):
     path = new_folder(m.spark, "scan-documents")
-    documents.scan_documents(m.scans()).write.json(path)
+    documents.write_documents(documents.scan_documents(m.scans()), path)
     return (documents.read_scans(m.spark, path)
             .select("tracking_no", "order_id", "station", F.col("timestamp").alias("scanned_at")))
 
@@ -590,7 +591,7 @@ def stock_order_atomic(m):
 @query
 def stream_ingest(m):
     source, out = new_folder(m.spark, "arrivals"), new_folder(m.spark, "events")
-    documents.as_documents(m.clickstream()).write.json(source)
+    documents.write_documents(documents.as_documents(m.clickstream()), source)
     # All files of one folder come in a single late-free batch; see streaming tests for late rows.
     event_streams.ingest(m.spark, source, out, new_folder(m.spark, "progress"),
                          files_per_batch=100_000).awaitTermination()
@@ -599,12 +600,6 @@ def stream_ingest(m):
         "product_id", "revenue", "source", "event_month")
 
 
-def _table_stream(m: Marketplace, name: str) -> DataFrame:
-    from soukwise.sources.tables import SCHEMAS
-    return (m.spark.readStream.schema(SCHEMAS[name]).option("pathGlobFilter", f"{name}.parquet")
-            .parquet(m.folder))
-
-
 class _Live(Marketplace):
     """The same model with one table read as a stream."""
 
@@ -613,7 +608,7 @@ class _Live(Marketplace):
         self.live = live
 
     def table(self, name: str) -> DataFrame:
-        return _table_stream(self, name) if name == self.live else super().table(name)
+        return stream_table(self.spark, self.folder, name) if name == self.live else super().table(name)
 
 
 @query

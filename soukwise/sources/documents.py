@@ -25,6 +25,11 @@ SCAN_DOCUMENT = """
 """
 
 
+def write_documents(df: DataFrame, path: str) -> None:
+    """JSON lines; times keep their microseconds."""
+    df.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+
+
 def read_events(spark: SparkSession, path: str, keep_raw: bool = False) -> DataFrame:
     """Event documents. ``keep_raw`` adds the text of each line, so that fields outside the
     schema are not lost."""

@@ -26,6 +26,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(folder, name))
 
 
+def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The same table as a stream. The pattern lets it be one file or a folder of files."""
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parque[t]")
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, bounds: tuple[int, int],
               partitions: int, **options: str) -> DataFrame:
     """Relational extract straight from a database, split into ranges of a numeric key."""

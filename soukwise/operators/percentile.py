@@ -1,8 +1,8 @@
 """Exact interpolated percentiles of whole numbers, per group.
 
 The built-in exact percentile keeps all distinct values of a group in one buffer.
-This one counts equal values first, then coarse ranges of ``width``, and looks
-inside only the ranges that hold the wanted positions.
+This one starts from counted values, sums them over coarse ranges of ``width``, and
+looks inside only the ranges that hold the wanted positions.
 """
 
 from __future__ import annotations
@@ -11,28 +11,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def percentile_hundredths(df: DataFrame, group: str, value: str, percent: int, width: int) -> DataFrame:
+def percentile_hundredths(counted: DataFrame, group: str, value: str, weight: str, percent: int,
+                          width: int) -> DataFrame:
     """(group, hundredths): the percentile times 100, a whole number, nothing rounded.
 
-    The position is percent * (n - 1) / 100, counted from zero.
+    ``counted`` holds each value of a group with the number of rows that have it. It
+    is read twice, so it should be a stored table. The position is
+    percent * (n - 1) / 100, counted from zero.
     """
-    counted = (df.where(F.col(value).isNotNull())
-               .groupBy(group, F.floor(F.col(value) / width).alias("_range"), value)
-               .agg(F.count("*").alias("_n")))
+    values = (counted.where(F.col(value).isNotNull())
+              .withColumn("_range", F.call_function("div", F.col(value), F.lit(width)))
+              .groupBy(group, "_range", value).agg(F.sum(weight).alias("_n")))
     upto = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
     position = F.lit(percent) * (F.col("_total") - 1)
-    low = F.call_function("div", position, F.lit(100))
-    ranges = (counted.groupBy(group, "_range").agg(F.sum("_n").alias("_rows"))
+    ranges = (values.groupBy(group, "_range").agg(F.sum("_n").alias("_rows"))
               .withColumn("_before", F.sum("_rows").over(upto) - F.col("_rows"))
               .withColumn("_total", F.sum("_rows").over(Window.partitionBy(group)))
-              .withColumn("_low", low).withColumn("_part", position % 100)
+              .withColumn("_low", F.call_function("div", position, F.lit(100)))
+              .withColumn("_part", position % 100)
               # The next position counts only when the wanted one lies between two rows.
               .withColumn("_high", F.col("_low") + F.when(F.col("_part") > 0, 1).otherwise(0))
               .where((F.col("_before") <= F.col("_high"))
                      & (F.col("_low") < F.col("_before") + F.col("_rows"))))
     inner = (Window.partitionBy(group, "_range").orderBy(value)
              .rowsBetween(Window.unboundedPreceding, 0))
-    seen = (counted.join(ranges, [group, "_range"])
+    seen = (values.join(ranges, [group, "_range"])
             .withColumn("_end", F.col("_before") + F.sum("_n").over(inner))
             .withColumn("_begin", F.col("_end") - F.col("_n")))
 

@@ -12,6 +12,7 @@ Order keys and ids must be numbers below 2**53 in size, the ids unique.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,14 +53,18 @@ def find_ranges(df: DataFrame, keys: list[str], id_col: str, buckets: int = BUCK
     return out
 
 
-def _piece_counts(df: DataFrame, key: str) -> list[tuple[int, int, int]]:
-    """(piece, slot, rows), in order. Bounded by the square of the bucket count."""
-    rows = (df.groupBy("_piece", "_slot")
-            .agg(F.count("*").alias("n"), F.max(F.abs(F.col(key).cast("double"))).alias("size"))
-            .collect())
-    if any(r["size"] is not None and r["size"] >= 2 ** 53 for r in rows):
-        raise ValueError(f"order key {key} exceeds 2**53; rank it in coarser units")
-    return sorted((r["_piece"], r["_slot"], r["n"]) for r in rows)
+def _piece_counts(placed: dict[str, DataFrame]) -> dict[str, list[tuple[int, int, int]]]:
+    """(piece, slot, rows) in order, for each order key. Bounded by the square of the bucket count."""
+    parts = [df.groupBy("_piece", "_slot")
+             .agg(F.count("*").alias("n"), F.max(F.abs(F.col(key).cast("double"))).alias("size"))
+             .select(F.lit(key).alias("key"), "_piece", "_slot", "n", "size")
+             for key, df in placed.items()]
+    out: dict[str, list] = {key: [] for key in placed}
+    for row in reduce(DataFrame.unionByName, parts).collect():
+        if row["size"] is not None and row["size"] >= 2 ** 53:
+            raise ValueError(f"order key {row['key']} exceeds 2**53; rank it in coarser units")
+        out[row["key"]].append((row["_piece"], row["_slot"], row["n"]))
+    return {key: sorted(counts) for key, counts in out.items()}
 
 
 def global_ranks(df: DataFrame, key: str, id_col: str, descending: bool = False,
@@ -72,7 +77,7 @@ def global_ranks(df: DataFrame, key: str, id_col: str, descending: bool = False,
     df = materialise(df.withColumn("_key", F.negate(F.col(key)) if descending else F.col(key)))
     ranges = find_ranges(df, ["_key"], id_col, buckets)["_key"]
     placed = ranges.place(df, "_key", id_col)
-    counts = _piece_counts(placed, "_key")
+    counts = _piece_counts({"_key": placed})["_key"]
 
     total = sum(n for _, _, n in counts)
     per_piece: dict[int, int] = {}
@@ -112,26 +117,19 @@ def _tile_ends(total: int, tiles: int) -> list[int]:
     return ends
 
 
-def _rows_at(df: DataFrame, key: str, id_col: str, ranges: Ranges,
-             positions: list[int]) -> list[tuple]:
-    """(key, id) of the rows at the given 1-based positions of the global order."""
-    placed = ranges.place(df, key, id_col)
-    wanted, seen = {}, 0
-    for piece, slot, n in _piece_counts(placed, key):
-        for position in positions:
-            if seen < position <= seen + n:
-                wanted.setdefault((piece, slot), []).append(position - seen)
+def _border_rows(placed: DataFrame, key: str, id_col: str, counts: list[tuple[int, int, int]],
+                 positions: list[int]) -> DataFrame:
+    """(id, key) of the rows at the given 1-based positions of the global order."""
+    hit, inside, seen = F.lit(False), F.lit(False), 0
+    for piece, slot, n in counts:
+        local = [p - seen for p in positions if seen < p <= seen + n]
+        if local:
+            here = (F.col("_piece") == piece) & (F.col("_slot") == slot)
+            hit, inside = hit | here, inside | (here & F.col("_at").isin(local))
         seen += n
-    if not wanted:
-        return []
-    hit, inside = F.lit(False), F.lit(False)
-    for (piece, slot), local in wanted.items():
-        here = (F.col("_piece") == piece) & (F.col("_slot") == slot)
-        hit, inside = hit | here, inside | (here & F.col("_at").isin(local))
     order = Window.partitionBy("_piece", "_slot").orderBy(key, id_col)
-    rows = (placed.where(hit).withColumn("_at", F.row_number().over(order)).where(inside)
-            .select(key, id_col).collect())
-    return sorted((r[0], r[1]) for r in rows)
+    return (placed.where(hit).withColumn("_at", F.row_number().over(order)).where(inside)
+            .select(id_col, key))
 
 
 def ntiles(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]], id_col: str,
@@ -143,18 +141,28 @@ def ntiles(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]], id_col:
     table itself is never shuffled.
     """
     order = {out: f"_order_{out}" for out in keys}
-    signed = {order[out]: F.negate(F.col(c)) if desc else F.col(c) for out, (c, desc) in keys.items()}
-    df = materialise(df.withColumns(signed))
+    df = materialise(df.withColumns({
+        order[out]: F.negate(F.col(c)) if desc else F.col(c) for out, (c, desc) in keys.items()}))
     ranges = find_ranges(df, list(order.values()), id_col, buckets)
-    ends = _tile_ends(df.count(), tiles)
+    placed = {key: ranges[key].place(df, key, id_col) for key in order.values()}
+    counts = _piece_counts(placed)
+    total = sum(n for _, _, n in next(iter(counts.values())))
+    ends = _tile_ends(total, tiles)
+
+    # Every key fills its own column, so that no value changes its type on the way.
+    parts = [_border_rows(placed[key], key, id_col, counts[key], [e for e in ends if e > 0])
+             for key in order.values()]
+    columns = [id_col, *order.values()]
+    borders = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    found = borders.select(*columns).collect()
 
     def tile(out: str) -> Column:
-        borders = _rows_at(df, order[out], id_col, ranges[order[out]], [e for e in ends if e > 0])
-        empty = sum(1 for e in ends if e == 0)
-        result = F.lit(1 + empty)
-        for value, ident in borders:
-            col = F.col(order[out])
-            result = result + F.when((col > value) | ((col == value) & (F.col(id_col) > ident)), 1).otherwise(0)
+        # A tile that ends before the first row is empty.
+        result, col = F.lit(1 + sum(1 for e in ends if e == 0)), F.col(order[out])
+        for row in found:
+            if row[order[out]] is not None:
+                value, ident = row[order[out]], row[id_col]
+                result = result + F.when((col > value) | ((col == value) & (F.col(id_col) > ident)), 1).otherwise(0)
         return result.cast("int")
 
     return df.withColumns({out: tile(out) for out in keys}).drop(*order.values())

@@ -104,8 +104,9 @@ def allocate_lines(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS,
                    ranges: int = RANGES) -> DataFrame:
     """Line-greedy: in order sequence a line wins if its variant still has enough, else it is skipped."""
     demand = lines.groupBy("variant_id").agg(F.sum("quantity").alias("demand"))
-    known = demand.join(stock.select("variant_id", "on_hand"), "variant_id", "left").select(
-        "variant_id", "demand", F.coalesce(F.col("on_hand"), F.lit(0)).alias("on_hand"))
+    # One row per variant, stored because both branches below look it up.
+    known = materialise(demand.join(stock.select("variant_id", "on_hand"), "variant_id", "left").select(
+        "variant_id", "demand", F.coalesce(F.col("on_hand"), F.lit(0)).alias("on_hand")))
     facts = lines.select("order_id", "variant_id", "quantity").join(known, "variant_id")
     out = ["order_id", "variant_id", "quantity", "accepted"]
 
@@ -113,7 +114,8 @@ def allocate_lines(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS,
     easy = F.col("demand") <= F.col("on_hand")
     hopeless = F.col("quantity") > F.col("on_hand")
     settled = facts.where(easy | hopeless).select(*out[:3], easy.alias("accepted"))
-    contended = facts.where(~easy & ~hopeless).select("variant_id", "order_id", "quantity", "on_hand")
+    contended = materialise(
+        facts.where(~easy & ~hopeless).select("variant_id", "order_id", "quantity", "on_hand"))
 
     hot = hot_keys(contended, "variant_id", hot_rows)
     cold = contended.where(~F.col("variant_id").isin(hot)) if hot else contended

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from soukwise.functions.exact import half_up, money_average, percent, seconds_between, zero_money
 from soukwise.operators.percentile import percentile_hundredths
 from soukwise.operators.ranking import global_ranks, ntiles
+from soukwise.session import materialise
 
 DAY = 86_400
 
@@ -140,11 +141,12 @@ def aov_month_channel(discounted: DataFrame, payments: DataFrame) -> DataFrame:
 def promotion_effect(promotions: DataFrame, discounted: DataFrame) -> DataFrame:
     """Delivered orders with each promotion, next to the average order that used none.
 
-    One grouping serves both: orders without a promotion are the NULL group.
+    One grouping serves both: orders without a promotion are the NULL group. It has a
+    row per promotion and is stored, because it is read twice.
     """
-    per_promo = (delivered(discounted).groupBy("promotion_id")
-                 .agg(F.count("*").alias("orders"), F.sum("total").alias("gross"),
-                      F.sum("discount").alias("discount")))
+    per_promo = materialise(delivered(discounted).groupBy("promotion_id")
+                            .agg(F.count("*").alias("orders"), F.sum("total").alias("gross"),
+                                 F.sum("discount").alias("discount")))
     without = per_promo.agg(F.max(F.when(F.col("promotion_id").isNull(),
                                          money_average(F.col("gross"), F.col("orders")))))
     return (promotions.join(per_promo, "promotion_id", "left")
@@ -157,15 +159,27 @@ def promotion_effect(promotions: DataFrame, discounted: DataFrame) -> DataFrame:
 
 
 def delivery_time(shipments: DataFrame) -> DataFrame:
-    """Shipments per carrier with mean and exact 95th percentile of the days on the road."""
-    sent = (shipments.where(F.col("shipped_at").isNotNull())
-            .select("carrier", "status",
-                    seconds_between(F.col("shipped_at"), F.col("delivered_at")).alias("seconds")))
-    totals = sent.groupBy("carrier").agg(
-        F.count("*").alias("shipments"), F.count_if(F.col("status") == "Delivered").alias("delivered"),
-        F.count_if(F.col("status") == "Failed").alias("failed"),
-        F.sum("seconds").alias("seconds"), F.count("seconds").alias("timed"))
-    p95 = percentile_hundredths(sent, "carrier", "seconds", 95, width=DAY)
+    """Shipments per carrier with mean and exact 95th percentile of the days on the road.
+
+    Shipments are counted by carrier, status and duration in one pass; everything else
+    is read from those counts.
+    """
+    counted = materialise(
+        shipments.where(F.col("shipped_at").isNotNull())
+        .groupBy("carrier", "status",
+                 seconds_between(F.col("shipped_at"), F.col("delivered_at")).alias("seconds"))
+        .agg(F.count("*").alias("n")))
+    n = F.col("n")
+
+    def rows_with(condition: Column) -> Column:
+        return F.sum(F.when(condition, n).otherwise(0))
+
+    totals = counted.groupBy("carrier").agg(
+        F.sum(n).alias("shipments"), rows_with(F.col("status") == "Delivered").alias("delivered"),
+        rows_with(F.col("status") == "Failed").alias("failed"),
+        F.sum(F.col("seconds") * n).alias("seconds"),
+        rows_with(F.col("seconds").isNotNull()).alias("timed"))
+    p95 = percentile_hundredths(counted, "carrier", "seconds", "n", 95, width=DAY)
     return totals.join(p95, "carrier", "left").select(
         "carrier", "shipments", "delivered", "failed",
         half_up(F.col("seconds"), F.col("timed") * DAY).alias("avg_days"),

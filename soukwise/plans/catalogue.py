@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soukwise.functions.exact import half_up
+from soukwise.session import materialise
 
 
 def category_counts(products: DataFrame) -> DataFrame:
@@ -24,11 +25,12 @@ def product_search(products: DataFrame, variants: DataFrame, inventory: DataFram
         listed = listed.where(F.col("category") == category)
     if text:
         listed = listed.where(F.col("product_name").ilike(f"%{text}%"))
-    page = (inventory.select("variant_id", "quantity_on_hand")
-            .join(variants, "variant_id").join(listed, "product_id")
-            .select("product_id", "product_name", "base_price", "category", "shop", "variant_id", "sku",
-                    (F.col("base_price") + F.col("price_adjust")).alias("sell_price"), "quantity_on_hand")
-            .orderBy(F.desc("quantity_on_hand"), "product_id", "variant_id").limit(limit))
+    page = materialise(
+        inventory.select("variant_id", "quantity_on_hand")
+        .join(variants, "variant_id").join(listed, "product_id")
+        .select("product_id", "product_name", "base_price", "category", "shop", "variant_id", "sku",
+                (F.col("base_price") + F.col("price_adjust")).alias("sell_price"), "quantity_on_hand")
+        .orderBy(F.desc("quantity_on_hand"), "product_id", "variant_id").limit(limit))
     rated = (reviews.join(F.broadcast(page.select("product_id").distinct()), "product_id", "left_semi")
              .groupBy("product_id").agg(half_up(F.sum("rating"), F.count("*"), 1).alias("avg_rating")))
     # At most one rating per product of the page.

@@ -40,6 +40,7 @@ def month_category_revenue(lines: DataFrame, products: DataFrame) -> DataFrame:
 
 def monthly_trend(monthly: DataFrame) -> DataFrame:
     """Revenue by month in all and for the leading categories."""
+    monthly = materialise(monthly)
     leaders = (monthly.groupBy("category").agg(F.sum("revenue").alias("r"))
                .orderBy(F.desc("r"), "category").limit(TOP_CATEGORIES).select("category"))
     total = monthly.groupBy("month").agg(F.sum("revenue").alias("revenue")).select(
@@ -88,7 +89,7 @@ def insight_view_revenue(merged: DataFrame, buckets: int = 64) -> DataFrame:
 
 def view_revenue_points(merged: DataFrame) -> DataFrame:
     """Scatter points of the categories with the most such products."""
-    pairs = viewed_and_sold(merged)
+    pairs = materialise(viewed_and_sold(merged))
     biggest = (pairs.groupBy("category").agg(F.count("*").alias("n"))
                .orderBy(F.desc("n"), "category").limit(SCATTER_CATEGORIES).select("category"))
     return pairs.join(biggest, "category", "left_semi").select("product_id", "category", "views", "revenue")

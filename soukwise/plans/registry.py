@@ -27,6 +27,9 @@ EVENT_WINDOW = (datetime(2024, 1, 8), datetime(2024, 1, 22))
 WATCH_VIEWS, WATCH_REVENUE = 10, 500_000
 
 
+DELIVERED = ("Delivered",)
+
+
 def query(build: Callable[[Marketplace], DataFrame]) -> Callable[[Marketplace], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return build(Marketplace(settle(spark), folder))
@@ -121,7 +124,7 @@ def scans_clean(m):
 
 def _product_csv(m: Marketplace) -> str:
     path = new_folder(m.spark, "csv")
-    merged = merges.product_merge_all_status(m.order_lines(), m.products(shop=True), m.clickstream())
+    merged = merges.product_merge_all_status(*_merge_args(m))
     lake.write_csv(merged.orderBy(F.desc("revenue"), "product_id"), path)
     return path
 
@@ -152,22 +155,22 @@ def coerce_numeric(m):
 # ---------------------------------------------------------- business questions
 @query
 def revenue_month_category(m):
-    return business.revenue_month_category(m.order_lines(), m.products())
+    return business.revenue_month_category(m.order_lines(only=DELIVERED), m.products())
 
 
 @query
 def top_sellers_in_range(m):
-    return business.top_sellers_in_range(m.order_lines(), m.products(shop=True), *PERIOD, n=10)
+    return business.top_sellers_in_range(m.order_lines(only=DELIVERED), m.products(shop=True), *PERIOD, n=10)
 
 
 @query
 def rfm(m):
-    return business.rfm(m.order_lines(), m.customers(), AS_OF)
+    return business.rfm(m.order_lines(only=DELIVERED), m.customers(), AS_OF)
 
 
 @query
 def rfm_segments(m):
-    return business.rfm_segments(business.rfm(m.order_lines(), m.customers(), AS_OF))
+    return business.rfm_segments(business.rfm(m.order_lines(only=DELIVERED), m.customers(), AS_OF))
 
 
 @query
@@ -182,21 +185,21 @@ def low_stock(m):
 
 @query
 def seller_scorecard(m):
-    return business.seller_scorecard(m.sellers(), m.products(), m.order_lines(), m.reviews())
+    return business.seller_scorecard(m.sellers(), m.products(), m.order_lines(only=DELIVERED), m.reviews())
 
 
-def _discounted(m: Marketplace) -> DataFrame:
-    return discounts(m.order_totals().select("order_id", "total"), m.orders(), m.promotions())
+def _discounted(m: Marketplace, only: tuple[str, ...] = ()) -> DataFrame:
+    return discounts(m.order_totals().select("order_id", "total"), m.orders(only=only), m.promotions())
 
 
 @query
 def aov_month_channel(m):
-    return business.aov_month_channel(_discounted(m), m.payments())
+    return business.aov_month_channel(_discounted(m, DELIVERED), m.payments())
 
 
 @query
 def promotion_effect(m):
-    return business.promotion_effect(m.promotions(), _discounted(m))
+    return business.promotion_effect(m.promotions(), _discounted(m, DELIVERED))
 
 
 @query
@@ -215,23 +218,23 @@ def low_rating_rate_by_seller(m):
 
 
 # -------------------------------------------------------------------- merges
-def _merge_args(m: Marketplace) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return m.order_lines(), m.products(shop=True), m.clickstream()
+def _merge_args(m: Marketplace, only: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return m.order_lines(only=only), m.products(shop=True), m.clickstream(merges.PRODUCT_EVENTS)
 
 
 @query
 def product_merge(m):
-    return merges.product_merge(*_merge_args(m))
+    return merges.product_merge(*_merge_args(m, DELIVERED))
 
 
 @query
 def high_view_low_sale(m):
-    return merges.high_view_low_sale(merges.product_merge(*_merge_args(m)), WATCH_VIEWS, WATCH_REVENUE)
+    return merges.high_view_low_sale(merges.product_merge(*_merge_args(m, DELIVERED)), WATCH_VIEWS, WATCH_REVENUE)
 
 
 @query
 def top_products_per_category(m):
-    return merges.top_products_per_category(merges.product_merge(*_merge_args(m)))
+    return merges.top_products_per_category(merges.product_merge(*_merge_args(m, DELIVERED)))
 
 
 @query
@@ -246,17 +249,17 @@ def product_merge_all_status(m):
 
 @query
 def funnel(m):
-    return merges.funnel(m.clickstream())
+    return merges.funnel(m.clickstream(merges.FUNNEL_STEPS))
 
 
 @query
 def funnel_max_base(m):
-    return merges.funnel_max_base(m.clickstream())
+    return merges.funnel_max_base(m.clickstream(merges.FUNNEL_STEPS))
 
 
 @query
 def lake_monthly_revenue(m):
-    return merges.lake_monthly_revenue(m.order_lines(), m.products())
+    return merges.lake_monthly_revenue(m.order_lines(only=DELIVERED), m.products())
 
 
 @query
@@ -287,7 +290,7 @@ def hourly_platform(m):
 
 @query
 def engagement(m):
-    return merges.engagement(m.clickstream())
+    return merges.engagement(m.clickstream(merges.PRODUCT_EVENTS))
 
 
 @query
@@ -297,12 +300,12 @@ def event_stats(m):
 
 # ------------------------------------------------------------------ insights
 def _monthly(m: Marketplace) -> DataFrame:
-    return insights.month_category_revenue(m.order_lines(), m.products())
+    return insights.month_category_revenue(m.order_lines(only=DELIVERED), m.products())
 
 
 @query
 def insight_funnel(m):
-    return insights.insight_funnel(m.clickstream())
+    return insights.insight_funnel(m.clickstream(merges.FUNNEL_STEPS))
 
 
 @query
@@ -388,7 +391,7 @@ def customer_list(m):
 
 @query
 def inventory_lookup(m):
-    asked = m.orders().where(F.col("status").isin("Pending", "Confirmed")).select("order_id")
+    asked = m.orders(only=("Pending", "Confirmed")).select("order_id")
     wanted = m.bare_lines().join(asked, "order_id", "left_semi").select("variant_id")
     return catalogue.inventory_lookup(m.inventory(), wanted)
 
@@ -405,7 +408,7 @@ def user_history(m):
 
 @query
 def events_by_type_range(m):
-    return history.events_by_type_range(m.clickstream(), "product_view", *EVENT_WINDOW)
+    return history.events_by_type_range(m.clickstream(("product_view",)), "product_view", *EVENT_WINDOW)
 
 
 @query
@@ -488,16 +491,16 @@ def orders_with_lines(m):
 
 @query
 def review_eligible(m):
-    return integrity.review_eligible(m.reviews(), m.order_lines())
+    return integrity.review_eligible(m.reviews(), m.order_lines(only=DELIVERED))
 
 
 @query
 def review_rejected(m):
-    return integrity.review_rejected(m.reviews(), m.order_lines())
+    return integrity.review_rejected(m.reviews(), m.order_lines(only=DELIVERED))
 
 
 def _affected(m: Marketplace) -> DataFrame:
-    reviews, lines = m.reviews(), m.order_lines()
+    reviews, lines = m.reviews(), m.order_lines(only=DELIVERED)
     return integrity.affected_sellers(integrity.review_eligible(reviews, lines),
                                       integrity.review_rejected(reviews, lines), m.products())
 
@@ -509,7 +512,7 @@ def affected_sellers(m):
 
 @query
 def seller_rating(m):
-    accepted = integrity.review_eligible(m.reviews(), m.order_lines())
+    accepted = integrity.review_eligible(m.reviews(), m.order_lines(only=DELIVERED))
     everyone = m.sellers().select("seller_id")
     return integrity.seller_rating(everyone, accepted, m.products())
 

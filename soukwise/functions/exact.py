@@ -42,7 +42,7 @@ def percent(part: Column, base: Column, digits: int = 2) -> Column:
 def money_average(total: Column, n: Column) -> Column:
     """Average of a decimal amount over ``n`` rows, rounded to cents, as DECIMAL."""
     units = _half_up_units(cents(total), n * 100, 2)
-    return (units.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
+    return (units.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(22,2)")
 
 
 def zero_money() -> Column:

@@ -11,54 +11,39 @@ Order keys and ids must be numbers below 2**53 in size, the ids unique.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from soukwise.operators.skew import split_points, with_bucket
+from soukwise.operators.skew import split_points, with_buckets
 from soukwise.session import materialise
 
 BUCKETS = 64
 
 
-@dataclass(frozen=True)
-class Ranges:
-    """Where one order key is cut, and how many rows lie in each piece."""
-
-    points: list[float]
-    frequent: list[float]
-    id_points: list[float]
-
-    def place(self, df: DataFrame, key: str, id_col: str, prefix: str = "_") -> DataFrame:
-        """Add the range code and, for frequent values, the id range."""
-        band, piece, slot = f"{prefix}band", f"{prefix}piece", f"{prefix}slot"
-        placed = with_bucket(with_bucket(df, key, self.points, band), id_col, self.id_points, slot)
-        # A frequent value opens its band, so it comes before the rest of the band.
-        is_frequent = (F.col(key).cast("double").isin(self.frequent) if self.frequent else F.lit(False))
-        return placed.withColumns({
-            piece: F.col(band) * 2 + F.when(is_frequent, 0).otherwise(1),
-            slot: F.when(is_frequent, F.col(slot)).otherwise(F.lit(0)),
-        }).drop(band)
-
-
-def find_ranges(df: DataFrame, keys: list[str], id_col: str, buckets: int = BUCKETS) -> dict[str, Ranges]:
-    """Cut points of several order keys and the id, from one pass."""
-    *key_points, id_points = split_points(df, [*keys, id_col], buckets)
+def _place(df: DataFrame, keys: list[str], id_col: str, buckets: int) -> dict[str, DataFrame]:
+    """For each order key the frame with ``_piece``, the range of the key, and ``_slot``, the range
+    of the id inside a range that holds one frequent value."""
+    points = dict(zip([*keys, id_col], split_points(df, [*keys, id_col], buckets)))
+    placed = with_buckets(df, points)
     out = {}
-    for key, points in zip(keys, key_points):
-        frequent = sorted({p for p in points if points.count(p) > 1})
-        out[key] = Ranges(sorted(set(points)), frequent, sorted(set(id_points)))
+    for key in keys:
+        # A probe found twice is a value that fills a whole range. It opens its range, so it
+        # comes before the rest of it.
+        frequent = sorted({p for p in points[key] if points[key].count(p) > 1})
+        is_frequent = f"double(`{key}`) in ({', '.join(f'{v!r}D' for v in frequent)})" if frequent else "false"
+        out[key] = placed.selectExpr(
+            *[f"`{c}`" for c in df.columns],
+            f"int(`_in_{key}`) * 2 + if({is_frequent}, 0, 1) as _piece",
+            f"if({is_frequent}, int(`_in_{id_col}`), 0) as _slot")
     return out
 
 
 def _piece_counts(placed: dict[str, DataFrame]) -> dict[str, list[tuple[int, int, int]]]:
     """(piece, slot, rows) in order, for each order key. Bounded by the square of the bucket count."""
-    parts = [df.groupBy("_piece", "_slot")
-             .agg(F.count("*").alias("n"), F.max(F.abs(F.col(key).cast("double"))).alias("size"))
-             .select(F.lit(key).alias("key"), "_piece", "_slot", "n", "size")
-             for key, df in placed.items()]
+    parts = [df.groupBy("_piece", "_slot").agg(F.expr("count(*) as n"), F.expr(f"max(abs(double(`{key}`))) as size"))
+             .selectExpr(f"'{key}' as key", "_piece", "_slot", "n", "size") for key, df in placed.items()]
     out: dict[str, list] = {key: [] for key in placed}
     for row in reduce(DataFrame.unionByName, parts).collect():
         if row["size"] is not None and row["size"] >= 2 ** 53:
@@ -75,9 +60,8 @@ def global_ranks(df: DataFrame, key: str, id_col: str, descending: bool = False,
     of the tied rows as a share of all rows.
     """
     df = materialise(df.withColumn("_key", F.negate(F.col(key)) if descending else F.col(key)))
-    ranges = find_ranges(df, ["_key"], id_col, buckets)["_key"]
-    placed = ranges.place(df, "_key", id_col)
-    counts = _piece_counts({"_key": placed})["_key"]
+    placed = _place(df, ["_key"], id_col, buckets)
+    counts = _piece_counts(placed)["_key"]
 
     total = sum(n for _, _, n in counts)
     per_piece: dict[int, int] = {}
@@ -98,7 +82,7 @@ def global_ranks(df: DataFrame, key: str, id_col: str, descending: bool = False,
         F.count("*").over(Window.partitionBy("_piece", "_slot", "_key")))
     rank = F.when(single, F.col("_first") + 1).otherwise(
         F.col("_start") + F.rank().over(within.orderBy("_key")))
-    return (placed.join(offsets, ["_piece", "_slot"])
+    return (placed["_key"].join(offsets, ["_piece", "_slot"])
             .withColumns({
                 "row_number": F.col("_start") + F.row_number().over(within.orderBy("_key", id_col)),
                 "rank": rank,
@@ -120,16 +104,17 @@ def _tile_ends(total: int, tiles: int) -> list[int]:
 def _border_rows(placed: DataFrame, key: str, id_col: str, counts: list[tuple[int, int, int]],
                  positions: list[int]) -> DataFrame:
     """(id, key) of the rows at the given 1-based positions of the global order."""
-    hit, inside, seen = F.lit(False), F.lit(False), 0
+    pieces, places, seen = ["false"], ["false"], 0
     for piece, slot, n in counts:
-        local = [p - seen for p in positions if seen < p <= seen + n]
+        local = sorted({p - seen for p in positions if seen < p <= seen + n})
         if local:
-            here = (F.col("_piece") == piece) & (F.col("_slot") == slot)
-            hit, inside = hit | here, inside | (here & F.col("_at").isin(local))
+            here = f"_piece = {piece} and _slot = {slot}"
+            pieces.append(f"({here})")
+            places.append(f"({here} and _at in ({', '.join(map(str, local))}))")
         seen += n
-    order = Window.partitionBy("_piece", "_slot").orderBy(key, id_col)
-    return (placed.where(hit).withColumn("_at", F.row_number().over(order)).where(inside)
-            .select(id_col, key))
+    order = f"row_number() over (partition by _piece, _slot order by `{key}`, `{id_col}`) as _at"
+    return (placed.where(" or ".join(pieces)).selectExpr("*", order)
+            .where(" or ".join(places)).select(id_col, key))
 
 
 def ntiles(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]], id_col: str,
@@ -141,28 +126,22 @@ def ntiles(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]], id_col:
     table itself is never shuffled.
     """
     order = {out: f"_order_{out}" for out in keys}
-    df = materialise(df.withColumns({
-        order[out]: F.negate(F.col(c)) if desc else F.col(c) for out, (c, desc) in keys.items()}))
-    ranges = find_ranges(df, list(order.values()), id_col, buckets)
-    placed = {key: ranges[key].place(df, key, id_col) for key in order.values()}
+    df = materialise(df.selectExpr("*", *[
+        f"{'-' if desc else ''}`{c}` as `{order[out]}`" for out, (c, desc) in keys.items()]))
+    placed = _place(df, list(order.values()), id_col, buckets)
     counts = _piece_counts(placed)
     total = sum(n for _, _, n in next(iter(counts.values())))
     ends = _tile_ends(total, tiles)
 
     # Every key fills its own column, so that no value changes its type on the way.
-    parts = [_border_rows(placed[key], key, id_col, counts[key], [e for e in ends if e > 0])
-             for key in order.values()]
-    columns = [id_col, *order.values()]
-    borders = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    found = borders.select(*columns).collect()
+    parts = [_border_rows(placed[key], key, id_col, counts[key], ends) for key in order.values()]
+    borders = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).collect()
 
-    def tile(out: str) -> Column:
+    def tile(out: str) -> str:
         # A tile that ends before the first row is empty.
-        result, col = F.lit(1 + sum(1 for e in ends if e == 0)), F.col(order[out])
-        for row in found:
-            if row[order[out]] is not None:
-                value, ident = row[order[out]], row[id_col]
-                result = result + F.when((col > value) | ((col == value) & (F.col(id_col) > ident)), 1).otherwise(0)
-        return result.cast("int")
-
-    return df.withColumns({out: tile(out) for out in keys}).drop(*order.values())
+        key, base = order[out], 1 + sum(1 for e in ends if e == 0)
+        steps = [f"if(`{key}` > {row[key]} or (`{key}` = {row[key]} and `{id_col}` > {row[id_col]}), 1, 0)"
+                 for row in borders if row[key] is not None]
+        return f"int({' + '.join([str(base), *steps])}) as `{out}`"
+
+    return df.selectExpr(*[f"`{c}`" for c in df.columns if c not in order.values()], *[tile(out) for out in keys])

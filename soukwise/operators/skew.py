@@ -26,13 +26,16 @@ def split_points(df: DataFrame, columns: list[str], buckets: int) -> list[list[f
     return [list(points) for points in found]
 
 
-def with_bucket(df: DataFrame, column: str, points: list[float], out: str) -> DataFrame:
-    """Range bucket of a numeric column, a pure function of its value."""
-    edges = [float("-inf"), *sorted(set(points)), float("inf")]
-    as_double = f"{out}_key"
-    return (Bucketizer(splits=edges, inputCol=as_double, outputCol=out)
-            .transform(df.withColumn(as_double, F.col(column).cast("double"))).drop(as_double)
-            .withColumn(out, F.col(out).cast("int")))
+def with_buckets(df: DataFrame, points: dict[str, list[float]], prefix: str = "_in_") -> DataFrame:
+    """Range bucket of numeric columns, a pure function of their values.
+
+    Adds ``prefix + column`` for every column in ``points``.
+    """
+    columns = list(points)
+    wide = df.selectExpr("*", *[f"double(`{c}`) as `_double_{c}`" for c in columns])
+    cut = Bucketizer(splitsArray=[[float("-inf"), *sorted(set(points[c])), float("inf")] for c in columns],
+                     inputCols=[f"_double_{c}" for c in columns], outputCols=[f"{prefix}{c}" for c in columns])
+    return cut.transform(wide).drop(*[f"_double_{c}" for c in columns])
 
 
 def running_sums(df: DataFrame, group: str, order: str, values: dict[str, str],
@@ -48,8 +51,10 @@ def running_sums(df: DataFrame, group: str, order: str, values: dict[str, str],
         frame = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({out: F.sum(src).over(frame) for src, out in values.items()})
 
-    ranged = with_bucket(df, range_on or order, points, "_range").withColumn(
-        "_range", F.when(F.col(group).isin(hot), F.col("_range")).otherwise(F.lit(0)))
+    axis = range_on or order
+    ranged = with_buckets(df, {axis: points}).withColumn(
+        "_range", F.when(F.col(group).isin(hot), F.col(f"_in_{axis}").cast("int")).otherwise(F.lit(0))
+    ).drop(f"_in_{axis}")
     totals = (ranged.where(F.col(group).isin(hot)).groupBy(group, "_range")
               .agg(*[F.sum(src).alias(f"_{src}") for src in values]))
     earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,15 +8,20 @@ on_hand); a variant without a stock row has nothing to give.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from soukwise.operators.skew import HOT_ROWS, hot_keys, running_sums, split_points
 from soukwise.session import materialise
 
 RANGES = 256
+# Lines that one task may settle in sequence.
+SHORT = 50_000
 
 
 def one_line_per_order(lines: DataFrame) -> DataFrame:
@@ -131,49 +136,98 @@ def allocate_lines(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS,
 
 
 # ----------------------------------------------------------- order by order
-def allocate_orders(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS,
-                    ranges: int = RANGES) -> DataFrame:
+def _round(work: DataFrame, hot: list, points: list[float]) -> DataFrame:
+    """Decide what can be decided: adds ``lost`` and closes the lines of winners."""
+    quantity, is_open = F.col("quantity"), F.col("open")
+    split = work.withColumns({"_open": F.when(is_open, quantity).otherwise(0),
+                              "_won": F.when(is_open, 0).otherwise(quantity)})
+    summed = running_sums(split, "variant_id", "order_id", {"_open": "open_to", "_won": "won_to"}, hot, points)
+    # The running sums include the row itself, as an open line.
+    fits_after_all = F.col("won_to") + F.col("open_to") <= F.col("on_hand")
+    fits_after_winners = F.col("won_to") + quantity <= F.col("on_hand")
+    verdict = (summed.where("open").groupBy("order_id")
+               .agg(F.bool_and(fits_after_all).alias("_wins"), F.bool_and(fits_after_winners).alias("_may_win")))
+    return work.join(verdict, "order_id", "left").select(
+        "order_id", "variant_id", "quantity", "on_hand",
+        (is_open & ~F.coalesce(F.col("_wins"), F.lit(False)) & F.coalesce(F.col("_may_win"), F.lit(True)))
+        .alias("open"),
+        (~F.coalesce(F.col("_may_win"), F.lit(True))).alias("lost"))
+
+
+def _between_open(work: DataFrame) -> tuple[DataFrame, int]:
+    """Only what still matters to an open line, and how many lines that is.
+
+    Winners ahead of a variant's first open line are taken off its stock, winners
+    behind its last one and variants without an open line are left out.
+    """
+    span = work.where("open").groupBy("variant_id").agg(F.min("order_id").alias("_first"),
+                                                        F.max("order_id").alias("_last"))
+    near = work.join(span, "variant_id")
+    spent = (near.where(F.col("order_id") < F.col("_first")).groupBy("variant_id")
+             .agg(F.sum("quantity").alias("_spent")))
+    count = Observation()
+    kept = (near.where(F.col("order_id").between(F.col("_first"), F.col("_last")))
+            .join(spent, "variant_id", "left")
+            .select("order_id", "variant_id", "quantity",
+                    (F.col("on_hand") - F.coalesce("_spent", F.lit(0))).alias("on_hand"), "open")
+            .observe(count, F.count("*").alias("lines")))
+    return materialise(kept), count.get["lines"]
+
+
+def _serve_orders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Serve a short remainder in sequence; gives the orders that lose."""
+    lines = pd.concat(list(batches)).sort_values("order_id", kind="stable")
+    left: dict[int, int] = {}
+    lost = []
+    columns = (lines[c].tolist() for c in ("order_id", "variant_id", "quantity", "on_hand", "open"))
+    for order, own in groupby(zip(*columns), key=itemgetter(0)):
+        need = list(own)
+        if all(not is_open or quantity <= left.get(variant, on_hand) for _, variant, quantity, on_hand, is_open in need):
+            for _, variant, quantity, on_hand, _ in need:
+                left[variant] = left.get(variant, on_hand) - quantity
+        else:
+            lost.append(order)
+    yield pd.DataFrame({"order_id": pd.Series(lost, dtype="int64")})
+
+
+def allocate_orders(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS, ranges: int = RANGES,
+                    short: int = SHORT) -> DataFrame:
     """Order-atomic: an order wins if all its lines fit what earlier winners left, else it takes nothing.
 
     Solved in rounds. An open order wins if it fits even when every earlier open
     order wins, and loses if it does not fit even when none of them does. The
-    earliest open order is always decided, in practice nearly all are at once.
+    earliest open order is always decided; in practice each round decides about
+    half of the rest. Once no more than ``short`` lines matter, one task settles them.
     """
     demand = lines.groupBy("variant_id").agg(F.sum("quantity").alias("demand"))
     known = demand.join(stock.select("variant_id", "on_hand"), "variant_id", "left").select(
         "variant_id", "demand", F.coalesce(F.col("on_hand"), F.lit(0)).alias("on_hand"))
     # Variants that cover their whole demand restrict nobody.
     scarce = known.where(F.col("demand") > F.col("on_hand")).select("variant_id", "on_hand")
-    orders = lines.select("order_id").distinct()
-    undecided = materialise(lines.select("order_id", "variant_id", "quantity").join(scarce, "variant_id")
-                            .withColumn("open", F.lit(True)))
-    hot = hot_keys(undecided, "variant_id", hot_rows)
-    points = split_points(undecided, ["order_id"], ranges)[0] if hot else []
-    contested = undecided.select("order_id").distinct()
-
-    work = undecided
+    work = materialise(lines.select("order_id", "variant_id", "quantity").join(scarce, "variant_id")
+                       .withColumn("open", F.lit(True)))
+    hot = hot_keys(work, "variant_id", hot_rows)
+    points = split_points(work, ["order_id"], ranges)[0] if hot else []
+
+    losers = []
     while True:
-        quantity, is_open = F.col("quantity"), F.col("open")
-        split = work.withColumns({"_open": F.when(is_open, quantity).otherwise(0),
-                                  "_won": F.when(is_open, 0).otherwise(quantity)})
-        summed = running_sums(split, "variant_id", "order_id", {"_open": "open_to", "_won": "won_to"},
-                              hot, points)
-        # Running sums include the row itself, once as an open line.
-        safe = F.col("won_to") + F.col("open_to") <= F.col("on_hand")
-        possible = F.col("won_to") + quantity <= F.col("on_hand")
-        verdict = (summed.where("open").groupBy("order_id")
-                   .agg(F.bool_and(safe).alias("wins"), F.bool_and(possible).alias("may_win")))
-        decided = work.join(verdict, "order_id", "left")
-        # Losers leave; winners stay as taken stock.
-        work = materialise(decided.where(F.coalesce(F.col("may_win"), F.lit(True))).select(
-            "order_id", "variant_id", "quantity", "on_hand",
-            (is_open & ~F.coalesce(F.col("wins"), F.lit(False))).alias("open")))
-        if work.where("open").isEmpty():
+        count = Observation()
+        decided = materialise(_round(work, hot, points).observe(
+            count, F.count_if("open").alias("open"), F.count_if(~F.col("lost")).alias("kept")))
+        losers.append(decided.where("lost").select("order_id"))
+        # Losers leave; winners stay as taken stock. A loser is never open again.
+        work = decided.where(~F.col("lost")).drop("lost")
+        still_open, kept = count.get["open"], count.get["kept"]
+        if still_open == 0:
             break
-    winners = work.select("order_id").distinct().withColumn("_won", F.lit(True))
-    return (orders.join(contested.withColumn("_contested", F.lit(True)), "order_id", "left")
-            .join(winners, "order_id", "left")
-            .select("order_id", (F.col("_contested").isNull() | F.col("_won").isNotNull()).alias("accepted")))
+        if still_open * 4 < kept or still_open <= short:
+            work, kept = _between_open(work)
+            if kept <= short:
+                losers.append(work.repartition(1).mapInPandas(_serve_orders, "order_id bigint"))
+                break
+    lost = reduce(DataFrame.union, losers).distinct().withColumn("_lost", F.lit(True))
+    return (lines.select("order_id").distinct().join(lost, "order_id", "left")
+            .select("order_id", F.col("_lost").isNull().alias("accepted")))
 
 
 # ------------------------------------------------------------------ restock

@@ -63,6 +63,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once into the checkpoint folder: survives lost executors, cuts lineage."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once into a Parquet table in the shared folder and read it back.
+
+    This survives lost executors and cuts the lineage. Unlike an RDD checkpoint the
+    table can be read by column, and its size is known to the join planning after it.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

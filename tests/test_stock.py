@@ -69,12 +69,12 @@ def test_line_by_line(spark, name, hot_rows):
     assert {(r["order_id"], r["variant_id"]): r["accepted"] for r in rows} == greedy(lines, on_hand)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10 ** 9], ids=["split", "whole"])
+@pytest.mark.parametrize("hot_rows,short", [(1, 0), (10 ** 9, 0), (10 ** 9, 60)], ids=["split", "whole", "short end"])
 @pytest.mark.parametrize("name", CASES)
-def test_order_by_order(spark, name, hot_rows):
+def test_order_by_order(spark, name, hot_rows, short):
     lines, on_hand = CASES[name]
     result = stock.allocate_orders(spark.createDataFrame(lines, LINES),
-                                   spark.createDataFrame(list(on_hand.items()), STOCK), hot_rows, ranges=8)
+                                   spark.createDataFrame(list(on_hand.items()), STOCK), hot_rows, 8, short)
     assert {r["order_id"]: r["accepted"] for r in result.collect()} == atomic(lines, on_hand)
 
 

@@ -465,24 +465,12 @@ select cast(event_id as varchar) as event_id, session_id, user_id, event_type, {
     "stream_event_stats": "select event_type, count(*) as events from clickstream group by event_type",
     "stream_hourly": f"""
 select {ts("date_trunc('hour', ts)")} as hour_start, platform, count(*) as events from clickstream group by 1, 2""",
-    "stream_stock": """
-with recursive queue as materialized (
-    select variant_id, cast(quantity as bigint) as quantity,
-           row_number() over (partition by variant_id order by order_id, quantity) as i from fact_order_line),
-walk(i, variant_id, quantity, accepted, rest) as (
-    select q.i, q.variant_id, q.quantity, q.quantity <= coalesce(s.quantity_on_hand, 0),
-           coalesce(s.quantity_on_hand, 0)
-             - case when q.quantity <= coalesce(s.quantity_on_hand, 0) then q.quantity else 0 end
-    from queue q left join inventory s on s.variant_id = q.variant_id where q.i = 1
-    union all
-    select q.i, q.variant_id, q.quantity, q.quantity <= w.rest,
-           w.rest - case when q.quantity <= w.rest then q.quantity else 0 end
-    from walk w join queue q on q.variant_id = w.variant_id and q.i = w.i + 1)
-select variant_id, count(*) as lines, count(*) filter (where accepted) as accepted,
-       cast(coalesce(sum(quantity) filter (where accepted), 0) as bigint) as units, min(rest) as left from walk
-group by variant_id""",
 }
 
+_TEXTS["stream_stock"] = (
+    _TEXTS["stock_line_greedy"].replace("select order_id, variant_id, quantity, accepted from walk", "")
+    + """select variant_id, count(*) as lines, count(*) filter (where accepted) as accepted,
+       cast(coalesce(sum(quantity) filter (where accepted), 0) as bigint) as units from walk group by variant_id""")
 _TEXTS["rfm_segments"] = (
     _TEXTS["rfm"].replace("select customer_id, full_name, province, recency, frequency, cast(monetary as double) as monetary,",
                           ", tagged as (select monetary,").replace(" r, f, m,\n       case", "\n       case")

@@ -52,11 +52,10 @@ def care_queue(reviews: DataFrame, products: DataFrame, orders: DataFrame, max_r
 
 
 # ------------------------------------------------------------ orders, money
-def order_totals(totals: DataFrame, discounted: DataFrame) -> DataFrame:
-    """Sum of the lines, discount and amount due per order."""
-    due = discounted.select("order_id", "discount")
-    return totals.join(due, "order_id").select(
-        "order_id", "units", "total", "discount", (F.col("total") - F.col("discount")).alias("amount_due"))
+def order_totals(discounted: DataFrame) -> DataFrame:
+    """Units, sum of the lines, discount and amount due per order."""
+    return discounted.select("order_id", "units", "total", "discount",
+                             (F.col("total") - F.col("discount")).alias("amount_due"))
 
 
 def price_drift(lines: DataFrame, variants: DataFrame, products: DataFrame) -> DataFrame:

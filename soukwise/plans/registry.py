@@ -189,7 +189,7 @@ def seller_scorecard(m):
 
 
 def _discounted(m: Marketplace, only: tuple[str, ...] = ()) -> DataFrame:
-    return discounts(m.order_totals().select("order_id", "total"), m.orders(only=only), m.promotions())
+    return discounts(m.order_totals(), m.orders(only=only), m.promotions())
 
 
 @query
@@ -529,7 +529,7 @@ def order_discount(m):
 
 @query
 def order_totals(m):
-    return integrity.order_totals(m.order_totals(), _discounted(m))
+    return integrity.order_totals(_discounted(m))
 
 
 @query
@@ -633,12 +633,11 @@ def stream_hourly(m):
 @query
 def stream_stock(m):
     out = new_folder(m.spark, "served")
-    lines = _Live(m, "lineitem").bare_lines().withColumn("quantity", F.col("quantity").cast("bigint"))
-    stock_stream.run_allocate(lines, _on_hand(m), out, new_folder(m.spark, "progress")).awaitTermination()
-    return m.spark.read.parquet(out).groupBy("variant_id").agg(
+    stock_stream.run_batches(_Live(m, "lineitem").bare_lines(), _on_hand(m), out,
+                             new_folder(m.spark, "progress")).awaitTermination()
+    return stock_stream.served(m.spark, out).groupBy("variant_id").agg(
         F.count("*").alias("lines"), F.count_if("accepted").alias("accepted"),
-        F.sum(F.when(F.col("accepted"), F.col("quantity")).otherwise(0)).alias("units"),
-        F.min("left").alias("left"))
+        F.sum(F.when(F.col("accepted"), F.col("quantity")).otherwise(0)).alias("units"))
 
 
 # ------------------------------------------------------------------ catalogue

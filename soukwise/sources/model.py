@@ -233,14 +233,15 @@ class Marketplace:
 
 def discounts(totals: DataFrame, orders: DataFrame, promotions: DataFrame,
               enforce_window: bool = False) -> DataFrame:
-    """Discount per order: the promotion's share of the total, at most its cap."""
-    offer = promotions.select("promotion_id", "discount_pct", "max_discount", "start_date", "end_date")
-    joined = totals.join(orders.select("order_id", "promotion_id", "order_date", "status"), "order_id")
+    """Order totals with the order's head and its discount: the promotion's share of the total,
+    at most its cap."""
+    offer = promotions.select(F.col("promotion_id").alias("_offer"), "discount_pct", "max_discount",
+                              "start_date", "end_date")
     # Most orders have no promotion. Each of those gets a key of its own that matches
     # nothing, so that they do not meet in one task if the join has to shuffle.
     spread = F.coalesce(F.col("promotion_id"), -1 - F.col("order_id"))
-    joined = (joined.withColumn("_offer", spread)
-              .join(offer.withColumnRenamed("promotion_id", "_offer"), "_offer", "left"))
+    joined = (totals.join(orders.select("order_id", "promotion_id", "order_date", "status"), "order_id")
+              .withColumn("_offer", spread).join(offer, "_offer", "left"))
     usable = F.col("discount_pct").isNotNull()
     if enforce_window:
         usable &= F.col("order_date").cast("date").between(F.col("start_date"), F.col("end_date"))
@@ -248,5 +249,5 @@ def discounts(totals: DataFrame, orders: DataFrame, promotions: DataFrame,
                             F.lit(10000).cast("decimal(38,0)"))
     amount = F.least((share.cast("decimal(20,0)") * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY),
                      F.col("max_discount"))
-    return joined.select("order_id", "promotion_id", "order_date", "status", "total",
+    return joined.select(*totals.columns, "promotion_id", "order_date", "status",
                          F.when(usable, amount).otherwise(F.lit(0).cast(MONEY)).alias("discount"))

@@ -13,6 +13,7 @@ LATENESS = "10 minutes"
 
 def with_defaults(documents: DataFrame) -> DataFrame:
     """Fill in what a live client left out and mark where the event came from."""
+    # What an event without these branches is taken to be.
     device = F.struct(F.lit("desktop_web").alias("platform"), F.lit(None).cast("string").alias("os_version"),
                       F.lit(None).cast("string").alias("app_version"))
     geo = F.struct(F.lit("VN").alias("country"), F.lit("Ha Noi").alias("province"))

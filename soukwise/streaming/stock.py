@@ -1,14 +1,24 @@
-"""Stock as keyed state: lines arrive, each variant remembers what is left."""
+"""Stock under arriving lines: what is left carries over from batch to batch.
+
+Two forms. Keyed state answers with low latency, and one task sees all lines of a
+variant that a trigger read. The batch form serves every micro-batch with the
+distributed rule, which splits variants too big for one task, and keeps the stock as
+a table.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from soukwise.operators.skew import HOT_ROWS
+from soukwise.operators.stock import allocate_lines, one_line_per_order
+
 RESULT = "variant_id bigint, order_id bigint, quantity bigint, accepted boolean, left bigint"
 
 
@@ -42,3 +52,33 @@ def run_allocate(lines: DataFrame, stock: DataFrame, out: str, checkpoint: str,
     return (allocate(lines, stock).writeStream.format("parquet").option("path", out)
             .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(**(trigger or {"availableNow": True})).start())
+
+
+# ------------------------------------------------------------- batch by batch
+def served(spark: SparkSession, out: str) -> DataFrame:
+    """All decided lines, with the number of the batch that decided them."""
+    return spark.read.option("basePath", f"{out}/lines").parquet(f"{out}/lines/batch=*")
+
+
+def _serve_batch(stock: DataFrame, out: str, hot_rows: int):
+    """Serve one batch from the stock the batch before it left. A repeated batch starts from
+    the same stock and replaces its own output."""
+    def serve(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        held = stock if batch_id == 0 else spark.read.parquet(f"{out}/stock/batch={batch_id - 1}")
+        decided = allocate_lines(one_line_per_order(batch), held, hot_rows)
+        decided.write.mode("overwrite").parquet(f"{out}/lines/batch={batch_id}")
+        taken = (spark.read.parquet(f"{out}/lines/batch={batch_id}").where("accepted")
+                 .groupBy("variant_id").agg(F.sum("quantity").alias("taken")))
+        left = F.col("on_hand") - F.coalesce("taken", F.lit(0))
+        (held.join(taken, "variant_id", "left").select("variant_id", left.alias("on_hand"))
+         .write.mode("overwrite").parquet(f"{out}/stock/batch={batch_id}"))
+    return serve
+
+
+def run_batches(lines: DataFrame, stock: DataFrame, out: str, checkpoint: str, hot_rows: int = HOT_ROWS,
+                **trigger) -> StreamingQuery:
+    """Streaming lines (order_id, variant_id, quantity) against ``stock``, batch by batch."""
+    return (lines.select("order_id", "variant_id", "quantity").writeStream
+            .foreachBatch(_serve_batch(stock, out, hot_rows)).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())

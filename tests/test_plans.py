@@ -65,3 +65,30 @@ def test_no_cross_join_of_tables(spark, data, name):
     """A nested-loop or cartesian join is allowed for one-row sides only, and none is used."""
     text = plan(QUERIES[name](spark, data))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_a_hot_product_is_split_in_the_join(big):
+    """A third of all lines on one product: the join partition is cut at run time."""
+    from pyspark.sql import functions as F
+
+    from soukwise.plans import business
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16"}
+    before = {k: big.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        big.conf.set(key, value)
+    try:
+        lines = big.range(0, 90_000, 1, 8).select(
+            F.col("id").alias("order_id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("product_id"),
+            F.lit("Delivered").alias("status"), F.lit(1).alias("quantity"),
+            F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("order_date"),
+            (F.col("id") % 97).cast("decimal(18,2)").alias("line_revenue"))
+        products = big.range(500).select(F.col("id").alias("product_id"), F.lit("c").alias("category"))
+        result = business.revenue_month_category(lines, products)
+        row = result.collect()[0]
+        assert (row["orders"], row["units"]) == (90_000, 90_000)
+        assert "skew=true" in plan(result)
+    finally:
+        for key, value in before.items():
+            big.conf.set(key, value) if value is not None else big.conf.unset(key)

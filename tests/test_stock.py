@@ -5,7 +5,7 @@ import random
 import pytest
 
 from soukwise.operators import stock
-from soukwise.streaming.stock import run_allocate
+from soukwise.streaming.stock import _serve_batch, run_allocate, run_batches, served
 
 LINES = "order_id bigint, variant_id bigint, quantity bigint"
 STOCK = "variant_id bigint, on_hand bigint"
@@ -113,3 +113,20 @@ def test_streaming_stock_remembers_what_is_left(spark, tmp_path):
     rows = spark.read.parquet(out).collect()
     assert len(rows) == len(lines)
     assert {(r["order_id"], r["variant_id"]): r["accepted"] for r in rows} == greedy(lines, on_hand)
+
+
+def test_stock_batch_by_batch(spark, tmp_path):
+    lines, on_hand = sample(12, orders=60)
+    lines.sort()
+    source, out, progress = (str(tmp_path / n) for n in ("lines", "out", "progress"))
+    held = spark.createDataFrame(list(on_hand.items()), STOCK)
+    for part in (lines[:70], lines[70:]):
+        spark.createDataFrame(part, LINES).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(LINES).parquet(source)
+        run_batches(stream, held, out, progress, hot_rows=20).awaitTermination()
+    # A batch that is delivered again changes nothing.
+    _serve_batch(held, out, 20)(spark.createDataFrame(lines[70:], LINES), 1)
+    # An order whose lines fall into two batches is still served line by line.
+    rows = served(spark, out).collect()
+    assert len(rows) == len(lines)
+    assert {(r["order_id"], r["variant_id"]): r["accepted"] for r in rows} == greedy(lines, on_hand)

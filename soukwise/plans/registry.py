@@ -19,6 +19,7 @@ from soukwise.streaming import stock as stock_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+BUILDERS: dict[str, Callable[[Marketplace], DataFrame]] = {}
 
 # Parameters of the parameterised queries.
 AS_OF = date(2001, 12, 31)
@@ -35,6 +36,7 @@ def query(build: Callable[[Marketplace], DataFrame]) -> Callable[[Marketplace],
         return build(Marketplace(settle(spark), folder))
 
     QUERIES[build.__name__] = run
+    BUILDERS[build.__name__] = build
     return build
 
 
@@ -661,6 +663,12 @@ def query_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "code string, query string, title string")
 
 
+def answer(name: str, m: Marketplace) -> DataFrame:
+    """A query over any marketplace, for instance one with bucketed tables."""
+    settle(m.spark)
+    return BUILDERS[name](m)
+
+
 def run_code(code: str, spark: SparkSession, folder: str, limit: int = 100) -> DataFrame:
     """Answer a business question by its code."""
     if code.upper() not in CODES:

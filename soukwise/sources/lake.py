@@ -35,11 +35,20 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
-    """A table laid out by key: later joins and groupings on the key need no shuffle."""
-    (df.write.mode("overwrite").option("path", path).option("compression", "snappy")
+    """A table laid out by key: later joins and groupings on the key need no shuffle.
+
+    The rows are first spread by the key, so that a bucket is one file, not one per task.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").option("path", path).option("compression", "snappy")
      .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
 
 
+def bucket_facts(lines: DataFrame, orders: DataFrame, prefix: str, root: str, buckets: int) -> None:
+    """Raw lines and orders laid out by order number, for ``CatalogMarketplace``."""
+    write_bucketed(lines, f"{prefix}lineitem", f"{root}/lineitem", "l_orderkey", buckets)
+    write_bucketed(orders, f"{prefix}orders", f"{root}/orders", "o_orderkey", buckets)
+
+
 def write_raw_zone(tables: dict[str, DataFrame], events: DataFrame, root: str) -> None:
     for name, df in tables.items():
         write_table(df, f"{root}/raw/{name}")

@@ -14,6 +14,11 @@ def ratio(num: str, den: str, digits: int = 2) -> str:
             f"// nullif(2 * cast({den} as hugeint), 0) as double) / {scale}.0")
 
 
+def signed_ratio(num: str, den: str, digits: int = 2) -> str:
+    """The same for numbers below zero, half away from zero."""
+    return f"sign({num}) * {ratio(f'abs({num})', den, digits)}"
+
+
 def pct(num: str, den: str, digits: int = 2) -> str:
     return ratio(f"100 * ({num})", den, digits)
 
@@ -235,7 +240,7 @@ union all select concat('type:', event_type), count(*) from clickstream group by
     "insight_funnel": f"""
 with r as (select max(sessions) filter (where step_no = 1) as a, max(sessions) filter (where step_no = 2) as b,
                   max(sessions) filter (where step_no = 3) as c, max(sessions) filter (where step_no = 4) as d from steps)
-select {pct('greatest(a, 1) - d', 'greatest(a, 1)', 1)} as drop_pct, {pct('b', 'greatest(a, 1)', 1)} as cart_pct,
+select {signed_ratio('100 * (greatest(a, 1) - d)', 'greatest(a, 1)', 1)} as drop_pct, {pct('b', 'greatest(a, 1)', 1)} as cart_pct,
        {pct('c', 'greatest(a, 1)', 1)} as checkout_pct from r""",
     "monthly_trend": f"""
 select 'total' as series, {day('month')} as month, cast(sum(revenue) as double) as revenue from monthly group by month

@@ -54,28 +54,53 @@ CASES = {
     "no stock row": ([(1, 9, 1), (2, 1, 1)], {1: 10}),
     "one short line": ([(1, 1, 2), (1, 2, 9), (2, 1, 9), (2, 2, 5)], {1: 10, 2: 5}),
     "all gone": ([(1, 1, 1), (2, 1, 1)], {1: 0}),
-    **{f"random {seed}": sample(seed) for seed in range(2)},
+    **{f"random {seed}": sample(seed) for seed in range(4)},
 }
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10 ** 9], ids=["split", "fold"])
-@pytest.mark.parametrize("name", CASES)
-def test_line_by_line(spark, name, hot_rows):
-    lines, on_hand = CASES[name]
-    result = stock.allocate_lines(spark.createDataFrame(lines, LINES),
-                                  spark.createDataFrame(list(on_hand.items()), STOCK), hot_rows, ranges=8)
-    rows = result.collect()
+def all_cases():
+    """All cases side by side, each with its own orders and variants."""
+    lines, on_hand = [], {}
+    for i, (case, held) in enumerate(CASES.values()):
+        lines += [(1000 * i + o, 100 * i + v, q) for o, v, q in case]
+        on_hand |= {100 * i + v: n for v, n in held.items()}
+    return lines, on_hand
+
+
+def frames(spark, lines, on_hand):
+    return spark.createDataFrame(lines, LINES), spark.createDataFrame(list(on_hand.items()), STOCK)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 40, 10 ** 9], ids=["split", "mixed", "fold"])
+def test_line_by_line(spark, hot_rows):
+    lines, on_hand = all_cases()
+    rows = stock.allocate_lines(*frames(spark, lines, on_hand), hot_rows, ranges=8).collect()
     assert len(rows) == len(lines)
     assert {(r["order_id"], r["variant_id"]): r["accepted"] for r in rows} == greedy(lines, on_hand)
 
 
-@pytest.mark.parametrize("hot_rows,short", [(1, 0), (10 ** 9, 0), (10 ** 9, 60)], ids=["split", "whole", "short end"])
-@pytest.mark.parametrize("name", CASES)
-def test_order_by_order(spark, name, hot_rows, short):
+@pytest.mark.parametrize("hot_rows,short", [(1, 0), (10 ** 9, 0), (40, 60), (10 ** 9, 10 ** 4)],
+                         ids=["split", "whole", "short end", "one round"])
+def test_order_by_order(spark, hot_rows, short):
+    lines, on_hand = all_cases()
+    rows = stock.allocate_orders(*frames(spark, lines, on_hand), hot_rows, 8, short).collect()
+    assert {r["order_id"]: r["accepted"] for r in rows} == atomic(lines, on_hand)
+
+
+@pytest.mark.parametrize("name", list(CASES)[:6])
+def test_the_models_themselves(name):
+    expected = {"exact fit": ([True, True], [True, True]), "one over": ([True, False], [True, False]),
+                "big line skipped, small one fits": ([True, False, True], [True, False, True]),
+                "no stock row": ([False, True], [False, True]),
+                "one short line": None,
+                "all gone": ([False, False], [False, False])}[name]
     lines, on_hand = CASES[name]
-    result = stock.allocate_orders(spark.createDataFrame(lines, LINES),
-                                   spark.createDataFrame(list(on_hand.items()), STOCK), hot_rows, 8, short)
-    assert {r["order_id"]: r["accepted"] for r in result.collect()} == atomic(lines, on_hand)
+    if expected:
+        assert list(greedy(lines, on_hand).values()) == expected[0]
+        assert list(atomic(lines, on_hand).values()) == expected[1]
+    else:
+        assert greedy(lines, on_hand) == {(1, 1): True, (1, 2): False, (2, 1): False, (2, 2): True}
+        assert atomic(lines, on_hand) == {1: False, 2: True}
 
 
 def test_set_check_refuses_the_whole_batch(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 # At most MAX_HOT keys can each hold more than 1/MAX_HOT of all rows, so a list
 # of that length names every key that is larger than this share.
-MAX_HOT = 256
+MAX_HOT = 4096
 HOT_ROWS = 1_000_000
 
 
@@ -58,12 +58,13 @@ def running_sums(df: DataFrame, group: str, order: str, values: dict[str, str],
     totals = (ranged.where(F.col(group).isin(hot)).groupBy(group, "_range")
               .agg(*[F.sum(src).alias(f"_{src}") for src in values]))
     earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most MAX_HOT groups times the number of ranges.
+    # At most MAX_HOT groups times the number of ranges. Where this is too much to broadcast,
+    # the join uses the partitioning that the window below needs anyway.
     starts = totals.select(group, "_range", *[
         F.coalesce(F.sum(f"_{src}").over(earlier), F.lit(0)).alias(f"_start_{src}") for src in values])
     frame = (Window.partitionBy(group, "_range").orderBy(order)
              .rowsBetween(Window.unboundedPreceding, 0))
-    summed = (ranged.join(F.broadcast(starts), [group, "_range"], "left")
+    summed = (ranged.join(starts, [group, "_range"], "left")
               .withColumns({out: F.sum(src).over(frame) + F.coalesce(F.col(f"_start_{src}"), F.lit(0))
                             for src, out in values.items()}))
     return summed.drop("_range", *[f"_start_{src}" for src in values])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,3 +74,24 @@ def materialise(df: DataFrame) -> DataFrame:
     path = new_folder(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped_to: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions given to ``mapInPandas`` and the like are pickled by reference, so a
+    worker has to be able to import the module they live in.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped_to:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="soukwise-code-")) / "soukwise_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped_to.add(context.applicationId)

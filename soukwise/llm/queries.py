@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from soukwise.llm import simhash
+from soukwise.llm import bpe, simhash
 from soukwise.llm.tables import read
 
 
@@ -14,8 +15,14 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "component as component_id")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return (bpe.digests(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary)
+            .withColumnRenamed("id", "doc_id"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup,
+    op1_simhash_near_dedup, op4_byte_bpe,
 )}
 
 ORACLES: dict[str, str] = {}

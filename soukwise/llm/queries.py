@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from soukwise.llm import bpe, simhash
+from soukwise.llm import bpe, simhash, tokencount
 from soukwise.llm.tables import read
 
 
@@ -21,8 +21,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokencount.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
+    counts = tokencount.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"), model)
+    return counts.selectExpr("id as doc_id", "n_bytes", "n_tokens", f"n_tokens > {tokencount.LIMIT} as over_limit")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op4_byte_bpe,
+    op1_simhash_near_dedup, op4_byte_bpe, op9_token_counts,
 )}
 
 ORACLES: dict[str, str] = {}

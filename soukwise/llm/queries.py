@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from soukwise.llm import bpe, simhash, tokencount
-from soukwise.llm.tables import read
+from soukwise.llm import bpe, simhash, tokencount, toxicity
+from soukwise.llm.tables import held_out, read
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(*toxicity.sample(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokencount.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
     counts = tokencount.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"), model)
@@ -28,7 +37,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op4_byte_bpe, op9_token_counts,
+    op1_simhash_near_dedup, op4_byte_bpe, op5_toxicity, op9_token_counts,
 )}
 
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soukwise.llm import bpe, secret_scan, simhash, tokencount, toxicity
+from soukwise.llm import bpe, secret_scan, simhash, spots, tokencount, toxicity
 from soukwise.llm.tables import held_out, read
 
 
@@ -34,6 +34,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.fingerprints(read(spark, sf_dir, "documents", "doc_id", "text")).select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", F.array_join("signatures", "").alias("fingerprint"),
+        F.array_join("edited_signatures", "").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokencount.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
     counts = tokencount.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"), model)
@@ -41,7 +47,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_secret_scan, op4_byte_bpe, op5_toxicity, op9_token_counts,
+    op1_simhash_near_dedup, op2_secret_scan, op4_byte_bpe, op5_toxicity, op8_spot_signatures, op9_token_counts,
 )}
 
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soukwise.llm import bpe, secret_scan, simhash, spots, tokencount, toxicity
+from soukwise.llm import bpe, decontam, secret_scan, simhash, spots, tokencount, toxicity
 from soukwise.llm.tables import held_out, read
 
 
@@ -20,6 +20,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secrets(read(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents", "doc_id", "text"),
+                                 read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return (bpe.digests(read(spark, sf_dir, "documents", "doc_id", "text"), vocabulary)
@@ -47,7 +52,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_secret_scan, op4_byte_bpe, op5_toxicity, op8_spot_signatures, op9_token_counts,
+    op1_simhash_near_dedup, op2_secret_scan, op3_decontamination, op4_byte_bpe, op5_toxicity, op8_spot_signatures, op9_token_counts,
 )}
 
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soukwise.llm import bpe, decontam, secret_scan, simhash, spots, tokencount, toxicity
+from soukwise.llm import bpe, decontam, langid, secret_scan, simhash, spots, tokencount, toxicity
 from soukwise.llm.tables import held_out, read
 
 
@@ -39,6 +39,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.fit(docs.where(~held_out("doc_id")))
+    return langid.predict(docs, model).select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op8_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots.fingerprints(read(spark, sf_dir, "documents", "doc_id", "text")).select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", F.array_join("signatures", "").alias("fingerprint"),
@@ -52,7 +59,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_secret_scan, op3_decontamination, op4_byte_bpe, op5_toxicity, op8_spot_signatures, op9_token_counts,
+    op1_simhash_near_dedup, op2_secret_scan, op3_decontamination, op4_byte_bpe, op5_toxicity, op7_language_id, op8_spot_signatures, op9_token_counts,
 )}
 
 ORACLES: dict[str, str] = {}

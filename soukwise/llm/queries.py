@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soukwise.llm import bpe, decontam, langid, secret_scan, simhash, spots, tokencount, toxicity
+from soukwise.llm import bpe, decontam, langid, pii, secret_scan, simhash, spots, tokencount, toxicity
 from soukwise.llm.tables import held_out, read
 
 
@@ -58,8 +58,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.selectExpr("id as doc_id", "n_bytes", "n_tokens", f"n_tokens > {tokencount.LIMIT} as over_limit")
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_secret_scan, op3_decontamination, op4_byte_bpe, op5_toxicity, op7_language_id, op8_spot_signatures, op9_token_counts,
+    op1_simhash_near_dedup, op2_secret_scan, op3_decontamination, op4_byte_bpe, op5_toxicity, op7_language_id, op8_spot_signatures, op9_token_counts, op10_personal_data,
 )}
 
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soukwise.llm import bpe, decontam, langid, pii, secret_scan, simhash, spots, tokencount, toxicity
+from soukwise.llm import bpe, decontam, langid, licenses, pii, secret_scan, simhash, spots, tokencount, toxicity
 from soukwise.llm.tables import held_out, read
 
 
@@ -39,6 +39,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licences(read(spark, sf_dir, "documents", "doc_id", "text")).select(
+        F.col("id").alias("doc_id"), F.array_join("sentences", ",").alias("sentences"),
+        F.array_join("licences", ",").alias("licences"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     model = langid.fit(docs.where(~held_out("doc_id")))
@@ -63,7 +69,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_secret_scan, op3_decontamination, op4_byte_bpe, op5_toxicity, op7_language_id, op8_spot_signatures, op9_token_counts, op10_personal_data,
+    op1_simhash_near_dedup, op2_secret_scan, op3_decontamination, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_language_id, op8_spot_signatures, op9_token_counts, op10_personal_data,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_license_scan": licenses.oracle_sql()}

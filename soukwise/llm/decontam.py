@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soukwise.llm.memory import Remembered
+from soukwise.llm.tables import rows_where
 
 WORDS = re.compile(r"\w+")
 WIDTH, LEAST = 5, 0.8
@@ -182,6 +183,32 @@ def _pass(docs: DataFrame, items: list[tuple[object, str]], schema: str) -> Data
     return docs.mapInArrow(run, schema)
 
 
+def _parts(items: DataFrame, item_col: str, text_col: str, index_bytes: int) -> Iterator[list[tuple[object, str]]]:
+    """The items, in as many parts as are needed for each to hold about ``index_bytes`` of text."""
+    items = (items.select(F.col(item_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+             .where("id is not null and text is not null"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = -(-size // index_bytes) or 1
+    for part in range(parts):
+        held = items if parts == 1 else items.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part)
+        rows = sorted((tuple(r) for r in held.collect()), key=str)
+        if rows:
+            yield rows
+
+
+def without_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """The rows of ``docs`` that hold no item of the benchmark and no passage as similar to one, with all columns."""
+    for rows in _parts(items, item_col, item_text_col, index_bytes):
+        docs = _without(docs, rows, text_col)
+    return docs
+
+
+def _without(docs: DataFrame, items: list[tuple[object, str]], text_col: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(Index(items))
+    return rows_where(docs, text_col, lambda texts: [not shared.value.find(t) for t in texts])
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", index_bytes: int = INDEX_BYTES) -> DataFrame:
     """(doc_id, item_id, similarity, start) of the documents that hold an item, or a passage as similar to it.
@@ -193,17 +220,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     benchmark is dealt into parts by a hash of the id, with a pass over the documents for each.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    items = (items.select(F.col(item_col).alias("id"), F.col(item_text_col).cast("string").alias("text"))
-             .where("id is not null and text is not null"))
-    kinds = docs.schema["id"].dataType.simpleString(), items.schema["id"].dataType.simpleString()
+    kinds = docs.schema["id"].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, similarity double, start bigint"
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size // index_bytes) or 1
     found = None
-    for part in range(parts):
-        held = items if parts == 1 else items.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part)
-        rows = sorted((tuple(r) for r in held.collect()), key=str)
-        if rows:
-            one = _pass(docs, rows, schema)
-            found = one if found is None else found.unionByName(one)
+    for rows in _parts(items, item_col, item_text_col, index_bytes):
+        one = _pass(docs, rows, schema)
+        found = one if found is None else found.unionByName(one)
     return docs.sparkSession.createDataFrame([], schema) if found is None else found

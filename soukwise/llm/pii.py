@@ -104,10 +104,10 @@ def _context(before: Column) -> Column:
     return _vote(before.rlike(CUES), before.rlike(COUNTER))
 
 
-def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, base, cands): the spans that stand, and all candidates with kind, features and votes."""
+def candidates(rows: DataFrame, kept: list[str]) -> DataFrame:
+    """Of a table with a column ``text`` the columns ``kept``, base (the spans that stand) and cands: all candidates with
+    kind, features and votes."""
     text = F.col("text")
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     found = add_spans(rows, "text", {
         "email": (EMAIL, text.contains("@")), "ip": (IP, text.contains(".")), "card": (CARD, None),
         "phone": (PHONE, text.contains("+")), "other": ("|".join(OTHER.values()), None)})
@@ -125,7 +125,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit"), _other_kind(s["hit"]).alias("kind")))
     every = F.concat(*[as_candidates(k, base[k]) for k in KINDS], as_candidates("account", failed("card")),
                      as_candidates("number", failed("phone")), others)
-    listed_rows = found.select("id", "text", merged(base).alias("base"), every.alias("every"))
+    listed_rows = found.select(*dict.fromkeys([*kept, "text"]), merged(base).alias("base"), every.alias("every"))
 
     def described(s: Column) -> Column:
         before = F.substr(F.col("text"), F.greatest(s["start"] - BEFORE, F.lit(0)).cast("int") + 1,
@@ -137,7 +137,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.floor(share * 4).cast("int").alias("digits"), _form(s["kind"], s["hit"]).alias("form"),
             _listed(s["kind"], s["hit"]).alias("listed"), _context(before).alias("context"))
 
-    return listed_rows.select("id", "base", F.transform("every", described).alias("cands"))
+    return listed_rows.select(*kept, "base", F.transform("every", described).alias("cands"))
 
 
 def _checked(kind: str) -> Callable[[Column], Column]:
@@ -207,10 +207,37 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     added. A null text counts as empty. Repeated rows and null ids each keep a row; other columns are not looked at; an empty
     table gives an empty one.
     """
-    rows = materialise(candidates(docs, id_col, text_col))
-    seen = rows.select(F.inline("cands")).groupBy(*FEATURES).count().collect()
-    prior, weights = classifier([(tuple(r[f] for f in FEATURES), r["count"]) for r in seen])
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = materialise(candidates(texts, ["id"]))
+    return _with_spans(rows, ["id", "base"], *_learned(rows))
 
+
+def without_personal_data(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` with each span of personal data replaced by its kind in brackets.
+
+    The column ``size_col``, where there is one, gets the new number of characters. A null text stays null.
+    Other columns, whatever their names, come along as they are.
+    """
+    names = docs.columns
+    kept = [f"c{i}" for i in range(len(names))]
+    at = kept[names.index(text_col)]
+    rows = docs.toDF(*kept).withColumn("text", F.coalesce(F.col(at).cast("string"), F.lit("")))
+    prior, weights = _learned(candidates(rows.select("text"), []))
+    found = _with_spans(candidates(rows, [*kept, "text"]), [*kept, "text"], prior, weights)
+    clean = F.when(F.col(at).isNotNull(), redacted(F.col("text"), F.col("spans")))
+    found = found.select(*kept, clean.alias("clean"))
+    return found.select(*[
+        F.col("clean").alias(n) if n == text_col else
+        F.length("clean").cast(docs.schema[n].dataType).alias(n) if n == size_col else F.col(c).alias(n)
+        for c, n in zip(kept, names)])
+
+
+def _learned(found: DataFrame) -> tuple[float, dict[str, dict[object, float]]]:
+    seen = found.select(F.inline("cands")).groupBy(*FEATURES).count().collect()
+    return classifier([(tuple(r[f] for f in FEATURES), r["count"]) for r in seen])
+
+
+def _with_spans(found: DataFrame, kept: list[str], prior: float, weights: dict[str, dict[object, float]]) -> DataFrame:
     def odds(s: Column) -> Column:
         out = F.lit(prior)
         for name in FEATURES:
@@ -221,10 +248,11 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return out
 
     chosen = F.filter("cands", lambda s: s["kind"].isin(*ADDED) & (odds(s) > 0) & ~overlaps(s, F.col("base")))
-    kept = F.filter(chosen, lambda s: ~F.exists(chosen, lambda o: (o["start"] < s["start"]) & (s["start"] < o["end"])))
+    found = found.select(*dict.fromkeys([*kept, "base"]), chosen.alias("chosen"))
+    alone = F.filter("chosen", lambda s: ~F.exists("chosen", lambda o: (o["start"] < s["start"]) & (s["start"] < o["end"])))
+    found = found.select(*dict.fromkeys([*kept, "base"]), alone.alias("added"))
     added = [labelled(F.filter("added", _of_kind(kind)), rank, kind) for rank, kind in enumerate(ADDED, len(KINDS))]
-    return (rows.select("id", "base", kept.alias("added"))
-            .select("id", "base", F.array_sort(F.concat("base", *added)).alias("spans")))
+    return found.select(*kept, F.array_sort(F.concat("base", *added)).alias("spans"))
 
 
 def _of_kind(kind: str) -> Callable[[Column], Column]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from soukwise.llm.memory import Remembered
-from soukwise.llm.tables import held_out
+from soukwise.llm.tables import held_out, rows_where
 
 WORDS = re.compile(r"\w+")
 #: Hashed n-grams, the length of an embedding, and the lengths of the n-grams.
@@ -184,6 +184,18 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS
             counts.get(1, 0) / sum(counts.values()))
 
 
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text the model does not take for toxic, with all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(texts: list[str]) -> list[bool]:
+        model = shared.value
+        value = Remembered(model.word, REMEMBERED).__getitem__
+        return [model.slope * model.telling(WORDS.findall(t.lower()), value) + model.offset < 0 for t in texts]
+
+    return rows_where(docs, text_col, keep)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) for each row of ``docs``, from its text alone.
 

@@ -98,8 +98,8 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     place = docs.withColumn("_place", F.coalesce(F.col("id").cast("double"), F.lit(-1.7e308)))
     probes = [i / ranges for i in range(1, ranges)]
     points = place.select("_place").approxQuantile("_place", probes, 1 / (4 * ranges)) if probes else []
-    placed = with_buckets(place, {"_place": points}).withColumn("_range", F.col("_in__place").cast("int"))
-    placed = placed.drop("_place", "_in__place")
+    placed = (with_buckets(place, {"_place": points}).withColumn("_range", F.col("_in__place").cast("int"))
+              .drop("_in__place") if points else place.withColumn("_range", F.lit(0))).drop("_place")
     # One row per range, whatever the table holds: the range above takes a copy of this one's first row.
     heads = F.broadcast(placed.groupBy("_range").agg(F.max("id").alias("_head")).selectExpr(
         "_range", "_head",

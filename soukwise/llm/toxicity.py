@@ -185,7 +185,12 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text the model does not take for toxic, with all columns."""
+    """The rows of ``docs`` whose text the model does not take for toxic, with all columns.
+
+    A model that has learned nothing from texts rejects none.
+    """
+    if model.slope == 0:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(texts: list[str]) -> list[bool]:

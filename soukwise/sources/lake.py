@@ -30,6 +30,12 @@ def read_by_month(spark: SparkSession, path: str, first: str | None = None, last
     return events
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of Spark's own file system layer."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
@@ -77,7 +83,7 @@ def read_csv(spark: SparkSession, path: str, limit: int | None = None, order_by:
 def typed_text(df: DataFrame) -> DataFrame:
     """Whole numbers to BIGINT, other numbers to DOUBLE, the rest stays text. One pass over all columns."""
     names = df.columns
-    whole = {c: (F.count_if(F.col(f"`{c}`").rlike("^-*[0-9]+$")) == F.count(f"`{c}`")) for c in names}
+    whole = {c: (F.count(F.col(f"`{c}`").try_cast("bigint")) == F.count(f"`{c}`")) for c in names}
     flags = df.agg(*[(hit & (F.count(f"`{c}`") > 0)).alias(c) for c, hit in whole.items()]).first().asDict()
     typed = df.withColumns({c: F.col(f"`{c}`").cast("bigint") for c in names if flags[c]}) if any(
         flags.values()) else df

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from soukwise.session import materialise
 from soukwise.sources.documents import EVENT_DOCUMENT, events_flat
+from soukwise.sources.lake import exists, write_by_month
 
-LATENESS = "10 minutes"
+def _or_default(branch: str, default: Column) -> Column:
+    """The branch, or the default where it is missing or none of its fields has a value."""
+    fields = F.to_json(branch)
+    return F.when(F.coalesce(fields, F.lit("{}")) == "{}", default).otherwise(F.col(branch))
 
 
 def with_defaults(documents: DataFrame) -> DataFrame:
@@ -19,8 +24,8 @@ def with_defaults(documents: DataFrame) -> DataFrame:
     geo = F.struct(F.lit("VN").alias("country"), F.lit("Ha Noi").alias("province"))
     traffic = F.struct(F.lit("direct").alias("channel"), F.lit("demo").alias("campaign"))
     return documents.withColumns({
-        "device": F.coalesce("device", device), "geo": F.coalesce("geo", geo),
-        "traffic_source": F.coalesce("traffic_source", traffic),
+        "device": _or_default("device", device), "geo": _or_default("geo", geo),
+        "traffic_source": _or_default("traffic_source", traffic),
         "timestamp": F.coalesce("timestamp", F.current_timestamp()),
         "source": F.coalesce("source", F.lit("live_ui"))})
 
@@ -29,14 +34,37 @@ def read_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) ->
     return (spark.readStream.schema(EVENT_DOCUMENT).option("maxFilesPerTrigger", files_per_batch).json(folder))
 
 
-def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, lateness: str = LATENESS,
-           files_per_batch: int = 100, **trigger) -> StreamingQuery:
-    """Documents to the month-partitioned lake. An event delivered twice within the watermark
-    is stored once."""
-    events = (with_defaults(read_stream(spark, folder, files_per_batch))
-              .withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(["event_id"]))
-    return (events_flat(events).writeStream.format("parquet").partitionBy("event_month")
-            .option("path", out).option("checkpointLocation", checkpoint).outputMode("append")
+def _with_ids(batch: DataFrame) -> DataFrame:
+    """An id for each event of a batch that came without one, from the place it was read from.
+
+    A batch that is repeated reads the same files in the same way, so a line gets the
+    same id again; two equal lines get two.
+    """
+    place = F.concat_ws("#", "_file", F.monotonically_increasing_id().cast("string"))
+    return batch.select("*", F.concat(F.lit("live-"), F.sha2(place, 256)).alias("_own")).withColumn(
+        "event_id", F.coalesce("event_id", "_own")).drop("_own", "_file")
+
+
+def _append_new(out: str):
+    """Add the events of a batch that the lake does not hold. An event delivered again, late or
+    by a repeated batch, is stored once; only the months of the batch are looked at."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        events = materialise(events_flat(with_defaults(_with_ids(batch))).dropDuplicates(["event_id"]))
+        # A batch touches few months, whatever it holds.
+        months = [r[0] for r in events.select("event_month").distinct().collect()]
+        held = [f"{out}/event_month={month}" for month in months if exists(spark, f"{out}/event_month={month}")]
+        if held:
+            events = events.join(spark.read.option("basePath", out).parquet(*held).select("event_id"), "event_id", "left_anti")
+        write_by_month(events, out, "append")
+    return write
+
+
+def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, files_per_batch: int = 100,
+           **trigger) -> StreamingQuery:
+    """Documents to the month-partitioned lake, every event once, however late it is."""
+    events = read_stream(spark, folder, files_per_batch).select("*", F.col("_metadata.file_path").alias("_file"))
+    return (events.writeStream.foreachBatch(_append_new(out)).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
@@ -60,11 +88,14 @@ def run_event_stats(events: DataFrame, out: str, checkpoint: str, **trigger) ->
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
 
 
-def run_hourly(events: DataFrame, out: str, checkpoint: str, lateness: str = LATENESS,
+def run_hourly(events: DataFrame, out: str, checkpoint: str, lateness: str | None = None,
                **trigger) -> StreamingQuery:
-    """Events per hour window and platform; rows later than the watermark are dropped."""
-    counts = (events.withWatermark("ts", lateness)
-              .groupBy(F.window("ts", "1 hour").alias("w"), "platform").agg(F.count("*").alias("events"))
+    """Events per hour window and platform. All rows count: the state is one row per hour and platform.
+
+    With ``lateness`` an hour is closed, and its state freed, when it is that far behind; later rows are left out.
+    """
+    timed = events.withWatermark("ts", lateness) if lateness else events
+    counts = (timed.groupBy(F.window("ts", "1 hour").alias("w"), "platform").agg(F.count("*").alias("events"))
               .select(F.col("w.start").alias("hour_start"), "platform", "events"))
     return (counts.writeStream.outputMode("update").foreachBatch(_keep_batch(out))
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())

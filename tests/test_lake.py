@@ -3,6 +3,7 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from soukwise.plans import history
@@ -151,12 +152,13 @@ def write_events(spark, folder, rows):
     spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(folder)
 
 
-def test_hourly_counts_drop_late_rows(spark, tmp_path):
+@pytest.mark.parametrize("lateness", [None, "10 minutes"])
+def test_hourly_counts_hold_late_rows_unless_told_otherwise(spark, tmp_path, lateness):
     folder, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
 
     def run():
         stream = spark.readStream.schema(EVENT).parquet(folder)
-        streams.run_hourly(stream, out, progress).awaitTermination()
+        streams.run_hourly(stream, out, progress, lateness).awaitTermination()
         return {(r["hour_start"].hour, r["platform"]): r["events"] for r in
                 streams.latest(spark, out, ["hour_start", "platform"], "events").collect()}
 
@@ -164,9 +166,37 @@ def test_hourly_counts_drop_late_rows(spark, tmp_path):
     write_events(spark, folder, [(1, datetime(*day, 8, 5), "v", "ios"), (2, datetime(*day, 8, 50), "v", "ios"),
                                  (3, datetime(*day, 12, 0), "v", "web")])
     assert run() == {(8, "ios"): 2, (12, "web"): 1}
-    # 08:55 is hours behind the watermark, 11:55 only ten minutes within it.
+    # 08:55 is hours late, 11:55 only five minutes.
     write_events(spark, folder, [(4, datetime(*day, 8, 55), "v", "ios"), (5, datetime(*day, 11, 55), "v", "web")])
-    assert run() == {(8, "ios"): 2, (11, "web"): 1, (12, "web"): 1}
+    assert run() == {(8, "ios"): 2 if lateness else 3, (11, "web"): 1, (12, "web"): 1}
+
+
+def test_ingest_stores_late_events(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "lake")
+    for k, day in enumerate((20, 19, 1)):
+        write_lines(folder, f"{k}.json", [{"event_id": f"{k}-{i}", "event_type": "search",
+                                           "timestamp": f"2024-02-{day:02d}T10:0{i}:00Z"} for i in range(5)])
+    streams.ingest(spark, str(folder), out, str(tmp_path / "progress"), files_per_batch=1).awaitTermination()
+    assert lake.read_by_month(spark, out).count() == 15
+
+
+def test_live_events_without_an_id_are_kept_apart(spark, tmp_path):
+    folder, out, progress = tmp_path / "in", str(tmp_path / "lake"), str(tmp_path / "progress")
+    live = {"session_id": "s", "event_type": "search", "device": {}, "geo": {}, "traffic_source": {},
+            "timestamp": "2024-02-02T10:01:00Z"}
+    write_lines(folder, "a.json", [live] * 5)
+    streams.ingest(spark, str(folder), out, progress).awaitTermination()
+    rows = lake.read_by_month(spark, out).collect()
+    assert len({r["event_id"] for r in rows}) == len(rows) == 5
+    assert {(r["platform"], r["province"], r["channel"], r["source"]) for r in rows} == {
+        ("desktop_web", "Ha Noi", "direct", "live_ui")}
+
+
+def test_reading_back_odd_numbers(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    lake.write_csv(spark.createDataFrame([("--5", "12345678901234567890", "7"), ("4", "1", "-8")], "a string, b string, c string"), path)
+    kinds = dict(lake.read_csv(spark, path).dtypes)
+    assert kinds == {"a": "string", "b": "double", "c": "bigint"}
 
 
 def test_running_counts_over_several_batches(spark, tmp_path):

@@ -6,17 +6,26 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most MAX_HOT keys can each hold more than 1/MAX_HOT of all rows, so a list
-# of that length names every key that is larger than this share.
-MAX_HOT = 4096
+from soukwise.session import materialise
+
 HOT_ROWS = 1_000_000
+RANGES = 256
+
 
+def hot_keys(df: DataFrame, key: str, range_on: str, floor: int = HOT_ROWS, ranges: int = RANGES) -> DataFrame | None:
+    """(key, points) for every key of ``floor`` rows or more, NULL among them: where to cut its rows into ranges
+    of the number ``range_on``. None if there is no such key.
 
-def hot_keys(df: DataFrame, key: str, floor: int = HOT_ROWS) -> list:
-    """The (at most MAX_HOT) most frequent keys with ``floor`` rows or more."""
-    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    top = counted.where(F.col("n") >= floor).orderBy(F.desc("n"), key).limit(MAX_HOT)
-    return [row[0] for row in top.collect()]
+    A table, however many keys it has; the points of a key follow from its own rows, so its ranges are even.
+    """
+    counted = df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") >= floor)
+    hot = materialise(counted.select(F.col(key).alias("_hot"), F.lit(True).alias("_is_hot")))
+    if hot.isEmpty():
+        return None
+    probes = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    own = df.join(hot, F.col(key).eqNullSafe(F.col("_hot"))).groupBy("_hot").agg(
+        F.percentile_approx(F.col(range_on).cast("double"), probes, 4 * ranges).alias("_points"))
+    return materialise(own.select("_hot", F.coalesce("_points", F.array().cast("array<double>")).alias("_points")))
 
 
 def split_points(df: DataFrame, columns: list[str], buckets: int) -> list[list[float]]:
@@ -39,7 +48,7 @@ def with_buckets(df: DataFrame, points: dict[str, list[float]], prefix: str = "_
 
 
 def running_sums(df: DataFrame, group: str, order: str, values: dict[str, str],
-                 hot: list, points: list[float], range_on: str | None = None) -> DataFrame:
+                 hot: DataFrame | None, range_on: str | None = None) -> DataFrame:
     """Inclusive running sums per group in ``order`` (unique within a group).
 
     Groups in ``hot`` are cut into ranges of the order key: every range is summed
@@ -47,24 +56,23 @@ def running_sums(df: DataFrame, group: str, order: str, values: dict[str, str],
     fit one window partition. ``range_on`` is a number that rises with ``order``,
     needed where ``order`` itself is not one.
     """
-    if not hot:
+    if hot is None:
         frame = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({out: F.sum(src).over(frame) for src, out in values.items()})
 
-    axis = range_on or order
-    ranged = with_buckets(df, {axis: points}).withColumn(
-        "_range", F.when(F.col(group).isin(hot), F.col(f"_in_{axis}").cast("int")).otherwise(F.lit(0))
-    ).drop(f"_in_{axis}")
-    totals = (ranged.where(F.col(group).isin(hot)).groupBy(group, "_range")
-              .agg(*[F.sum(src).alias(f"_{src}") for src in values]))
+    place = F.col(range_on or order).cast("double")
+    ranged = (df.join(hot, F.col(group).eqNullSafe(F.col("_hot")), "left")
+              .withColumn("_range", F.coalesce(F.size(F.filter("_points", lambda p: p < place)), F.lit(0)))
+              .withColumn("_cut", F.col("_points").isNotNull()).drop("_hot", "_points"))
+    totals = (ranged.where("_cut").groupBy(group, "_range").agg(*[F.sum(src).alias(f"_{src}") for src in values]))
     earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # At most MAX_HOT groups times the number of ranges. Where this is too much to broadcast,
-    # the join uses the partitioning that the window below needs anyway.
-    starts = totals.select(group, "_range", *[
+    # One row per hot group and range.
+    starts = totals.select(F.col(group).alias("_of"), F.col("_range").alias("_from"), *[
         F.coalesce(F.sum(f"_{src}").over(earlier), F.lit(0)).alias(f"_start_{src}") for src in values])
     frame = (Window.partitionBy(group, "_range").orderBy(order)
              .rowsBetween(Window.unboundedPreceding, 0))
-    summed = (ranged.join(starts, [group, "_range"], "left")
+    summed = (ranged.join(starts, F.col("_cut") & F.col(group).eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_from")),
+                          "left")
               .withColumns({out: F.sum(src).over(frame) + F.coalesce(F.col(f"_start_{src}"), F.lit(0))
                             for src, out in values.items()}))
-    return summed.drop("_range", *[f"_start_{src}" for src in values])
+    return summed.drop("_range", "_cut", "_of", "_from", *[f"_start_{src}" for src in values])

@@ -9,19 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import groupby
-from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from soukwise.operators.skew import HOT_ROWS, hot_keys, running_sums, split_points
-from soukwise.session import materialise
+from soukwise.operators.skew import HOT_ROWS, RANGES, hot_keys, running_sums
+from soukwise.session import materialise, ship_code
 
-RANGES = 256
-# Lines that one task may settle in sequence.
-SHORT = 50_000
 
 
 def one_line_per_order(lines: DataFrame) -> DataFrame:
@@ -61,7 +56,7 @@ def _serve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch[["order_id", "variant_id", "quantity"]].assign(accepted=taken)
 
 
-def _serve_hot(lines: DataFrame, hot_stock: dict[int, int], ranges: int) -> DataFrame:
+def _serve_hot(lines: DataFrame, stock: DataFrame, hot: DataFrame) -> DataFrame:
     """The same decision for variants too big for one task.
 
     A line can win only if it fits the units left. Along the lines that still
@@ -71,34 +66,26 @@ def _serve_hot(lines: DataFrame, hot_stock: dict[int, int], ranges: int) -> Data
     one row per variant: up to which order lines of up to which quantity win.
     """
     lines = materialise(lines)
-    points = split_points(lines, ["order_id"], ranges)[0]
-    spark = lines.sparkSession
-    open_state = {v: (-1, units) for v, units in hot_stock.items()}
-    windows: list[tuple[int, int, int | None, int]] = []
-    while open_state:
-        rows = [(v, after, units) for v, (after, units) in open_state.items()]
-        state = F.broadcast(spark.createDataFrame(rows, "variant_id bigint, after bigint, units bigint"))
+    state = materialise(stock.select("variant_id", F.lit(-1).cast("bigint").alias("after"), F.col("on_hand").alias("units")))
+    windows = []
+    while True:
         candidates = (lines.join(state, "variant_id")
                       .where((F.col("order_id") > F.col("after")) & (F.col("quantity") <= F.col("units"))))
-        summed = running_sums(candidates, "variant_id", "order_id", {"quantity": "taken"},
-                              list(open_state), points)
+        summed = running_sums(candidates, "variant_id", "order_id", {"quantity": "taken"}, hot)
         over = F.col("taken") > F.col("units")
-        ends = {r["variant_id"]: r for r in summed.groupBy("variant_id").agg(
-            F.min(F.when(over, F.col("order_id"))).alias("stop"),
-            F.max(F.when(~over, F.col("taken"))).alias("used")).collect()}
-        following = {}
-        for variant, (after, units) in open_state.items():
-            end = ends.get(variant)
-            stop = end["stop"] if end else None
-            windows.append((variant, after, stop, units))
-            if stop is not None and units - end["used"] > 0:
-                following[variant] = (stop, units - end["used"])
-        open_state = following
-    table = spark.createDataFrame(windows, "variant_id bigint, after bigint, stop bigint, units bigint")
-    # A line lies in at most one window of its variant; the windows are few by construction.
-    per_variant = table.groupBy("variant_id").agg(
+        ends = summed.groupBy("variant_id").agg(F.min(F.when(over, F.col("order_id"))).alias("stop"),
+                                                F.max(F.when(~over, F.col("taken"))).alias("used"))
+        done = materialise(state.join(ends, "variant_id", "left"))
+        windows.append(done.select("variant_id", "after", "stop", "units"))
+        left = F.col("units") - F.coalesce("used", F.lit(0))
+        state = materialise(done.where(F.col("stop").isNotNull() & (left > 0)).select(
+            "variant_id", F.col("stop").alias("after"), left.alias("units")))
+        if state.isEmpty():
+            break
+    # A line lies in at most one window of its variant.
+    per_variant = reduce(DataFrame.union, windows).groupBy("variant_id").agg(
         F.collect_list(F.struct("after", "stop", "units")).alias("windows"))
-    won = lines.join(F.broadcast(per_variant), "variant_id", "left")
+    won = lines.join(per_variant, "variant_id", "left")
     fits = F.exists("windows", lambda w: (F.col("order_id") > w["after"])
                     & (w["stop"].isNull() | (F.col("order_id") < w["stop"]))
                     & (F.col("quantity") <= w["units"]))
@@ -122,26 +109,26 @@ def allocate_lines(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS,
     contended = materialise(
         facts.where(~easy & ~hopeless).select("variant_id", "order_id", "quantity", "on_hand"))
 
-    hot = hot_keys(contended, "variant_id", hot_rows)
-    cold = contended.where(~F.col("variant_id").isin(hot)) if hot else contended
+    hot = hot_keys(contended, "variant_id", "order_id", hot_rows, ranges)
+    named = None if hot is None else hot.select(F.col("_hot").alias("variant_id"))
+    ship_code(lines.sparkSession)
+    cold = contended if hot is None else contended.join(named, "variant_id", "left_anti")
     served = (cold.repartition("variant_id").sortWithinPartitions("variant_id", "order_id")
               .mapInPandas(_serve, "order_id bigint, variant_id bigint, quantity bigint, accepted boolean"))
     result = settled.unionByName(served)
-    if hot:
-        units = {r[0]: r[1] for r in
-                 known.where(F.col("variant_id").isin(hot)).select("variant_id", "on_hand").collect()}
-        big = contended.where(F.col("variant_id").isin(hot)).select("order_id", "variant_id", "quantity")
-        result = result.unionByName(_serve_hot(big, units, ranges))
+    if hot is not None:
+        big = contended.join(named, "variant_id", "left_semi").select("order_id", "variant_id", "quantity")
+        result = result.unionByName(_serve_hot(big, known.join(named, "variant_id", "left_semi"), hot))
     return result
 
 
 # ----------------------------------------------------------- order by order
-def _round(work: DataFrame, hot: list, points: list[float]) -> DataFrame:
+def _round(work: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Decide what can be decided: adds ``lost`` and closes the lines of winners."""
     quantity, is_open = F.col("quantity"), F.col("open")
     split = work.withColumns({"_open": F.when(is_open, quantity).otherwise(0),
                               "_won": F.when(is_open, 0).otherwise(quantity)})
-    summed = running_sums(split, "variant_id", "order_id", {"_open": "open_to", "_won": "won_to"}, hot, points)
+    summed = running_sums(split, "variant_id", "order_id", {"_open": "open_to", "_won": "won_to"}, hot)
     # The running sums include the row itself, as an open line.
     fits_after_all = F.col("won_to") + F.col("open_to") <= F.col("on_hand")
     fits_after_winners = F.col("won_to") + quantity <= F.col("on_hand")
@@ -154,8 +141,8 @@ def _round(work: DataFrame, hot: list, points: list[float]) -> DataFrame:
         (~F.coalesce(F.col("_may_win"), F.lit(True))).alias("lost"))
 
 
-def _between_open(work: DataFrame) -> tuple[DataFrame, int]:
-    """Only what still matters to an open line, and how many lines that is.
+def _between_open(work: DataFrame) -> DataFrame:
+    """Only what still matters to an open line.
 
     Winners ahead of a variant's first open line are taken off its stock, winners
     behind its last one and variants without an open line are left out.
@@ -165,39 +152,20 @@ def _between_open(work: DataFrame) -> tuple[DataFrame, int]:
     near = work.join(span, "variant_id")
     spent = (near.where(F.col("order_id") < F.col("_first")).groupBy("variant_id")
              .agg(F.sum("quantity").alias("_spent")))
-    count = Observation()
     kept = (near.where(F.col("order_id").between(F.col("_first"), F.col("_last")))
             .join(spent, "variant_id", "left")
             .select("order_id", "variant_id", "quantity",
-                    (F.col("on_hand") - F.coalesce("_spent", F.lit(0))).alias("on_hand"), "open")
-            .observe(count, F.count("*").alias("lines")))
-    return materialise(kept), count.get["lines"]
-
-
-def _serve_orders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Serve a short remainder in sequence; gives the orders that lose."""
-    lines = pd.concat(list(batches)).sort_values("order_id", kind="stable")
-    left: dict[int, int] = {}
-    lost = []
-    columns = (lines[c].tolist() for c in ("order_id", "variant_id", "quantity", "on_hand", "open"))
-    for order, own in groupby(zip(*columns), key=itemgetter(0)):
-        need = list(own)
-        if all(not is_open or quantity <= left.get(variant, on_hand) for _, variant, quantity, on_hand, is_open in need):
-            for _, variant, quantity, on_hand, _ in need:
-                left[variant] = left.get(variant, on_hand) - quantity
-        else:
-            lost.append(order)
-    yield pd.DataFrame({"order_id": pd.Series(lost, dtype="int64")})
-
-
-def allocate_orders(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS, ranges: int = RANGES,
-                    short: int = SHORT) -> DataFrame:
+                    (F.col("on_hand") - F.coalesce("_spent", F.lit(0))).alias("on_hand"), "open"))
+    return materialise(kept)
+
+
+def allocate_orders(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS, ranges: int = RANGES) -> DataFrame:
     """Order-atomic: an order wins if all its lines fit what earlier winners left, else it takes nothing.
 
     Solved in rounds. An open order wins if it fits even when every earlier open
     order wins, and loses if it does not fit even when none of them does. The
     earliest open order is always decided; in practice each round decides about
-    half of the rest. Once no more than ``short`` lines matter, one task settles them.
+    half of the rest. Lines that no open order depends on leave the rounds.
     """
     demand = lines.groupBy("variant_id").agg(F.sum("quantity").alias("demand"))
     known = demand.join(stock.select("variant_id", "on_hand"), "variant_id", "left").select(
@@ -206,13 +174,12 @@ def allocate_orders(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS
     scarce = known.where(F.col("demand") > F.col("on_hand")).select("variant_id", "on_hand")
     work = materialise(lines.select("order_id", "variant_id", "quantity").join(scarce, "variant_id")
                        .withColumn("open", F.lit(True)))
-    hot = hot_keys(work, "variant_id", hot_rows)
-    points = split_points(work, ["order_id"], ranges)[0] if hot else []
+    hot = hot_keys(work, "variant_id", "order_id", hot_rows, ranges)
 
     losers = []
     while True:
         count = Observation()
-        decided = materialise(_round(work, hot, points).observe(
+        decided = materialise(_round(work, hot).observe(
             count, F.count_if("open").alias("open"), F.count_if(~F.col("lost")).alias("kept")))
         losers.append(decided.where("lost").select("order_id"))
         # Losers leave; winners stay as taken stock. A loser is never open again.
@@ -220,11 +187,8 @@ def allocate_orders(lines: DataFrame, stock: DataFrame, hot_rows: int = HOT_ROWS
         still_open, kept = count.get["open"], count.get["kept"]
         if still_open == 0:
             break
-        if still_open * 4 < kept or still_open <= short:
-            work, kept = _between_open(work)
-            if kept <= short:
-                losers.append(work.repartition(1).mapInPandas(_serve_orders, "order_id bigint"))
-                break
+        if still_open * 4 < kept:
+            work = _between_open(work)
     lost = reduce(DataFrame.union, losers).distinct().withColumn("_lost", F.lit(True))
     return (lines.select("order_id").distinct().join(lost, "order_id", "left")
             .select("order_id", F.col("_lost").isNull().alias("accepted")))

@@ -11,17 +11,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from soukwise.operators.skew import HOT_ROWS, hot_keys, running_sums, split_points
-
-RANGES = 256
+from soukwise.operators.skew import HOT_ROWS, hot_keys, running_sums
 
 
 def numbered(df: DataFrame, key: str, order: list[Column], range_on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``seq``, the 1-based place of a row among the rows of its key."""
     ordered = df.withColumns({"_order": F.struct(*order), "_one": F.lit(1), "_range_on": F.col(range_on)})
-    hot = hot_keys(df, key, hot_rows)
-    points = split_points(ordered, ["_range_on"], RANGES)[0] if hot else []
-    return (running_sums(ordered, key, "_order", {"_one": "seq"}, hot, points, range_on="_range_on")
+    hot = hot_keys(ordered, key, "_range_on", hot_rows)
+    return (running_sums(ordered, key, "_order", {"_one": "seq"}, hot, range_on="_range_on")
             .drop("_order", "_one", "_range_on"))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from soukwise.operators.skew import HOT_ROWS
 from soukwise.operators.stock import allocate_lines, one_line_per_order
+from soukwise.session import ship_code
 
 RESULT = "variant_id bigint, order_id bigint, quantity bigint, accepted boolean, left bigint"
 
@@ -43,6 +44,7 @@ def allocate(lines: DataFrame, stock: DataFrame) -> DataFrame:
     A variant without a stock row starts at zero. How much one task sees of one
     variant is bounded by the trigger's maxFilesPerTrigger or maxBytesPerTrigger.
     """
+    ship_code(lines.sparkSession)
     known = lines.join(stock.select("variant_id", "on_hand"), "variant_id", "left").na.fill(0, ["on_hand"])
     return (known.select("variant_id", "order_id", "quantity", "on_hand").groupBy("variant_id")
             .applyInPandasWithState(_take, RESULT, "left bigint", "append", GroupStateTimeout.NoTimeout))

@@ -79,11 +79,10 @@ def test_line_by_line(spark, hot_rows):
     assert {(r["order_id"], r["variant_id"]): r["accepted"] for r in rows} == greedy(lines, on_hand)
 
 
-@pytest.mark.parametrize("hot_rows,short", [(1, 0), (10 ** 9, 0), (40, 60), (10 ** 9, 10 ** 4)],
-                         ids=["split", "whole", "short end", "one round"])
-def test_order_by_order(spark, hot_rows, short):
+@pytest.mark.parametrize("hot_rows", [1, 40, 10 ** 9], ids=["split", "some", "whole"])
+def test_order_by_order(spark, hot_rows):
     lines, on_hand = all_cases()
-    rows = stock.allocate_orders(*frames(spark, lines, on_hand), hot_rows, 8, short).collect()
+    rows = stock.allocate_orders(*frames(spark, lines, on_hand), hot_rows, 8).collect()
     assert {r["order_id"]: r["accepted"] for r in rows} == atomic(lines, on_hand)
 
 

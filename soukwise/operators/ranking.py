@@ -6,7 +6,8 @@ the position at which that range starts. A value so frequent that it fills whole
 ranges gets a range of its own, which is cut further by the tie-breaking id. The
 range of a row depends on its values only, so recomputed tasks agree.
 
-Order keys and ids must be numbers below 2**53 in size, the ids unique.
+Order keys and ids must be numbers, the ids unique. Ranges are found on doubles, which keep the order of
+numbers of any size; where doubles merge different values, the values themselves decide.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from soukwise.operators.skew import split_points, with_buckets
 from soukwise.session import materialise
 
-BUCKETS = 64
+#: Ranges at least and at most, and the rows that one of them should hold.
+BUCKETS, MOST_BUCKETS, ROWS_PER_BUCKET = 64, 1024, 1_000_000
 
 
 def _place(df: DataFrame, keys: list[str], id_col: str, buckets: int) -> dict[str, DataFrame]:
@@ -40,44 +42,64 @@ def _place(df: DataFrame, keys: list[str], id_col: str, buckets: int) -> dict[st
     return out
 
 
-def _piece_counts(placed: dict[str, DataFrame]) -> dict[str, list[tuple[int, int, int]]]:
-    """(piece, slot, rows) in order, for each order key. Bounded by the square of the bucket count."""
-    parts = [df.groupBy("_piece", "_slot").agg(F.expr("count(*) as n"), F.expr(f"max(abs(double(`{key}`))) as size"))
-             .selectExpr(f"'{key}' as key", "_piece", "_slot", "n", "size") for key, df in placed.items()]
-    out: dict[str, list] = {key: [] for key in placed}
-    for row in reduce(DataFrame.unionByName, parts).collect():
-        if row["size"] is not None and row["size"] >= 2 ** 53:
-            raise ValueError(f"order key {row['key']} exceeds 2**53; rank it in coarser units")
-        out[row["key"]].append((row["_piece"], row["_slot"], row["n"]))
-    return {key: sorted(counts) for key, counts in out.items()}
+def _counted(placed: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, list[tuple[int, int, int, bool]]]]:
+    """(piece, slot, rows, single) in order, for each order key: ``single`` where a piece holds one value.
+
+    Values that share a double can make a range look like one value. Such a piece is not cut by id.
+    The counts are bounded by the square of the bucket count.
+    """
+    parts = [df.groupBy("_piece", "_slot").agg(
+        F.expr("count(*) as n"), F.expr(f"string(min(`{key}`)) as low"), F.expr(f"string(max(`{key}`)) as high"))
+        .selectExpr(f"'{key}' as key", "_piece", "_slot", "n", "low", "high") for key, df in placed.items()]
+    rows = reduce(DataFrame.unionByName, parts).collect()
+    counts, frames = {}, {}
+    for key, df in placed.items():
+        own = [r for r in rows if r["key"] == key]
+        values: dict[int, set] = {}
+        for r in own:
+            values.setdefault(r["_piece"], set()).update((r["low"], r["high"]))
+        single = {piece: piece % 2 == 0 and len(seen) == 1 for piece, seen in values.items()}
+        sums: dict[tuple[int, int], int] = {}
+        for r in own:
+            at = (r["_piece"], r["_slot"] if single[r["_piece"]] else 0)
+            sums[at] = sums.get(at, 0) + r["n"]
+        counts[key] = [(piece, slot, n, single[piece]) for (piece, slot), n in sorted(sums.items())]
+        mixed = [piece for piece, one in single.items() if piece % 2 == 0 and not one]
+        frames[key] = df.withColumn("_slot", F.when(F.col("_piece").isin(mixed), 0).otherwise(F.col("_slot"))) if mixed else df
+    return frames, counts
+
+
+def _ranges(df: DataFrame) -> int:
+    """How many ranges: more for more rows, so that a range stays within a task."""
+    return max(BUCKETS, min(MOST_BUCKETS, df.count() // ROWS_PER_BUCKET))
 
 
 def global_ranks(df: DataFrame, key: str, id_col: str, descending: bool = False,
-                 buckets: int = BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Add ``row_number``, ``rank`` and ``pct_rank`` over all rows.
 
     ``row_number`` breaks ties by ascending id. ``pct_rank`` is the average rank
     of the tied rows as a share of all rows.
     """
     df = materialise(df.withColumn("_key", F.negate(F.col(key)) if descending else F.col(key)))
-    placed = _place(df, ["_key"], id_col, buckets)
-    counts = _piece_counts(placed)["_key"]
+    placed, counted = _counted(_place(df, ["_key"], id_col, buckets or _ranges(df)))
+    counts = counted["_key"]
 
-    total = sum(n for _, _, n in counts)
+    total = sum(n for _, _, n, _ in counts)
     per_piece: dict[int, int] = {}
-    for piece, _, n in counts:
+    for piece, _, n, _ in counts:
         per_piece[piece] = per_piece.get(piece, 0) + n
     starts, seen, first_of = [], 0, {}
-    for piece, slot, n in counts:
+    for piece, slot, n, single in counts:
         first_of.setdefault(piece, seen)
-        starts.append((piece, slot, seen, first_of[piece], per_piece[piece]))
+        starts.append((piece, slot, seen, first_of[piece], per_piece[piece], single))
         seen += n
-    schema = "_piece int, _slot int, _start bigint, _first bigint, _size bigint"
+    schema = "_piece int, _slot int, _start bigint, _first bigint, _size bigint, _single boolean"
     # One row per piece and slot: bounded by the bucket count, whatever the data.
     offsets = F.broadcast(df.sparkSession.createDataFrame(starts, schema))
 
     within = Window.partitionBy("_piece", "_slot")
-    single = F.col("_piece") % 2 == 0
+    single = F.col("_single")
     ties = F.when(single, F.col("_size")).otherwise(
         F.count("*").over(Window.partitionBy("_piece", "_slot", "_key")))
     rank = F.when(single, F.col("_first") + 1).otherwise(
@@ -88,7 +110,7 @@ def global_ranks(df: DataFrame, key: str, id_col: str, descending: bool = False,
                 "rank": rank,
                 "_ties": ties})
             .withColumn("pct_rank", (F.col("rank") + (F.col("_ties") - 1) / 2) / F.lit(total))
-            .drop("_key", "_piece", "_slot", "_start", "_first", "_size", "_ties"))
+            .drop("_key", "_piece", "_slot", "_start", "_first", "_size", "_single", "_ties"))
 
 
 def _tile_ends(total: int, tiles: int) -> list[int]:
@@ -101,11 +123,11 @@ def _tile_ends(total: int, tiles: int) -> list[int]:
     return ends
 
 
-def _border_rows(placed: DataFrame, key: str, id_col: str, counts: list[tuple[int, int, int]],
+def _border_rows(placed: DataFrame, key: str, id_col: str, counts: list[tuple[int, int, int, bool]],
                  positions: list[int]) -> DataFrame:
     """(id, key) of the rows at the given 1-based positions of the global order."""
     pieces, places, seen = ["false"], ["false"], 0
-    for piece, slot, n in counts:
+    for piece, slot, n, _ in counts:
         local = sorted({p - seen for p in positions if seen < p <= seen + n})
         if local:
             here = f"_piece = {piece} and _slot = {slot}"
@@ -118,7 +140,7 @@ def _border_rows(placed: DataFrame, key: str, id_col: str, counts: list[tuple[in
 
 
 def ntiles(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]], id_col: str,
-           buckets: int = BUCKETS) -> DataFrame:
+           buckets: int | None = None) -> DataFrame:
     """NTILE over the whole table for several order keys at once.
 
     ``keys`` maps an output column to (order column, descending). Only the rows at
@@ -128,9 +150,8 @@ def ntiles(df: DataFrame, tiles: int, keys: dict[str, tuple[str, bool]], id_col:
     order = {out: f"_order_{out}" for out in keys}
     df = materialise(df.selectExpr("*", *[
         f"{'-' if desc else ''}`{c}` as `{order[out]}`" for out, (c, desc) in keys.items()]))
-    placed = _place(df, list(order.values()), id_col, buckets)
-    counts = _piece_counts(placed)
-    total = sum(n for _, _, n in next(iter(counts.values())))
+    placed, counts = _counted(_place(df, list(order.values()), id_col, buckets or _ranges(df)))
+    total = sum(n for _, _, n, _ in next(iter(counts.values())))
     ends = _tile_ends(total, tiles)
 
     # Every key fills its own column, so that no value changes its type on the way.

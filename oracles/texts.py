@@ -62,10 +62,10 @@ union all select 'order_line', count(*) from fact_order_line union all select 'p
 union all select 'shipment', count(*) from fact_shipment union all select 'review', count(*) from review
 union all select 'scan', count(*) from shipment_scan union all select 'event', count(*) from clickstream""",
     "dataset_inventory": """
-select 'nation' as table_name, count(*) as row_count from nation
-union all select 'customer', count(*) from customer union all select 'supplier', count(*) from supplier
-union all select 'part', count(*) from part union all select 'orders', count(*) from orders
-union all select 'lineitem', count(*) from lineitem union all select 'events', count(*) from events""",
+select 'nation' as table_name, cast(1 as bigint) as files, count(*) as row_count from nation
+union all select 'customer', 1, count(*) from customer union all select 'supplier', 1, count(*) from supplier
+union all select 'part', 1, count(*) from part union all select 'orders', 1, count(*) from orders
+union all select 'lineitem', 1, count(*) from lineitem union all select 'events', 1, count(*) from events""",
     # ----------------------------------------------------------------- lake
     "events_by_month": """
 select event_month, count(*) as events, count(distinct session_id) as sessions from clickstream group by 1""",
@@ -340,7 +340,11 @@ select coalesce(a.order_id, b.order_id) as order_id, coalesce(a.n, 0) as shipmen
 from a full join b on a.order_id = b.order_id""",
     # ------------------------------------------------------------ integrity
     "dq_checks": """
-select 'product.price' as rule, count(*) filter (where not base_price > 0) as violations from dim_product
+select 'customer.email' as rule, cast(null as bigint) as violations
+union all select 'seller.rating', null
+union all select 'orders.discount', count(*) filter (where discount < 0) from order_discount
+union all select 'payment.paid_at', null
+union all select 'product.price' as rule, count(*) filter (where not base_price > 0) as violations from dim_product
 union all select 'inventory.quantity', count(*) filter (where quantity_on_hand < 0) from inventory
 union all select 'inventory.safety', count(*) filter (where safety_stock < 0) from inventory
 union all select 'promotion.pct', count(*) filter (where discount_pct <= 0 or discount_pct > 100) from promotion
@@ -367,7 +371,9 @@ union all select 'review.rating', count(*) filter (where rating not between 1 an
             ("promotion.code", "promotion", "promo_code"), ("orders.pk", "fact_order", "order_id"),
             ("order_line.number", "lineitem", "l_orderkey, l_linenumber"),
             ("order_line.pk", "fact_order_line", "order_id, variant_id"),
-            ("shipment.tracking", "fact_shipment", "tracking_no"),
+            ("variant.pk", "variant", "variant_id"), ("inventory.pk", "inventory", "variant_id"),
+            ("promotion.pk", "promotion", "promotion_id"), ("payment.order", "payment", "order_id"),
+            ("shipment.order", "fact_shipment", "order_id"), ("shipment.tracking", "fact_shipment", "tracking_no"),
             ("review.once", "review", "order_id, product_id, customer_id"))),
     "dq_orphans": """
 select 'orders.customer' as rule, count(*) as orphans from orders where o_custkey not in (select c_custkey from customer)
@@ -377,6 +383,13 @@ union all select 'order_line.order', count(*) from lineitem where l_orderkey not
 union all select 'order_line.variant', count(*) from fact_order_line
     where variant_id not in (select variant_id from variant)
 union all select 'product.seller', count(*) from dim_product where seller_id not in (select s_suppkey from supplier)
+union all select 'variant.product', count(*) from variant where product_id not in (select product_id from dim_product)
+union all select 'inventory.variant', count(*) from inventory where variant_id not in (select variant_id from variant)
+union all select 'payment.order', count(*) from payment where order_id not in (select o_orderkey from orders)
+union all select 'shipment.order', count(*) from fact_shipment where order_id not in (select o_orderkey from orders)
+union all select 'review.product', count(*) from review where product_id not in (select product_id from dim_product)
+union all select 'review.customer', count(*) from review where customer_id not in (select c_custkey from customer)
+union all select 'review.order', count(*) from review where order_id not in (select o_orderkey from orders)
 union all select 'event.product', count(*) from clickstream
     where product_id is not null and product_id not in (select p_partkey from part)
 union all select 'event.user', count(*) from clickstream where user_id not in (select c_custkey from customer)""",
@@ -388,6 +401,15 @@ union all select 'variant-inventory', 'cascade', count(*) from inventory where v
 union all select 'product-review', 'cascade', count(*) from review where product_id in (select product_id from gone)
 union all select 'variant-order_line', 'restrict', count(*) from lost
     where variant_id in (select variant_id from fact_order_line)
+union all select 'order-order_line', 'cascade', count(*) from fact_order_line where status = 'Cancelled'
+union all select 'order-payment', 'cascade', count(*) from payment where status = 'Failed'
+union all select 'order-shipment', 'cascade', count(*) from fact_shipment
+    where order_id in (select order_id from fact_order where status = 'Cancelled')
+union all select 'order-review', 'cascade', count(*) from review
+    where order_id in (select order_id from fact_order where status = 'Cancelled')
+union all select 'customer-orders', 'restrict', count(*) from customer
+    where c_custkey % 10 = 0 and c_custkey in (select o_custkey from orders)
+union all select 'seller-product', 'cascade', count(*) from dim_product where seller_id % 10 = 0
 union all select 'promotion-orders', 'set null', count(*) from fact_order where promotion_id % 2 = 0
 union all select 'product-review', 'kept', count(*) from review where product_id not in (select product_id from gone)
 union all select 'promotion-orders', 'without', count(*) from fact_order where promotion_id is null or promotion_id % 2 = 0""",
@@ -439,6 +461,12 @@ from order_discount d join fact_order o on o.order_id = d.order_id""",
 select n.variant_id, coalesce(quantity_on_hand, 0) as has, cast(needs as bigint) as needs
 from (select variant_id, sum(quantity) as needs from fact_order_line group by variant_id) n
 left join inventory i on i.variant_id = n.variant_id where quantity_on_hand is null or quantity_on_hand < needs""",
+    "stock_set_allocate": """
+with need as (select variant_id, sum(quantity) as needs from fact_order_line group by variant_id),
+     short as (select count(*) > 0 as refused from need n left join inventory i on i.variant_id = n.variant_id
+               where coalesce(quantity_on_hand, 0) < needs)
+select i.variant_id, cast(quantity_on_hand - case when refused then 0 else coalesce(needs, 0) end as bigint) as on_hand
+from inventory i left join need n on n.variant_id = i.variant_id cross join short""",
     "restock": """
 select i.variant_id, quantity_on_hand as on_hand, cast(coalesce(back, 0) as bigint) as returned,
        cast(quantity_on_hand + coalesce(back, 0) as bigint) as on_hand_after
@@ -460,6 +488,24 @@ walk(i, order_id, variant_id, quantity, accepted, rest) as (
            w.rest - case when q.quantity <= w.rest then q.quantity else 0 end
     from walk w join queue q on q.variant_id = w.variant_id and q.i = w.i + 1)
 select order_id, variant_id, quantity, accepted from walk""",
+    "stock_order_atomic": """
+with recursive need as materialized (select variant_id, sum(quantity) as needs from fact_order_line group by variant_id),
+scarce as materialized (
+    select n.variant_id, coalesce(s.quantity_on_hand, 0) as has, row_number() over (order by n.variant_id) as k
+    from need n left join inventory s on s.variant_id = n.variant_id where coalesce(s.quantity_on_hand, 0) < needs),
+wants as materialized (
+    select o.order_id, row_number() over (order by o.order_id) as i, list(k order by k) as ks,
+           list(cast(quantity as bigint) order by k) as qs
+    from order_variant o join scarce c on c.variant_id = o.variant_id group by o.order_id),
+walk(i, order_id, accepted, rest) as (
+    select cast(0 as bigint), cast(null as bigint), true, (select list(has order by k) from scarce)
+    union all
+    select w.i, w.order_id, t.ok,
+           case when t.ok then list_transform(p.rest, lambda r, j: r - coalesce(w.qs[list_position(w.ks, j)], 0)) else p.rest end
+    from walk p join wants w on w.i = p.i + 1,
+         lateral (select list_bool_and(list_transform(w.ks, lambda k, j: w.qs[j] <= p.rest[k])) as ok) t)
+select o.order_id, coalesce(w.accepted, true) as accepted
+from (select distinct order_id from order_variant) o left join walk w on w.order_id = o.order_id""",
     # ------------------------------------------------------------ streaming
     "stream_ingest": f"""
 select cast(event_id as varchar) as event_id, session_id, user_id, event_type, {ts('ts')} as timestamp,

@@ -30,19 +30,19 @@ select n_nationkey as promotion_id, concat('SALE', lpad(cast(n_nationkey as varc
             else 50 end as decimal(5,2)) as discount_pct,
        cast(case n_nationkey % 4 when 0 then 5000 when 1 then 10000 when 2 then 20000 else 50000 end
             as decimal(18,2)) as max_discount,
-       make_date(1995 + n_nationkey % 6, 1 + n_nationkey, 1) as start_date,
-       make_date(1995 + n_nationkey % 6, 1 + n_nationkey, 28) as end_date
-from nation where n_nationkey < 12""",
+       make_date(1995 + n_nationkey % 6, 1 + n_nationkey % 12, 1) as start_date,
+       make_date(1995 + n_nationkey % 6, 1 + n_nationkey % 12, 28) as end_date
+from nation""",
     "fact_order": """
 select o_orderkey as order_id, o_custkey as customer_id, o_orderdate as order_date,
        case when o_orderstatus = 'F' then 'Delivered'
             when o_orderstatus = 'O' and o_orderkey % 10 < 2 then 'Pending'
             when o_orderstatus = 'O' and o_orderkey % 10 < 5 then 'Confirmed'
             when o_orderstatus = 'O' then 'Shipping'
-            when o_orderkey % 10 < 7 then 'Cancelled' else 'Returned' end as status,
+            when o_orderstatus = 'P' and o_orderkey % 10 < 7 then 'Cancelled' when o_orderstatus = 'P' then 'Returned' end as status,
        n_name as ship_province,
        case when o_orderstatus = 'P' and o_orderkey % 10 < 7 then o_orderpriority end as cancel_reason,
-       case when o_orderkey % 25 < 7 then o_orderkey % 12 end as promotion_id
+       case when o_orderkey % 25 < 7 then (o_orderkey // 25) % 25 end as promotion_id
 from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey""",
     "fact_order_line": """
 select o.order_id, o.customer_id, o.order_date, o.status, o.ship_province, o.promotion_id,
@@ -74,16 +74,16 @@ where o.status in ('Shipping', 'Delivered', 'Returned') group by o.order_id, o.s
     "shipment_scan": """
 select concat('TRK', lpad(cast(l_orderkey as varchar), 8, '0')) as tracking_no, l_orderkey as order_id,
        concat('ST_', cast(l_suppkey % 7 as varchar)) as station, l_shipdate as scanned_at
-from lineitem where l_orderkey % 9 <> 0""",
+from lineitem""",
     "review": """
 select l_orderkey as order_id, l_partkey as product_id, max(o_custkey) as customer_id,
        1 + max(cast(l_quantity as bigint)) % 5 as rating
-from lineitem join orders on o_orderkey = l_orderkey where l_returnflag = 'N' group by l_orderkey, l_partkey""",
+from lineitem join orders on o_orderkey = l_orderkey group by l_orderkey, l_partkey""",
     "clickstream": """
 select event_id, ts, strftime(ts, '%Y-%m') as event_month, user_id,
-       concat(cast(user_id as varchar), '-', strftime(ts, '%Y%m%d')) as session_id,
+       concat(coalesce(cast(user_id as varchar), 'guest'), '-', strftime(ts, '%Y%m%d')) as session_id,
        case event_type when 'view' then 'product_view' when 'click' then 'add_to_cart' when 'signup' then 'checkout_start'
-                       when 'error' then 'remove_from_cart' else 'purchase' end as event_type,
+                       when 'error' then 'remove_from_cart' when 'purchase' then 'purchase' end as event_type,
        case when event_type in ('view', 'click', 'error') then cast(json_extract_string(props, '$.k') as bigint) end
             as product_id,
        case user_id % 4 when 0 then 'android' when 1 then 'ios' when 2 then 'mobile_web' else 'desktop_web' end as platform,

@@ -51,7 +51,7 @@ def _order_status() -> Column:
             .when((raw == "O") & (key % 10 < 2), "Pending")
             .when((raw == "O") & (key % 10 < 5), "Confirmed")
             .when(raw == "O", "Shipping")
-            .when(key % 10 < 7, "Cancelled").otherwise("Returned"))
+            .when((raw == "P") & (key % 10 < 7), "Cancelled").when(raw == "P", "Returned"))
 
 
 def tracking_number(order_id: Column) -> Column:
@@ -120,12 +120,13 @@ class Marketplace:
                .when(key % 6 == 3, 20).when(key % 6 == 4, 30).otherwise(50))
         cap = F.when(key % 4 == 0, 5000).when(key % 4 == 1, 10000).when(key % 4 == 2, 20000).otherwise(50000)
         year = 1995 + key % 6
-        return (self.table("nation").where(key < 12)
+        month = 1 + key % 12
+        return (self.table("nation")
                 .select(key.alias("promotion_id"),
                         F.concat(F.lit("SALE"), F.lpad(key.cast("string"), 2, "0")).alias("promo_code"),
                         pct.cast("decimal(5,2)").alias("discount_pct"), cap.cast(MONEY).alias("max_discount"),
-                        F.make_date(year, 1 + key, F.lit(1)).alias("start_date"),
-                        F.make_date(year, 1 + key, F.lit(28)).alias("end_date")))
+                        F.make_date(year, month, F.lit(1)).alias("start_date"),
+                        F.make_date(year, month, F.lit(28)).alias("end_date")))
 
     # ----------------------------------------------------------------- facts
     def _raw_orders(self, only: tuple[str, ...]) -> DataFrame:
@@ -144,7 +145,7 @@ class Marketplace:
             key.alias("order_id"), F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("order_date"), "status",
             F.when(F.col("status") == "Cancelled", F.col("o_orderpriority")).alias("cancel_reason"),
-            F.when(key % 25 < 7, key % 12).alias("promotion_id"))
+            F.when(key % 25 < 7, F.call_function("div", key, F.lit(25)) % 25).alias("promotion_id"))
         if not province:
             return base
         homes = self.customers().select("customer_id", F.col("province").alias("ship_province"))
@@ -193,15 +194,15 @@ class Marketplace:
             F.when(F.col("order_status") != "Shipping", F.col("last_ship")).alias("delivered_at"))
 
     def scans(self) -> DataFrame:
-        """Parcel scan log; parcels whose order number divides by nine left none."""
-        return self.table("lineitem").where(F.col("l_orderkey") % 9 != 0).select(
+        """Parcel scan log: a scan for every line. Orders that never left have scans but no shipment."""
+        return self.table("lineitem").select(
             tracking_number(F.col("l_orderkey")).alias("tracking_no"),
             F.col("l_orderkey").alias("order_id"),
             F.concat(F.lit("ST_"), (F.col("l_suppkey") % 7).cast("string")).alias("station"),
             F.col("l_shipdate").alias("scanned_at"))
 
     def reviews(self) -> DataFrame:
-        marks = self.table("lineitem").where(F.col("l_returnflag") == "N").select(
+        marks = self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), "l_quantity")
         buyers = self.table("orders").select(F.col("o_orderkey").alias("order_id"),
                                              F.col("o_custkey").alias("customer_id"))
@@ -217,12 +218,13 @@ class Marketplace:
             raw = raw.where(kind.isin([RAW_EVENT[t] for t in only]))
         step = (F.when(kind == "view", "product_view").when(kind == "click", "add_to_cart")
                 .when(kind == "signup", "checkout_start").when(kind == "error", "remove_from_cart")
-                .otherwise("purchase"))
+                .when(kind == "purchase", "purchase"))
         platform = (F.when(user % 4 == 0, "android").when(user % 4 == 1, "ios")
                     .when(user % 4 == 2, "mobile_web").otherwise("desktop_web"))
         return raw.select(
             "event_id", "ts", F.date_format("ts", "yyyy-MM").alias("event_month"), "user_id",
-            F.concat(user.cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
+            F.concat(F.coalesce(user.cast("string"), F.lit("guest")), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
+            .alias("session_id"),
             step.alias("event_type"),
             F.when(kind.isin("view", "click", "error"),
                    F.get_json_object("props", "$.k").cast("bigint")).alias("product_id"),

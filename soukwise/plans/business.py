@@ -44,7 +44,7 @@ def top_sellers_in_range(lines: DataFrame, products: DataFrame, first: date, las
            .orderBy(F.desc("units"), "product_id").limit(n))
     # Names are looked up for n rows only.
     return (products.select("product_id", "product_name", "category", "shop")
-            .join(F.broadcast(top), "product_id").orderBy(F.desc("units"), "product_id"))
+            .join(top, "product_id").orderBy(F.desc("units"), "product_id"))
 
 
 def rfm(lines: DataFrame, customers: DataFrame, as_of: date, buckets: int = 64) -> DataFrame:

@@ -31,10 +31,10 @@ def product_search(products: DataFrame, variants: DataFrame, inventory: DataFram
         .select("product_id", "product_name", "base_price", "category", "shop", "variant_id", "sku",
                 (F.col("base_price") + F.col("price_adjust")).alias("sell_price"), "quantity_on_hand")
         .orderBy(F.desc("quantity_on_hand"), "product_id", "variant_id").limit(limit))
-    rated = (reviews.join(F.broadcast(page.select("product_id").distinct()), "product_id", "left_semi")
+    rated = (reviews.join(page.select("product_id").distinct(), "product_id", "left_semi")
              .groupBy("product_id").agg(half_up(F.sum("rating"), F.count("*"), 1).alias("avg_rating")))
     # At most one rating per product of the page.
-    return (page.join(F.broadcast(rated), "product_id", "left")
+    return (page.join(rated, "product_id", "left")
             .withColumn("avg_rating", F.coalesce("avg_rating", F.lit(0.0)))
             .orderBy(F.desc("quantity_on_hand"), "product_id", "variant_id"))
 

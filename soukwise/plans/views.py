@@ -20,11 +20,20 @@ def create_model_views(spark: SparkSession, folder: str) -> None:
 
 
 def create_question_views(spark: SparkSession, folder: str, codes: tuple[str, ...] = tuple(CODES)) -> None:
-    """Views named like the queries that answer the questions, and ``low_ratings(min_pct)``,
-    a table function with a default. Questions that rank all rows compute the ranks here."""
+    """Views named like the queries that answer the questions, ``top_sellers(first_day, last_day)``,
+    and ``low_ratings(min_pct)``, a table function with a default. Questions that rank all rows compute the ranks here."""
     for code in codes:
         name = CODES[code][0]
         QUERIES[name](spark, folder).createOrReplaceTempView(name)
+    if "YC02" in codes:
+        Marketplace(settle(spark), folder).order_lines().createOrReplaceTempView("order_lines")
+        spark.sql("""
+            create or replace temporary function top_sellers(first_day date, last_day date)
+            returns table (product_id bigint, units bigint, revenue decimal(28,2))
+            return select product_id, sum(quantity), sum(line_revenue) from order_lines
+                   where status = 'Delivered' and order_date >= top_sellers.first_day
+                     and order_date < date_add(top_sellers.last_day, 1)
+                   group by product_id order by sum(quantity) desc, product_id limit 10""")
     if "YC10" in codes:
         spark.sql("""
             create or replace temporary function low_ratings(min_pct double default 0)

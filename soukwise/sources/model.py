@@ -7,8 +7,6 @@ is still a shuffle of the whole fact table.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,9 +77,10 @@ class Marketplace:
                 .select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("full_name"),
                         F.col("n_name").alias("province"), F.col("c_mktsegment").alias("segment")))
 
-    @cached_property
-    def _seller_count(self) -> int:
-        return self.table("supplier").count()
+    @property
+    def _seller_count(self) -> Column:
+        """A scalar subquery: counted when a query that needs it runs."""
+        return self.table("supplier").agg(F.count("*")).scalar()
 
     def products(self, shop: bool = False) -> DataFrame:
         base = self.table("part").select(

@@ -37,3 +37,11 @@ def test_bucketed_tables_give_the_same_answers_with_fewer_shuffles(spark, data,
             assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, bucketed.collect()), key=str)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_top_sellers_of_a_stated_period(spark, data):
+    create_question_views(spark, data, ("YC02",))
+    rows = spark.sql("select * from top_sellers(date '1995-01-01', date '1996-12-31')").collect()
+    sold = spark.sql("""select product_id, sum(quantity) as units from order_lines where status = 'Delivered'
+                        and year(order_date) in (1995, 1996) group by 1 order by 2 desc, 1 limit 10""").collect()
+    assert [(r["product_id"], r["units"]) for r in rows] == [tuple(r) for r in sold] and len(rows) == 10

@@ -3,10 +3,14 @@
 Texts are near copies if the Jaccard coefficient of their sets of five-word
 shingles is 0.8 or more. Such sets give SimHash fingerprints that differ in about
 9 of 64 bits, too many to find all pairs of one fingerprint in a grid. So every text gets eight
-fingerprints, each with its segment counts in four grids of eight axes; two texts
-that are 0.8 alike share a cell with a chance of 0.98, more similar ones nearly always. The
+fingerprints, each with its segment counts in eight grids of eight axes, four of neighbouring and
+four of spread ones; two texts that are 0.8 alike share one of the 64 cells with a chance above 0.99. The
 Hamming distances and then the shingles themselves decide.
 
+The fingerprint of a short text turns on a few shingles, so its bits say less. Texts of up to
+``FEW`` shingles get cells of another kind besides: their shingles of lowest hash, as many as any
+two sets that are 0.8 alike must share one of.
+
 Texts with equal shingle sets are one node. First each cell links its members to its most frequent
 node, so that a large group is joined by few links. Then pairs are only
 made of nodes that are still in different components.
@@ -27,9 +31,13 @@ from soukwise.llm.simhash import CHUNK, SEED, shingle_digests
 from soukwise.session import materialise
 
 WIDTH, LEAST = 5, 0.8
-PRINTS, GRIDS = 8, 4
+PRINTS = 8
+#: The axes of each grid, out of the 32 segments of two bits.
+GRIDS = [range(8 * g, 8 * g + 8) for g in range(4)] + [range(g, 32, 4) for g in range(4)]
 #: Differing bits that are allowed in the fingerprint that shares a cell, and in all fingerprints together.
-NEAR, NEAR_ALL = 12, 120
+NEAR, NEAR_ALL = 12, 160
+#: Shingles of a short text at most.
+FEW = 50
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -56,35 +64,50 @@ def prints(shingles: np.ndarray) -> list[int]:
     return out
 
 
+def prefix(shingles: np.ndarray) -> list[int]:
+    """The first shingles of a short text, one of which any set that is similar enough has among its own."""
+    if len(shingles) > FEW:
+        return []
+    return shingles[:len(shingles) - int(np.ceil(LEAST * len(shingles) - 1e-9)) + 1].view(np.int64).tolist()
+
+
 def described(docs: DataFrame) -> DataFrame:
-    """(id, h, node, n, fps) of a table (id, text): hash of the text, of its shingle set, the set's size and fingerprints."""
+    """(id, h, node, n, fps, few) of a table (id, text): hash of the text, of its shingle set, the set's size,
+    fingerprints and, for a short text, first shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, node, n, fps = [], [], [], []
+            h, node, n, fps, few = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 h.append(xxhash.xxh64_intdigest(text.encode(), SEED))
                 shingles = shingle_set(text)
                 node.append(xxhash.xxh64_intdigest(shingles.tobytes(), SEED))
                 n.append(len(shingles))
                 fps.append(prints(shingles))
+                few.append(prefix(shingles))
             signed = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (h, node)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *signed, pa.array(n, pa.int64()), pa.array(fps, pa.list_(pa.int64()))],
-                ["id", "h", "node", "n", "fps"])
+                [batch.column(0), *signed, pa.array(n, pa.int64()), pa.array(fps, pa.list_(pa.int64())),
+                 pa.array(few, pa.list_(pa.int64()))], ["id", "h", "node", "n", "fps", "few"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, h bigint, node bigint, n bigint, fps array<bigint>")
+    return docs.select("id", "text").mapInArrow(run, f"id {kind}, h bigint, node bigint, n bigint, fps array<bigint>, few array<bigint>")
+
+
+def _mask(axes: range) -> int:
+    """The bits of some segments, as a signed integer."""
+    bits = sum(3 << (2 * i) for i in axes)
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
 def _cells(nodes: DataFrame) -> DataFrame:
-    """(grid, cell, node, n, fp, copies, label): a row for each fingerprint and grid."""
+    """(grid, cell, node, n, fp, copies, label): a row for each fingerprint and grid, and for each first shingle of a
+    short text, which no fingerprint goes with."""
+    short = nodes.selectExpr("node", "n", "0L as fp", "copies", "label", "-1 as grid", "explode(few) as cell")
     points = nodes.select("node", "n", "copies", "label", F.posexplode("fps").alias("k", "fp"))
     even, odd = "(fp & 6148914691236517205L)", "(shiftrightunsigned(fp, 1) & 6148914691236517205L)"
     points = points.withColumn("point", F.expr(f"shiftleft({even} & {odd}, 1) | ({even} ^ {odd})"))
-    size = 64 // GRIDS
-    parts = ", ".join(f"struct(k * {GRIDS} + {g} as grid, int(shiftrightunsigned(point, {g * size}) & {(1 << size) - 1}) as cell)"
-                      for g in range(GRIDS))
-    return points.selectExpr("node", "n", "fp", "copies", "label", f"inline(array({parts})) as (grid, cell)")
+    parts = ", ".join(f"struct(k * {len(GRIDS)} + {g} as grid, point & {_mask(axes)}L as cell)" for g, axes in enumerate(GRIDS))
+    return points.selectExpr("node", "n", "fp", "copies", "label", f"inline(array({parts})) as (grid, cell)").unionByName(short)
 
 
 _ALIKE = f"bit_count(fp ^ fp2) <= {NEAR} and least(n, n2) >= {LEAST} * greatest(n, n2)"
@@ -120,7 +143,7 @@ def groups(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """
     nodes = materialise(rows.groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("rep"), F.first("n").alias("n"),
-        F.first("fps").alias("fps"), F.count("*").alias("copies")).withColumn("label", F.col("node")))
+        F.first("fps").alias("fps"), F.first("few").alias("few"), F.count("*").alias("copies")).withColumn("label", F.col("node")))
     full = nodes.where("n > 0")
     cells = _cells(full)
     hubs = (cells.groupBy("grid", "cell").agg(F.max(F.struct("copies", "node", "n", "fp")).alias("top"), F.count("*").alias("m"))

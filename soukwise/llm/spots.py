@@ -74,7 +74,7 @@ def similar_pairs(sets: DataFrame, least: float = 0.8) -> DataFrame:
                .groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("count", "s"))).alias("ranked")))
     band = F.floor(F.log(F.col("n").cast("double")) / -math.log(least)).cast("int")
     first = F.slice("ranked", F.lit(1), (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int"))
-    keyed = ordered.select("id", "n", band.alias("band"), F.explode(first)["s"].alias("s"))
+    keyed = ordered.select("id", "n", band.alias("band"), F.explode(F.transform(first, lambda x: x["s"])).alias("s"))
     probes = keyed.select("id", "n", "s", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
     left = probes.select("band", "s", F.col("id").alias("id1"), F.col("n").alias("n1"))
     right = keyed.select("band", "s", F.col("id").alias("id2"), F.col("n").alias("n2"))

@@ -3,17 +3,18 @@
 Texts are near copies if the Jaccard coefficient of their sets of five-word
 shingles is 0.8 or more. Such sets give SimHash fingerprints that differ in about
 9 of 64 bits, too many to find all pairs of one fingerprint in a grid. So every text gets eight
-fingerprints, each with its segment counts in eight grids of eight axes, four of neighbouring and
-four of spread ones; two texts that are 0.8 alike share one of the 64 cells with a chance above 0.99. The
+fingerprints, each with its segment counts in six grids of eight axes, four of neighbouring and
+two of spread ones; two texts that are 0.8 alike share one of the 48 cells with a chance of 0.99. The
 Hamming distances and then the shingles themselves decide.
 
 The fingerprint of a short text turns on a few shingles, so its bits say less. Texts of up to
 ``FEW`` shingles get cells of another kind besides: their shingles of lowest hash, as many as any
 two sets that are 0.8 alike must share one of.
 
-Texts with equal shingle sets are one node. First each cell links its members to its most frequent
-node, so that a large group is joined by few links. Then pairs are only
-made of nodes that are still in different components.
+Texts with equal shingle sets are one node. First the cells of two fingerprints link their members to
+their most frequent node, so that a large group is joined by few links. Then pairs are only
+made of nodes that are still in different components. Texts stay where they are, but for those that a link
+has to be verified on, or that may have to go.
 """
 
 from __future__ import annotations
@@ -33,7 +34,11 @@ from soukwise.session import materialise
 WIDTH, LEAST = 5, 0.8
 PRINTS = 8
 #: The axes of each grid, out of the 32 segments of two bits.
-GRIDS = [range(8 * g, 8 * g + 8) for g in range(4)] + [range(g, 32, 4) for g in range(4)]
+GRIDS = [range(8 * g, 8 * g + 8) for g in range(4)] + [range(g, 32, 4) for g in range(2)]
+#: Fingerprints and grids of each whose cells link to their most frequent node first.
+HUBS = 2, 4
+#: Bits of the map that tells which texts may be meant, before any is moved; one megabyte.
+BITS = 1 << 23
 #: Differing bits that are allowed in the fingerprint that shares a cell, and in all fingerprints together.
 NEAR, NEAR_ALL = 12, 160
 #: Shingles of a short text at most.
@@ -99,20 +104,36 @@ def _mask(axes: range) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
-def _cells(nodes: DataFrame) -> DataFrame:
-    """(grid, cell, node, n, fp, copies, label): a row for each fingerprint and grid, and for each first shingle of a
+def _cells(nodes: DataFrame, prints_used: int = PRINTS, grids: int = len(GRIDS)) -> DataFrame:
+    """(cell, node, n, fp, copies, label): a row for each fingerprint and grid, and for each first shingle of a
     short text, which no fingerprint goes with."""
-    short = nodes.selectExpr("node", "n", "0L as fp", "copies", "label", "-1 as grid", "explode(few) as cell")
-    points = nodes.select("node", "n", "copies", "label", F.posexplode("fps").alias("k", "fp"))
+    points = nodes.select("node", "n", "copies", "label", F.posexplode(F.slice("fps", 1, prints_used)).alias("k", "fp"))
     even, odd = "(fp & 6148914691236517205L)", "(shiftrightunsigned(fp, 1) & 6148914691236517205L)"
     points = points.withColumn("point", F.expr(f"shiftleft({even} & {odd}, 1) | ({even} ^ {odd})"))
-    parts = ", ".join(f"struct(k * {len(GRIDS)} + {g} as grid, point & {_mask(axes)}L as cell)" for g, axes in enumerate(GRIDS))
-    return points.selectExpr("node", "n", "fp", "copies", "label", f"inline(array({parts})) as (grid, cell)").unionByName(short)
+    cells = ", ".join(f"xxhash64(k, {g}, point & {_mask(axes)}L)" for g, axes in enumerate(GRIDS[:grids]))
+    long = points.selectExpr(f"explode(array({cells})) as cell", "node", "n", "fp", "copies", "label")
+    return long.unionByName(nodes.selectExpr("explode(few) as cell", "node", "n", "0L as fp", "copies", "label"))
 
 
 _ALIKE = f"bit_count(fp ^ fp2) <= {NEAR} and least(n, n2) >= {LEAST} * greatest(n, n2)"
 
 
+def _marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Adds ``_may``: false where ``keys`` has no row with the hash ``h``. True does not say that it has one.
+
+    A bit map of fixed size, so it can be broadcast, and so most rows need not be moved to be compared.
+    """
+    def slot(df: DataFrame) -> DataFrame:
+        return df.withColumn("_slot", F.pmod("h", F.lit(BITS))).selectExpr(
+            "*", "bitmap_bucket_number(_slot) as _bucket", "bitmap_bit_position(_slot) as _position")
+
+    maps = slot(keys.select("h")).groupBy("_bucket").agg(F.expr("bitmap_construct_agg(_position)").alias("_bits"))
+    byte = "int(conv(hex(substring(_bits, int(_position div 8) + 1, 1)), 16, 10))"
+    found = slot(rows).join(F.broadcast(maps), "_bucket", "left")
+    return found.withColumn("_may", F.expr(f"_bits is not null and (shiftright({byte}, int(_position % 8)) & 1) = 1")).drop(
+        "_slot", "_bucket", "_position", "_bits")
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) of nodes whose shingle sets are similar enough."""
     total = " + ".join(f"bit_count(a_fps[{k}] ^ b_fps[{k}])" for k in range(PRINTS))
@@ -120,9 +141,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             .join(nodes.selectExpr("node as a", "fps as a_fps"), "a").join(nodes.selectExpr("node as b", "fps as b_fps"), "b")
             .where(f"{total} <= {NEAR_ALL}").select("a", "b"))
     near = materialise(near)
-    wanted = near.selectExpr("explode(array(a, b)) as node").distinct().join(nodes, "node").select(
-        "node", F.col("rep.id").alias("id"), F.col("rep.h").alias("h"))
-    texts = (docs.withColumn("h", F.xxhash64("text")).alias("d")
+    wanted = materialise(near.selectExpr("explode(array(a, b)) as node").distinct().join(nodes, "node").select(
+        "node", F.col("rep.id").alias("id"), F.col("rep.h").alias("h")))
+    texts = (_marked(docs.withColumn("h", F.xxhash64("text")), wanted).where("_may").alias("d")
              .join(wanted.alias("w"), F.expr("d.id <=> w.id and d.h = w.h")).select("w.node", "d.text").dropDuplicates(["node"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,20 +166,17 @@ def groups(rows: DataFrame, docs: DataFrame) -> DataFrame:
         F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("rep"), F.first("n").alias("n"),
         F.first("fps").alias("fps"), F.first("few").alias("few"), F.count("*").alias("copies")).withColumn("label", F.col("node")))
     full = nodes.where("n > 0")
-    cells = _cells(full)
-    hubs = (cells.groupBy("grid", "cell").agg(F.max(F.struct("copies", "node", "n", "fp")).alias("top"), F.count("*").alias("m"))
-            .where("m > 1").selectExpr("grid", "cell", "top.node as node2", "top.n as n2", "top.fp as fp2"))
-    to_hub = cells.join(hubs, ["grid", "cell"]).where(f"node <> node2 and {_ALIKE}").selectExpr("node as a", "node2 as b")
+    cells = _cells(full, *HUBS).select("cell", "node", "n", "fp", "copies")
+    hubs = (cells.groupBy("cell").agg(F.max(F.struct("copies", "node", "n", "fp")).alias("top"), F.count("*").alias("m"))
+            .where("m > 1").selectExpr("cell", "top.node as node2", "top.n as n2", "top.fp as fp2"))
+    to_hub = cells.join(hubs, "cell").where(f"node <> node2 and {_ALIKE}").selectExpr("node as a", "node2 as b")
     first = materialise(components(_verified(to_hub, nodes, docs)))
     nodes = materialise(nodes.drop("label").join(first.withColumnRenamed("id", "node"), "node", "left")
                         .withColumn("label", F.expr("coalesce(label, node)")))
 
-    cells = _cells(nodes.where("n > 0"))
-    mixed = (cells.groupBy("grid", "cell").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-             .where("low <> high").select("grid", "cell"))
-    cells = cells.join(mixed, ["grid", "cell"], "left_semi")
-    other = cells.selectExpr("grid", "cell", "node as node2", "n as n2", "fp as fp2", "label as label2")
-    across = (cells.join(other, ["grid", "cell"]).where(f"node < node2 and label <> label2 and {_ALIKE}")
+    cells = _cells(nodes.where("n > 0")).select("cell", "node", "n", "fp", "label")
+    other = cells.toDF("cell", "node2", "n2", "fp2", "label2")
+    across = (cells.join(other, "cell").where(f"node < node2 and label <> label2 and {_ALIKE}")
               .selectExpr("node as a", "node2 as b"))
     links = _verified(across, nodes, docs)
     labels = nodes.select("node", "label")
@@ -179,8 +197,13 @@ def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     at, text_at = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
     texts = inner.select(F.col(at).alias("id"), F.coalesce(F.col(text_at).cast("string"), F.lit("")).alias("text"))
     rows = materialise(described(texts))
-    kept = (groups(rows, texts).groupBy("label").agg(F.min("rep").alias("rep"))
-            .select(F.col("rep.id").alias("kept_id"), F.col("rep.h").alias("kept_h")))
-    keyed = inner.withColumn("h", F.xxhash64(F.coalesce(F.col(text_at).cast("string"), F.lit(""))))
-    return (keyed.join(kept, F.col(at).eqNullSafe(F.col("kept_id")) & (F.col("h") == F.col("kept_h")), "left_semi")
-            .dropDuplicates([at, "h"]).drop("h").toDF(*names))
+    kept = materialise(groups(rows, texts).groupBy("label").agg(F.min("rep").alias("rep"))
+                       .select(F.col("rep.id").alias("kept_id"), F.col("rep.h").alias("kept_h")))
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("h") == F.col("kept_h"))
+    # A row of any group that has another row may have to go; all others stay where they are.
+    doubtful = rows.groupBy("id", "h").agg(F.count("*").alias("times")).join(kept, same, "left").where(
+        "kept_h is null or times > 1")
+    keyed = _marked(inner.withColumn("h", F.xxhash64(F.coalesce(F.col(text_at).cast("string"), F.lit("")))), doubtful)
+    apart = (keyed.where("_may").join(kept, F.col(at).eqNullSafe(F.col("kept_id")) & (F.col("h") == F.col("kept_h")), "left_semi")
+             .dropDuplicates([at, "h"]))
+    return keyed.where("not _may").unionByName(apart).drop("h", "_may").toDF(*names)

@@ -79,11 +79,13 @@ def tested(tokens: Column) -> Column:
             F.length(s["token"]) - F.length(F.replace(s["token"], c, F.lit("")))).cast("double")),
             F.lit(0.0), lambda a, c: a + c * c).alias("squares"),
         (~s["token"].rlike("[0-9]")).alias("decoy")))
-    moments = F.transform(counted, lambda s: F.struct(
+    centred = F.transform(counted, lambda s: F.struct(
+        s["start"], s["end"], s["n"], s["k"], s["squares"], s["decoy"], s["places"],
+        (F.aggregate(s["places"], F.lit(0.0), lambda a, x: a + x) / s["n"]).alias("mean")))
+    moments = F.transform(centred, lambda s: F.struct(
         s["start"], s["end"], s["n"], s["k"], s["squares"], s["decoy"],
         F.transform(s["places"], lambda p: F.when(p * 2 < s["k"], "L").otherwise("H")).alias("halves"),
-        F.transform(s["places"], lambda p: p - F.aggregate(
-            s["places"], F.lit(0.0), lambda a, x: a + x) / s["n"]).alias("off")))
+        F.transform(s["places"], lambda p: p - s["mean"]).alias("off")))
     sums = F.transform(moments, lambda s: F.struct(
         s["start"], s["end"], s["n"], s["k"], s["squares"], s["decoy"],
         F.size(F.filter(s["halves"], lambda h: h == "L")).cast("double").alias("low"),

@@ -7,6 +7,8 @@ empty string. Places count code points, the end is exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,13 +29,20 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
-def running(values: Column) -> Column:
-    """The sums before each element of a non-empty array of integers."""
+def blocks(values: Column) -> Column:
+    """A non-empty array cut into arrays of ``BLOCK`` elements."""
     n_blocks = F.ceil(F.size(values) / F.lit(BLOCK)).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(values, b * BLOCK + 1, BLOCK))
-    sums = F.transform(blocks, _total)
-    before = F.transform(sums, lambda _, i: _total(F.slice(sums, F.lit(1), i)))
-    return F.flatten(F.zip_with(blocks, before, lambda block, start: F.transform(
+    return F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(values, b * BLOCK + 1, BLOCK))
+
+
+def before_each(values: Column) -> Column:
+    """The sum of the elements before each element."""
+    return F.transform(values, lambda _, i: _total(F.slice(values, F.lit(1), i)))
+
+
+def running(cut: Column, starts: Column) -> Column:
+    """The sums before each element of an array in blocks, of which ``starts`` are the sums before each block."""
+    return F.flatten(F.zip_with(cut, starts, lambda block, start: F.transform(
         block, lambda _, i: start + _total(F.slice(block, F.lit(1), i)))))
 
 
@@ -44,7 +53,7 @@ def steps(found: Column) -> Column:
 
 
 def located(found: Column, sums: Column) -> Column:
-    """The spans (start, end, hit) of what ``matches`` found; ``sums`` is ``running(steps(found))``."""
+    """The spans (start, end, hit) of what ``matches`` found; ``sums`` are the running sums of its ``steps``."""
     ends = F.zip_with(sums, steps(found), lambda a, b: a + b)
     spans = F.zip_with(found["hits"], ends, lambda hit, end: F.struct(
         (end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit")))
@@ -58,8 +67,15 @@ def add_spans(df, text: str, patterns: dict[str, tuple[str, Column | None]]):
     """
     kept = [c for c in df.columns]
     df = df.select("*", *[matches(F.col(text), p, guard).alias(f"_found_{k}") for k, (p, guard) in patterns.items()])
-    df = df.select("*", *[F.when(F.col(f"_found_{k}").isNotNull(), running(steps(F.col(f"_found_{k}")))).alias(f"_sums_{k}")
-                          for k in patterns])
+    def step(out: str, source: str, value: Callable[[str], Column]) -> None:
+        nonlocal df
+        df = df.select("*", *[F.when(F.col(f"_{source}_{k}").isNotNull(), value(k)).alias(f"_{out}_{k}") for k in patterns])
+
+    step("steps", "found", lambda k: steps(F.col(f"_found_{k}")))
+    step("cut", "steps", lambda k: blocks(F.col(f"_steps_{k}")))
+    step("totals", "cut", lambda k: F.transform(f"_cut_{k}", _total))
+    step("starts", "totals", lambda k: before_each(F.col(f"_totals_{k}")))
+    step("sums", "starts", lambda k: running(F.col(f"_cut_{k}"), F.col(f"_starts_{k}")))
     return df.select(*kept, *[located(F.col(f"_found_{k}"), F.col(f"_sums_{k}")).alias(f"_spans_{k}") for k in patterns])
 
 

@@ -17,7 +17,26 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Known sentences: identifier, then the sentence as licences print it.
+# Creative Commons licences: conditions in short, and as the long name spells them.
+CC = {"by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nd": "Attribution-NoDerivatives",
+      "by-nc": "Attribution-NonCommercial", "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+      "by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}
+CC_VERSIONS = ("4.0", "3.0", "2.5", "2.0")
+
+
+def cc_sentences(short: str, version: str) -> tuple[str, ...]:
+    """How notices name a Creative Commons licence, by its short and by its long name."""
+    place = {"4.0": "International", "3.0": "Unported"}.get(version, "Generic")
+    spaced = (CC[short].replace("NonC", "Non-C").replace("ShareAlike", "Share Alike").replace("NoD", "No-D")
+              .replace("Derivatives", "Derivs"))
+    brief = [f"{start} {article}CC {short} {version}{end}" for end in ("", " license", f" {place}") for article in ("", "a ", "the ")
+             for start in ("Licensed under", "This work is licensed under", "Released under")]
+    full = [f"{start} Creative Commons {name} {version} {end}" for name in (CC[short], CC[short].replace("Derivatives", "Derivs"), spaced) for end in (f"{place} License", "License")
+            for start in ("Licensed under a", "Licensed under the", "This work is licensed under a", "This work is licensed under the")]
+    return *brief, *full
+
+
+# Known sentences: identifier, then the sentence as licences print it, or several of the same meaning.
 SENTENCES = {
     "mit-name": "Released under the MIT License",
     "mit-name-2": "Licensed under the MIT License",
@@ -66,6 +85,41 @@ SENTENCES = {
     "cc0": "This work is dedicated to the public domain under CC0 1.0",
     "unlicense": "This is free and unencumbered software released into the public domain",
     "reserved": "All rights reserved",
+    "apache-name-2": ("Released under the Apache License, Version 2.0", "Licensed under the Apache License 2.0",
+                      "Released under the Apache License 2.0", "Licensed under the Apache 2.0 License",
+                      "This project is licensed under the Apache License 2.0",
+                      "This project is licensed under the Apache License, Version 2.0"),
+    "mit-name-4": ("Licensed under MIT", "Licensed under the MIT Licence", "Released under the MIT Licence",
+                   "Distributed under the MIT License", "This software is released under the MIT License",
+                   "This software is licensed under the MIT License"),
+    "isc-name": ("Licensed under the ISC License", "Released under the ISC License", "ISC License"),
+    "bsd2-name": ("Licensed under the BSD 2-Clause License", "Released under the BSD 2-Clause License", "BSD 2-Clause License",
+                  "Licensed under the Simplified BSD License"),
+    "bsd3-name": ("Licensed under the BSD 3-Clause License", "Released under the BSD 3-Clause License", "BSD 3-Clause License",
+                  "Licensed under the New BSD License"),
+    "gpl3-name-3": ("Licensed under the GNU General Public License v3.0", "Licensed under the GPLv3", "Licensed under the GPL v3",
+                    "Released under the GNU General Public License, version 3", "Released under the GPLv3"),
+    "gpl2-name-2": ("This work is licensed under the GNU General Public License, version 2", "Licensed under the GPLv2",
+                    "Licensed under the GNU General Public License v2.0", "Licensed under the GPL v2",
+                    "Released under the GNU General Public License, version 2", "Released under the GPLv2"),
+    "lgpl21-name": ("Licensed under the GNU Lesser General Public License, version 2.1", "Licensed under the LGPL v2.1",
+                    "Licensed under the LGPLv2.1"),
+    "lgpl3-name": ("Licensed under the GNU Lesser General Public License, version 3", "Licensed under the LGPLv3",
+                   "Licensed under the LGPL v3", "Licensed under the GNU Lesser General Public License v3.0"),
+    "agpl3-name": ("Licensed under the GNU Affero General Public License, version 3", "Licensed under the AGPLv3",
+                   "Licensed under the AGPL v3", "Licensed under the GNU Affero General Public License v3.0"),
+    "mpl-name-2": ("Licensed under the Mozilla Public License 2.0", "Licensed under the Mozilla Public License, version 2.0",
+                   "Licensed under MPL 2.0", "Licensed under the MPL 2.0"),
+    "epl-name": ("Licensed under the Eclipse Public License 2.0", "Licensed under the Eclipse Public License, version 2.0",
+                 "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    "boost-name": ("Distributed under the Boost Software License, Version 1.0", "Licensed under the Boost Software License, Version 1.0",
+                   "Boost Software License - Version 1.0"),
+    "zlib-grant": "This software is provided 'as-is', without any express or implied warranty",
+    "wtfpl-name": ("Do What The Fuck You Want To Public License", "Licensed under the WTFPL"),
+    "cc0-2": ("Licensed under CC0 1.0", "Released under CC0 1.0", "This work is licensed under CC0 1.0", "CC0 1.0 Universal",
+              "Licensed under CC0 1.0 Universal"),
+    "public": ("This work is in the public domain", "Released into the public domain", "This file is in the public domain"),
+    **{f"cc-{short}-{version}": cc_sentences(short, version) for short in CC for version in CC_VERSIONS},
 }
 
 # Rules, those that are tried first at the top: licence, then its identifiers in order.
@@ -80,6 +134,11 @@ RULES = (
     ("GPL-3.0-or-later", "gpl-free"), ("GPL-2.0-or-later", "gpl2-free"), ("LGPL", "lgpl-name"), ("AGPL", "agpl-name"),
     ("BSD", "bsd-name"), ("MPL-2.0", "mpl-name"), ("CC-BY-4.0", "cc-by"), ("CC-BY-4.0", "cc-by-2"),
     ("CC-BY-SA-4.0", "cc-by-sa"), ("CC0-1.0", "cc0"), ("Unlicense", "unlicense"), ("All-Rights-Reserved", "reserved"),
+    ("Apache-2.0", "apache-name-2"), ("MIT", "mit-name-4"), ("ISC", "isc-name"), ("BSD-2-Clause", "bsd2-name"),
+    ("BSD-3-Clause", "bsd3-name"), ("GPL-3.0-only", "gpl3-name-3"), ("GPL-2.0-only", "gpl2-name-2"), ("LGPL-2.1-only", "lgpl21-name"),
+    ("LGPL-3.0-only", "lgpl3-name"), ("AGPL-3.0-only", "agpl3-name"), ("MPL-2.0", "mpl-name-2"), ("EPL-2.0", "epl-name"),
+    ("BSL-1.0", "boost-name"), ("Zlib", "zlib-grant"), ("WTFPL", "wtfpl-name"), ("CC0-1.0", "cc0-2"), ("Public-Domain", "public"),
+    *((f"CC-{short.upper()}-{version}", f"cc-{short}-{version}") for short in CC for version in CC_VERSIONS),
 )
 #: Where a sentence ends, and what stands between its words.
 ENDS = r"\n(?![a-z(])|[.!?;:](?=\s|$)"
@@ -94,8 +153,9 @@ def normal(sentence: str) -> str:
 def known_sentences() -> dict[str, str]:
     """The normalised sentences with their identifiers; of sentences that begin alike the first one's."""
     known: dict[str, str] = {}
-    for sid, sentence in SENTENCES.items():
-        known.setdefault(normal(sentence), sid)
+    for sid, sentences in SENTENCES.items():
+        for sentence in [sentences] if isinstance(sentences, str) else sentences:
+            known.setdefault(normal(sentence), sid)
     return known
 
 

@@ -216,6 +216,24 @@ def test_licences(spark):
     assert found == {0: ["MIT"], 1: ["MIT"], 2: ["All-Rights-Reserved", "Apache-2.0"], 3: [], 4: ["MIT"]}
 
 
+@pytest.mark.parametrize("line, name", [
+    # Lines as licence texts and deeds print them, not taken from the operator's table.
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+    ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY-NC-ND 3.0.", "CC-BY-NC-ND-3.0"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 3.0.", "CC-BY-SA-3.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License.", "CC-BY-NC-SA-3.0"),
+    ("This work is licensed under the Creative Commons Attribution-NonCommercial-NoDerivs 2.0 Generic License.", "CC-BY-NC-ND-2.0"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+    ("Released under the BSD 3-Clause License.", "BSD-3-Clause"), ("Licensed under the Mozilla Public License 2.0.", "MPL-2.0"),
+    ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"), ("Licensed under the ISC License.", "ISC"),
+    ("Licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0-only"),
+    ("This project is licensed under the Apache License 2.0.", "Apache-2.0"), ("All rights reserved.", "All-Rights-Reserved")])
+def test_common_notices(line, name):
+    ids = licenses.known_sentences()[licenses.normal(line)]
+    assert [licence for licence, rule in licenses.RULES if rule == ids] == [name]
+
+
 def test_kneser_ney_sums_to_one():
     rnd = random.Random(1)
     words = ["".join(rnd.choice("abcde") for _ in range(rnd.randrange(1, 6))) for _ in range(300)]

@@ -36,6 +36,11 @@ def cc_sentences(short: str, version: str) -> tuple[str, ...]:
     return *brief, *full
 
 
+# How GNU notices begin, and their licences: identifier, kind and versions.
+TERMS = ("you can redistribute it and/or modify it", "you may redistribute it and/or modify it")
+GNU = (("gpl", "", ("2", "3")), ("lgpl", "Lesser", ("2.1", "3")), ("llgpl", "Library", ("2",)), ("agpl", "Affero", ("3",)))
+SPDX = {"gpl": "GPL", "lgpl": "LGPL", "llgpl": "LGPL", "agpl": "AGPL"}
+
 # Known sentences: identifier, then the sentence as licences print it, or several of the same meaning.
 SENTENCES = {
     "mit-name": "Released under the MIT License",
@@ -53,20 +58,27 @@ SENTENCES = {
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
                  "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "apache-name": "Licensed under the Apache License, Version 2.0",
-    "apache-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                     "compliance with the License",
+    "apache-header": "Licensed under the Apache License, Version 2.0 (the \"License\")",
+    "apache-use": "you may not use this file except in compliance with the License",
     "apache-copy": "You may obtain a copy of the License at",
     "gpl3-name": "This work is licensed under the GNU General Public License, version 3",
     "gpl3-name-2": "Licensed under the GNU General Public License, version 3",
     "gpl2-name": "Licensed under the GNU General Public License, version 2",
-    "gpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-                "option) any later version",
-    "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
-                 "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
-                 "option) any later version",
-    "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
-                    "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+    # Sentences with a colon or semicolon are cut there, and each part is known by itself.
+    "gpl-free": ("This program is free software", "This file is free software", "This software is free software"),
+    "lgpl-free": "This library is free software",
+    **{f"{name}-{part}": tuple(f"{start} under the terms of {way}" for start in TERMS for way in text.split(" | "))
+       for name, kind, versions in GNU for part, text in (
+           ("terms", f"the GNU {kind} General Public License as published by the Free Software Foundation".replace("  ", " ")),
+           *((f"{v}-later", f"the GNU {kind} General Public License as published by the Free Software Foundation, either version "
+                            f"{v} of the License, or (at your option) any later version".replace("  ", " ")) for v in versions),
+           *((f"{v}-only", f"version {v} of the GNU {kind} General Public License as published by the Free Software Foundation | "
+                           f"the GNU {kind} General Public License version {v} as published by the Free Software Foundation"
+                           .replace("  ", " ")) for v in versions))},
+    **{f"either-{v}": f"either version {v} of the License, or (at your option) any later version" for v in ("2", "2.1", "3")},
+    **{f"this-{v}": (f"version {v} of the License", f"version {v} of the License only") for v in ("2", "2.1", "3")},
+    "gpl-warranty": ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
+                     "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
     "lgpl-name": "Licensed under the GNU Lesser General Public License",
     "agpl-name": "Licensed under the GNU Affero General Public License",
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
@@ -79,9 +91,6 @@ SENTENCES = {
                    "products derived from this software without specific prior written permission",
     "bsd-name": "Licensed under the BSD License",
     "mpl-name": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "cc-by-2": "Licensed under CC BY 4.0",
-    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
     "cc0": "This work is dedicated to the public domain under CC0 1.0",
     "unlicense": "This is free and unencumbered software released into the public domain",
     "reserved": "All rights reserved",
@@ -122,18 +131,20 @@ SENTENCES = {
     **{f"cc-{short}-{version}": cc_sentences(short, version) for short in CC for version in CC_VERSIONS},
 }
 
-# Rules, those that are tried first at the top: licence, then its identifiers in order.
+# Rules, those that are tried first at the top: licence, then its identifiers in order. Those joined by + are parts of one
+# sentence, with nothing known in between.
 RULES = (
     ("MIT", "mit-title mit-grant mit-notice"), ("MIT", "mit-title-2 mit-grant mit-notice"), ("MIT", "mit-grant mit-notice"),
     ("BSD-3-Clause", "bsd-grant bsd-source bsd-binary bsd-endorse"), ("BSD-2-Clause", "bsd-grant bsd-source bsd-binary"),
-    ("GPL-3.0-or-later", "gpl-free gpl-warranty"), ("GPL-2.0-or-later", "gpl2-free gpl-warranty"),
-    ("Apache-2.0", "apache-header apache-copy"),
+    *((f"{SPDX[name]}-{v if '.' in v else v + '.0'}-{end}", ids) for name, _, versions in GNU for v in versions for end, ids in (
+        ("or-later", f"{name}-{v}-later"), ("or-later", f"{name}-terms+either-{v}"), ("only", f"{name}-terms+this-{v}"),
+        ("only", f"{name}-{v}-only"))),
+    ("Apache-2.0", "apache-header+apache-use apache-copy"), ("Apache-2.0", "apache-header+apache-use"),
     ("MIT", "mit-name"), ("MIT", "mit-name-2"), ("MIT", "mit-name-3"), ("MIT", "mit-title"), ("MIT", "mit-title-2"),
     ("ISC", "isc-grant"), ("Apache-2.0", "apache-name"), ("Apache-2.0", "apache-header"),
     ("GPL-3.0-only", "gpl3-name"), ("GPL-3.0-only", "gpl3-name-2"), ("GPL-2.0-only", "gpl2-name"),
-    ("GPL-3.0-or-later", "gpl-free"), ("GPL-2.0-or-later", "gpl2-free"), ("LGPL", "lgpl-name"), ("AGPL", "agpl-name"),
-    ("BSD", "bsd-name"), ("MPL-2.0", "mpl-name"), ("CC-BY-4.0", "cc-by"), ("CC-BY-4.0", "cc-by-2"),
-    ("CC-BY-SA-4.0", "cc-by-sa"), ("CC0-1.0", "cc0"), ("Unlicense", "unlicense"), ("All-Rights-Reserved", "reserved"),
+    ("LGPL", "lgpl-name"), ("AGPL", "agpl-name"),
+    ("BSD", "bsd-name"), ("MPL-2.0", "mpl-name"), ("CC0-1.0", "cc0"), ("Unlicense", "unlicense"), ("All-Rights-Reserved", "reserved"),
     ("Apache-2.0", "apache-name-2"), ("MIT", "mit-name-4"), ("ISC", "isc-name"), ("BSD-2-Clause", "bsd2-name"),
     ("BSD-3-Clause", "bsd3-name"), ("GPL-3.0-only", "gpl3-name-3"), ("GPL-2.0-only", "gpl2-name-2"), ("LGPL-2.1-only", "lgpl21-name"),
     ("LGPL-3.0-only", "lgpl3-name"), ("AGPL-3.0-only", "agpl3-name"), ("MPL-2.0", "mpl-name-2"), ("EPL-2.0", "epl-name"),
@@ -151,17 +162,18 @@ def normal(sentence: str) -> str:
 
 
 def known_sentences() -> dict[str, str]:
-    """The normalised sentences with their identifiers; of sentences that begin alike the first one's."""
+    """The normalised sentences with their identifiers; no sentence may have two."""
     known: dict[str, str] = {}
     for sid, sentences in SENTENCES.items():
         for sentence in [sentences] if isinstance(sentences, str) else sentences:
-            known.setdefault(normal(sentence), sid)
+            if known.setdefault(normal(sentence), sid) != sid:
+                raise ValueError(f"{sid} and {known[normal(sentence)]} are the same up to their first end: {normal(sentence)}")
     return known
 
 
 def rule_pattern(ids: str) -> str:
     """The pattern of a rule in a sequence where each identifier has a space on either side."""
-    return "(?: [^ ]+ )*?".join(f" {known} " for known in ids.split())
+    return "(?: [^ ]+ )*?".join(" " + known.replace("+", "  ") + " " for known in ids.split())
 
 
 def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

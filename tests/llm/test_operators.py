@@ -234,6 +234,36 @@ def test_common_notices(line, name):
     assert [licence for licence, rule in licenses.RULES if rule == ids] == [name]
 
 
+def test_gnu_headers(spark):
+    warranty = ("This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied "
+                "warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.")
+
+    def header(what, kind, mark, version):
+        return (f"This {what} is free software{mark} you can redistribute it and/or\nmodify it under the terms of the GNU {kind}General Public "
+                f"License\nas published by the Free Software Foundation{';' if mark == ';' else ','} either version {version}\nof the License, "
+                f"or (at your option) any later version.\n\n{warranty}")
+    gpl2, gpl3 = header("program", "", ";", "2"), header("program", "", ":", "3")
+    cases = {
+        gpl2: ["GPL-2.0-or-later"], gpl3: ["GPL-3.0-or-later"], header("program", "", ";", "3"): ["GPL-3.0-or-later"],
+        f"{gpl2}\n\n{gpl3}": ["GPL-2.0-or-later", "GPL-3.0-or-later"],
+        f"{header('program', '', ';', '3')}\n\n{gpl2}\n": ["GPL-2.0-or-later", "GPL-3.0-or-later"],
+        header("library", "Lesser ", ";", "2.1"): ["LGPL-2.1-or-later"], header("program", "Affero ", ":", "3"): ["AGPL-3.0-or-later"],
+        "This program is free software; see the manual.": [], f"This program is free software.\n\n{warranty}": [],
+        "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License version 2 as\n"
+        "published by the Free Software Foundation.": ["GPL-2.0-only"],
+        'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\n'
+        "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0": ["Apache-2.0"]}
+    rows = licenses.licences(spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")).collect()
+    assert {r["id"]: r["licences"] for r in rows} == dict(enumerate(cases.values()))
+
+
+def test_known_sentences_are_distinct(monkeypatch):
+    assert set(licenses.known_sentences().values()) == set(licenses.SENTENCES)
+    monkeypatch.setitem(licenses.SENTENCES, "again", "This program is free software; either version 9 of the License")
+    with pytest.raises(ValueError):
+        licenses.known_sentences()
+
+
 def test_kneser_ney_sums_to_one():
     rnd = random.Random(1)
     words = ["".join(rnd.choice("abcde") for _ in range(rnd.randrange(1, 6))) for _ in range(300)]

@@ -1,8 +1,8 @@
 """Spot signatures: chains of content words after common words describe a document.
 
 Common words mark the places in natural text. Each content word that follows one
-opens a chain with the content words after it; the chains of a text form a set of
-signatures. Sets are compared by the Jaccard coefficient. Of two sets the smaller
+opens a chain with the content words after it; the chains of a text, and the words outside
+of any, form a set of signatures. Sets are compared by the Jaccard coefficient. Of two sets the smaller
 one's share of the larger one bounds it, so a join only looks at neighbouring
 lengths, and within these at sets that share one of their rarest signatures.
 
@@ -25,7 +25,7 @@ ANCHORS = (
     "au aux ce dans de des du elle en est et il la le les ne par pas pour que qui se sur un une "
     "al como con del el ella en es la las lo los no para por que se su un una y").split()
 ANCHORS = sorted(set(ANCHORS))
-CHAIN, FEW = 3, 8
+CHAIN = 3
 #: Rows and bytes of a range of ids that is sorted together, and the most ranges.
 RANGE_ROWS, RANGE_BYTES, MOST_RANGES = 2000, 8 << 20, 1 << 16
 
@@ -33,7 +33,8 @@ RANGE_ROWS, RANGE_BYTES, MOST_RANGES = 2000, 8 << 20, 1 << 16
 def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds ``out``, the sorted distinct signatures of the column ``text``, each eight hex digits.
 
-    A text with fewer than ``FEW`` chains is described by its words as well, one without a word by the empty set.
+    Signatures are the chains, the content words that no chain holds, and the common words after the last content word.
+    So what a place gives depends on the words around it only, not on the length of the text. A text without a word has none.
     """
     kept = df.columns
     words = F.filter(F.split(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
@@ -47,9 +48,15 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
         whole = rest[-1] != ""
         return F.when(w.startswith(">") & whole, F.concat_ws(" ", F.ltrim(w, F.lit(">")), *rest))
 
-    chains = F.filter(F.transform("_content", chain), lambda c: c.isNotNull())
-    df = df.select("*", chains.alias("_chains"))
-    spots = F.when(F.size("_chains") >= FEW, F.col("_chains")).otherwise(F.concat("_chains", "_words"))
+    df = df.select("*", F.transform("_content", chain).alias("_chains"))
+
+    def alone(w: Column, i: Column) -> Column:
+        held = [F.get("_chains", i - k).isNotNull() for k in range(CHAIN)]
+        return F.when(~held[0] & ~held[1] & ~held[2] & (w != ">"), F.ltrim(w, F.lit(">")))
+
+    after = F.length(F.replace(F.regexp_extract(marked, "[> ]*$", 0), F.lit(" "), F.lit("")))
+    spots = F.filter(F.concat("_chains", F.transform("_content", alone), F.slice(
+        "_words", F.size("_words") - after + 1, after)), lambda c: c.isNotNull() & (c != ""))
     return df.select(*kept, F.array_sort(F.array_distinct(
         F.transform(spots, lambda c: F.substring(F.md5(c), 1, 8)))).alias(out))
 

@@ -304,6 +304,32 @@ def test_spot_signatures_and_next_document(spark, data, texts):
         assert r["near_next"] == pytest.approx(jaccard(own, parts(prints[other])))
 
 
+def test_signatures_are_of_one_kind_at_any_length(spark):
+    rnd = random.Random(21)
+    words = [w for _ in range(30) for w in (rnd.choice(["the", "of", "und"]), *(f"w{rnd.randrange(900)}" for _ in range(rnd.randrange(1, 7))))]
+    cases = [" ".join(words[:n]) for n in range(len(words) + 1)] + ["the of and", "zebra", "zebra lion the"]
+    rows = spots.with_signatures(spark.createDataFrame(list(enumerate(cases)), "id bigint, text string"), "text", "s").collect()
+    sets = {r["id"]: set(r["s"]) for r in rows}
+    whole = sets[len(words)]
+    # All but the last few places of a beginning are described as they are in the whole text, and so is the step from length to length.
+    assert all(len(sets[n] - whole) <= 4 and len(sets[n] ^ sets[n + 1]) <= 6 for n in range(len(words)))
+    assert [len(sets[len(words) + k]) for k in (1, 2, 3)] == [3, 1, 3] and not sets[0]
+
+    def brute(text):
+        content, marks = [], []
+        for w in text.split():
+            if w in spots.ANCHORS:
+                marks.append(w)
+            else:
+                content.append((w, bool(marks)))
+                marks = []
+        opens = [i for i in range(len(content) - 2) if content[i][1]]
+        held = {i + k for i in opens for k in range(3)}
+        out = [" ".join(w for w, _ in content[i:i + 3]) for i in opens] + [w for i, (w, _) in enumerate(content) if i not in held] + marks
+        return {hashlib.md5(c.encode()).hexdigest()[:8] for c in out}
+    assert all(sets[k] == brute(c) for k, c in enumerate(cases))
+
+
 def test_next_document_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(spots, "RANGE_ROWS", 7)
     ids = random.Random(4).sample(range(-500, 500), 90)

@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, block tables, exact shingle similarity.
 
 A document's windows of as many words as an item are compared with the items of
-that length. Their SimHash fingerprints meet in eight tables of eight-bit blocks:
+that length; a document that is shorter than an item is one window as a whole. Their SimHash fingerprints meet in eight tables of eight-bit blocks:
 fingerprints within 23 bits have a block within 2 bits, so the tables hold all of them. At
 a similarity of 0.8 about 10 of 64 bits differ. The similarity itself is the sum of the
 smaller over the sum of the larger counts of the five-word shingles, counted exactly.
@@ -82,6 +82,19 @@ class Group:
         # For each block and each value of it, the items whose block is near.
         self.tables = [_NEAR_BYTES[:, self.prints[:, b]] for b in range(BLOCKS)]
 
+    def whole(self, shingles: np.ndarray, known: int) -> Iterator[tuple[object, float]]:
+        """(item, similarity) for a text that is shorter than the items: all of it is the one window.
+
+        ``known`` of its shingles occur in some item, so no more are shared.
+        """
+        if known < LEAST * (self.count + len(shingles) - known) - 1e-9:
+            return
+        own = Counter(shingles.tolist())
+        for item, theirs in zip(self.ids, self.shingles):
+            alike = similarity(own, theirs)
+            if alike >= LEAST:
+                yield item, alike
+
     def matches(self, shingles: np.ndarray, starts: np.ndarray) -> Iterator[tuple[object, int, float]]:
         """(item, start, similarity) of the windows at ``starts``, rising, that are similar to an item."""
         for at in range(0, len(starts), HELD):
@@ -147,9 +160,14 @@ class Index:
             if len(some):
                 hits[width] = shingles, some
         for group in self.groups:
-            if group.width not in hits or len(hits[group.width][0]) < group.count:
+            if group.width not in hits:
                 continue
             shingles, some = hits[group.width]
+            if len(shingles) < group.count:
+                for item, alike in group.whole(shingles, len(some)):
+                    if alike > best.get(item, (0.0, 0))[0]:
+                        best[item] = alike, 0
+                continue
             # Of two sets of n shingles with similarity x, 2x / (1 + x) of n are shared.
             needed = int(np.ceil(2 * LEAST / (1 + LEAST) * group.count - 1e-9))
             if len(some) < needed:
@@ -213,7 +231,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                  item_col: str = "item_id", item_text_col: str = "text", index_bytes: int = INDEX_BYTES) -> DataFrame:
     """(doc_id, item_id, similarity, start) of the documents that hold an item, or a passage as similar to it.
 
-    ``start`` is the first word of the best window. An item of fewer than five words has to occur as it is; an item
+    ``start`` is the first word of the best window; a document shorter than the item is one window. An item of fewer than five words has to occur as it is; an item
     or a document without a word, or with a null text, matches nothing. Items with a null id are left out. Repeated rows
     of documents each give their rows; repeated item ids give one row per document, of the best. Other columns are not looked at; empty
     tables give an empty one. The index of the items is broadcast up to ``index_bytes`` of text; a larger

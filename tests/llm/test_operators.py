@@ -141,6 +141,37 @@ def test_contaminated_documents(spark):
     assert len(expected) > 30
 
 
+def test_documents_shorter_than_the_item(spark):
+    rnd = random.Random(14)
+    items = [(k, [f"w{rnd.randrange(300)}" for _ in range(rnd.randrange(4, 120))]) for k in range(30)]
+    docs = []
+    for k in range(400):
+        own = list(rnd.choice(items)[1])
+        cut = rnd.randrange(0, 1 + len(own) // 4)
+        own = own[cut:] if k % 2 else own[:len(own) - cut]
+        if own and k % 3 == 0:
+            own[rnd.randrange(len(own))] = "other"
+        docs.append((k, own))
+    docs.append((400, items[0][1][:-1] if len(items[0][1]) > 40 else max((i for _, i in items), key=len)[:-5]))
+
+    def grams(w, n):
+        return Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+    expected, short = {}, 0
+    for d, w in docs:
+        for i, v in items:
+            n = min(5, len(v))
+            windows = [w] if len(w) < len(v) else [w[s:s + len(v)] for s in range(len(w) - len(v) + 1)]
+            alike = max(decontam.similarity(grams(x, n), grams(v, n)) for x in windows) if len(w) >= n else 0
+            if alike >= 0.8:
+                expected[d, i] = pytest.approx(alike)
+                short += len(w) < len(v)
+    frames = (spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id bigint, text string"),
+              spark.createDataFrame([(i, " ".join(v)) for i, v in items], "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontam.contaminated(*frames).collect()} == expected
+    assert short > 100
+    assert {r["doc_id"] for r in decontam.without_items(*frames).collect()} == {d for d, _ in docs} - {d for d, _ in expected}
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return odd.vocabulary()

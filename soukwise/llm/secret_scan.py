@@ -4,9 +4,9 @@ A token's encoding is inferred from its characters. Over that alphabet three
 tests ask whether the token could be random: chi-squared of the character
 counts, the number of runs of characters from the lower and the upper half, and the
 correlation of neighbours. Fisher's sum joins their p-values. Natural words fail
-such tests, but short ones not always: tokens of letters alone serve as decoys, whose share
-above a threshold, in the same band of lengths, estimates the false discoveries
-among the tokens that mix letters and digits. In each band the lowest threshold
+such tests, but short ones not always: so each token has a decoy of its length, made of the words of its
+text laid together, and the decoys' share above a threshold, in the same band of lengths,
+estimates the false discoveries among the tokens. In each band the lowest threshold
 that keeps their share below ``FALSE`` decides.
 
 All of it is DataFrame functions; only the counts by band and p-value reach the driver.
@@ -26,7 +26,11 @@ ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?
 ASSIGN_LEAST = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+# Padding belongs to a token, but an equals sign before a value ends it.
+TOKEN = (r"[A-Za-z0-9+/_-]{20,}(?:=++(?![A-Za-z0-9+/_-]))?"
+         r"|(?=[A-Za-z0-9+/_=-]{20})[A-Za-z0-9+/_-]{14,19}+=++(?![A-Za-z0-9+/_-])")
+# What a text's plain words are not: long tokens, and all but letters.
+LONG_OR_OTHER = r"[A-Za-z0-9+/_=-]{20,}|[^A-Za-z]+"
 
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 #: Encodings, the narrowest first: the characters in order, and the pattern of a token of theirs.
@@ -67,18 +71,17 @@ def encoding(token: Column) -> Column:
 
 
 def tested(tokens: Column) -> Column:
-    """For an array of spans with hits: start, end, whether it is a decoy, length band, and the joint p-value."""
+    """For an array of spans with hits and whether they are decoys: start, end, decoy, length band, and the joint p-value."""
     named = F.transform(tokens, lambda s: F.struct(
-        s["start"], s["end"], F.rtrim(s["hit"], F.lit("=")).alias("token"), encoding(s["hit"]).alias("encoding")))
+        s["start"], s["end"], s["decoy"], F.rtrim(s["hit"], F.lit("=")).alias("token"), encoding(s["hit"]).alias("encoding")))
     counted = F.transform(F.filter(named, lambda s: s["encoding"].isNotNull() & (F.length(s["token"]) >= 2)), lambda s: F.struct(
-        s["start"], s["end"], s["token"], F.length(s["token"]).cast("double").alias("n"),
+        s["start"], s["end"], s["decoy"], s["token"], F.length(s["token"]).cast("double").alias("n"),
         _by_encoding(s["encoding"], lambda a: F.lit(float(len(a)))).alias("k"),
         F.transform(F.filter(F.split(s["token"], ""), lambda c: c != ""), lambda c: _by_encoding(
             s["encoding"], lambda a: F.instr(F.lit(a), c) - 1).cast("double")).alias("places"),
         F.aggregate(F.transform(F.array_distinct(F.filter(F.split(s["token"], ""), lambda c: c != "")), lambda c: (
             F.length(s["token"]) - F.length(F.replace(s["token"], c, F.lit("")))).cast("double")),
-            F.lit(0.0), lambda a, c: a + c * c).alias("squares"),
-        (~s["token"].rlike("[0-9]")).alias("decoy")))
+            F.lit(0.0), lambda a, c: a + c * c).alias("squares")))
     centred = F.transform(counted, lambda s: F.struct(
         s["start"], s["end"], s["n"], s["k"], s["squares"], s["decoy"], s["places"],
         (F.aggregate(s["places"], F.lit(0.0), lambda a, x: a + x) / s["n"]).alias("mean")))
@@ -116,6 +119,22 @@ def tested(tokens: Column) -> Column:
         (F.exp(logs(s)) * (1 - logs(s) + logs(s) * logs(s) / 2)).alias("p")))
 
 
+def with_decoys(tokens: Column, letters: Column) -> Column:
+    """The spans, and for each a decoy of as many letters from ``letters``, the words of the text laid together.
+
+    Text that is too short for a decoy is repeated; one without a letter gives none.
+    """
+    def decoy(s: Column) -> Column:
+        n = F.length(F.rtrim(s["hit"], F.lit("=")))
+        room = F.greatest(F.length(letters) - n, F.lit(0))
+        some = F.when(room > 0, letters).otherwise(F.repeat(letters, F.ceil(n / F.length(letters)).cast("int")))
+        return F.struct(s["start"], s["end"], F.substr(some, (F.pmod(s["start"], room + 1) + 1).cast("int"), n).alias("hit"),
+                        F.lit(True).alias("decoy"))
+
+    own = F.transform(tokens, lambda s: F.struct(s["start"], s["end"], s["hit"], F.lit(False).alias("decoy")))
+    return F.when(F.length(letters) > 0, F.concat(own, F.transform(tokens, decoy))).otherwise(own)
+
+
 def thresholds(counts: list[tuple[bool, int, int, int]]) -> dict[int, float]:
     """For each length band the lowest p-value that passes, from (decoy, band, step, tokens).
 
@@ -157,9 +176,13 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "token": (TOKEN, None)})
     long = F.filter("_spans_assign", lambda s: F.length(F.regexp_extract(s["hit"], ASSIGN, 1)) >= ASSIGN_LEAST)
     based = found.select("id", merged({"assign": long, "access": F.col("_spans_access"), "hex": F.col("_spans_hex")})
-                         .alias("base"), "_spans_token")
+                         .alias("base"), "_spans_token", "text")
     fresh = F.filter("_spans_token", lambda s: ~overlaps(s, F.col("base")))
-    rows = materialise(based.select("id", "base", tested(fresh).alias("tokens")))
+    based = based.select("id", "base", "text", fresh.alias("fresh"))
+    letters = F.when(F.size("fresh") > 0, F.regexp_replace("text", LONG_OR_OTHER, "")).otherwise("")
+    based = based.select("id", "base", "fresh", letters.alias("letters"))
+    based = based.select("id", "base", with_decoys(F.col("fresh"), F.col("letters")).alias("drawn"))
+    rows = materialise(based.select("id", "base", tested(F.col("drawn")).alias("tokens")))
     counts = (rows.select(F.inline("tokens")).groupBy(
         "decoy", "band", F.least(F.floor(F.col("p") * STEPS), F.lit(STEPS - 1)).cast("int").alias("step"))
         .count().collect())  # bands times steps at most

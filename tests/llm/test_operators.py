@@ -112,6 +112,29 @@ def test_random_tokens_are_added_and_words_are_not(spark):
     assert not added & set(range(40, len(cases)))
 
 
+def test_random_values_after_a_name_and_tokens_without_digits(spark):
+    rnd = random.Random(12)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    keys = ["".join(rnd.choice(upper + lower + "0123456789") for _ in range(40)) for _ in range(60)]
+    plain = ["".join(rnd.choice(upper + lower) for _ in range(40)) for _ in range(60)]
+    prose = " ".join("".join(rnd.choice("eeenirstadhu") for _ in range(rnd.randrange(2, 9))) for _ in range(80))
+    cases = [f"{prose}\naws_key={k}\n" for k in keys] + [f"{prose} https://a.example/x?sig={k}&v=1" for k in keys]
+    cases += [f"{prose} see {k} there" for k in plain] + [f"{prose} enlichunglicheinverzustellungenundso index" for _ in range(60)]
+    rows = secret_scan.secrets(spark.createDataFrame(list(enumerate(cases)), "doc_id bigint, text string")).collect()
+    hits = {r["id"]: [cases[r["id"]][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "random"] for r in rows}
+    for k in range(3):
+        assert sum(hits[60 * k + i] == [(keys, keys, plain)[k][i]] for i in range(60)) >= 50
+    assert not any(hits[i] for i in range(180, 240))
+
+
+@pytest.mark.parametrize("text, hits", [
+    ("aws_key=Zk3vQ9xLr8TnB2mY5pWc7HdJ4sFg6Ka1", ["Zk3vQ9xLr8TnB2mY5pWc7HdJ4sFg6Ka1"]), ("a" * 20 + "=" + "b" * 20, ["a" * 20, "b" * 20]),
+    ("k=" + "a" * 22 + "== x", ["a" * 22 + "=="]), ("a" * 18 + "==", ["a" * 18 + "=="]), ("a" * 18 + "=b", []), ("a" * 19, [])])
+def test_tokens_end_at_an_equals_sign_before_a_value(spark, text, hits):
+    frame = spark.createDataFrame([(text,)], "text string")
+    assert frame.select(F.regexp_extract_all("text", F.lit(secret_scan.TOKEN), F.lit(0)).alias("h")).first()["h"] == hits
+
+
 def test_contaminated_documents(spark):
     rnd = random.Random(2)
     words = [f"w{k}" for k in range(400)]

@@ -260,13 +260,17 @@ def _of_kind(kind: str) -> Callable[[Column], Column]:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span of a sorted array replaced by its kind in brackets; of overlapping ones the first counts."""
+    """The text with every span of a sorted array replaced by its kind in brackets.
+
+    Overlapping ones are one range up to their largest end, with the kind of the first.
+    """
     state = F.aggregate(
         spans, F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda a, s: F.when(s["start"] < a["at"], a).otherwise(F.struct(
-            s["end"].alias("at"), F.concat(a["parts"], F.array(
-                F.substr(text, a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int")),
-                F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("parts"))))
+        lambda a, s: F.when(s["start"] < a["at"], F.struct(
+            F.greatest(a["at"], s["end"]).alias("at"), a["parts"].alias("parts"))).otherwise(F.struct(
+                s["end"].alias("at"), F.concat(a["parts"], F.array(
+                    F.substr(text, a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int")),
+                    F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("parts"))))
     return F.concat(F.array_join(state["parts"], ""), F.substr(text, state["at"].cast("int") + 1, F.length(text)))
 
 

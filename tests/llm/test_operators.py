@@ -434,6 +434,15 @@ def test_personal_base_spans(spark):
         assert set(filter(None, expected.split(","))) <= set(r["spans"].split(","))
 
 
+def test_overlapping_spans_are_masked_as_one(spark):
+    cases = ["x +49 30 1234567-a@b.de y", "x 4111 1111 1111 1111@x.com y", "mail a@b.de, then c@d.de."]
+    frame = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(cases)], "doc_id bigint, text string, n_chars bigint")
+    found = {r["doc_id"]: r for r in pii.without_personal_data(frame).collect()}
+    assert [found[k]["text"][:3] for k in (0, 1)] == ["x ["] * 2 and not any("@" in found[k]["text"] for k in range(3))
+    assert all(re.fullmatch(r"x \[[A-Z_]+\] y", found[k]["text"]) for k in (0, 1))
+    assert found[2]["text"] == "mail [EMAIL], then [EMAIL]." and all(len(r["text"]) == r["n_chars"] for r in found.values())
+
+
 def test_labelers_add_what_they_agree_on(spark):
     rnd = random.Random(7)
     cases = [f"phone: ({rnd.randrange(200, 900)}) 555-{rnd.randrange(1000, 9999)}" for _ in range(30)]

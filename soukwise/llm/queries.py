@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soukwise.llm import bpe, decontam, langid, licenses, pii, secret_scan, simhash, spots, tokencount, toxicity
+from soukwise.llm import (alignment, bpe, decontam, langid, licenses, negatives, pii, quality, secret_scan, simhash, spots,
+                          tokencount, toxicity)
 from soukwise.llm.tables import held_out, read
 
 
@@ -68,8 +69,28 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(read(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.learn(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.score(docs, model).select(
+        F.col("id").alias("doc_id"), quality.held_out("id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizers = alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                                      public_tokenizers.PATTERN)
+    return (alignment.alignments(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizers)
+            .withColumnRenamed("id", "doc_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_secret_scan, op3_decontamination, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_language_id, op8_spot_signatures, op9_token_counts, op10_personal_data,
+    op11_quality, op12_hard_negatives, op13_alignment,
 )}
 
-ORACLES: dict[str, str] = {"op6_license_scan": licenses.oracle_sql()}
+ORACLES: dict[str, str] = {"op6_license_scan": licenses.oracle_sql(), "op12_hard_negatives": negatives.oracle_sql()}

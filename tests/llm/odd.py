@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from soukwise.llm import bpe, langid, licenses, pii, secret_scan, simhash, spots, tokencount, toxicity
+from soukwise.llm import alignment, bpe, langid, licenses, pii, quality, secret_scan, simhash, spots, tokencount, toxicity
 
 CLASHING = ["id", "fp", "label", "base", "spans", "token", "h", "node", "c0", "_range", "_0", "score", "lang", "c"]
 SCHEMA = "doc_id bigint, text string, " + ", ".join(f"`{c}` string" for c in CLASHING)
@@ -28,6 +28,17 @@ def model():
     return tokencount.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def tokenizers():
+    return alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                                public_tokenizers.PATTERN)
+
+
+def _quality(df):
+    labels = df.sparkSession.createDataFrame([(i, i % 2) for i in range(12)] + [(5, 0), (None, 1), (3, None), (4, 7)],
+                                             "doc_id bigint, quality int")
+    return quality.learn(df, labels)
+
+
 def _toxic():
     return toxicity.fit(["you idiot", "nice day", "stupid idiot", "good day"] * 4, [1, 0, 1, 0] * 4)
 
@@ -43,4 +54,6 @@ EACH = {
     "spots": lambda df: spots.fingerprints(df),
     "tokens": lambda df: tokencount.token_counts(df, model()),
     "pii": lambda df: pii.personal_data(df),
+    "quality": lambda df: quality.score(df, _quality(df)),
+    "alignment": lambda df: alignment.alignments(df, tokenizers()),
 }

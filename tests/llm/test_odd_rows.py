@@ -59,8 +59,9 @@ def test_near_copies_of_odd_rows(spark, folder):
 
 def test_decontamination_of_odd_rows(spark, folder):
     kept = corpus_pipeline.drop_benchmark(spark, odd.frame(spark), folder).collect()
-    assert {5, 6} & {r["doc_id"] for r in kept} == set()
-    assert len(kept) == len(odd.rows()) - 3
+    # Rows 5 and 6 hold the first item, row 10 the words "a b" of the short one, which has to occur as it is.
+    assert {5, 6, 10} & {r["doc_id"] for r in kept} == set()
+    assert len(kept) == len(odd.rows()) - 4
 
 
 def test_masked_text_and_size(spark, folder):

@@ -10,5 +10,6 @@ from tests.compare import duck_rows, spark_rows
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, data, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{data}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"create view {table} as select * from '{data}/{table}.parquet'")
     assert spark_rows(QUERIES[name](spark, data)) == duck_rows(con, ORACLES[name])

@@ -31,8 +31,9 @@ from soukwise.llm.memory import Remembered
 TOKENS = re.compile(r"\w+|[^\w\s]")
 #: Rows of the table of vectors, the length of a vector, the entries of an index vector and the neighbours to each side.
 ROWS, WIDTH, ENTRIES, WINDOW = 1 << 16, 64, 4, 2
-#: Tokens that are handled at a time, and tokens after which a task gives its sums away.
-CHUNK, FLUSH = 1 << 16, 1 << 28
+#: Tokens whose vectors are pooled at a time, tokens whose neighbours are added at a time, and tokens after which a task
+#: gives its sums away.
+CHUNK, LOT, FLUSH = 1 << 16, 1 << 18, 1 << 28
 #: The sample: documents of each class at most. One in ``KEPT`` of them is kept for the temperature.
 SAMPLE_PER_CLASS, KEPT = 4000, 4
 HIDDEN, EPOCHS, BATCH, RATE, DECAY, SEED = 32, 60, 64, 0.005, 1e-4, 11
@@ -53,7 +54,7 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of the entries of every row's index vector; the places of a row differ."""
     rng = np.random.default_rng(SEED)
     places = np.argsort(rng.random((ROWS, WIDTH), np.float32), axis=1)[:, :ENTRIES].astype(np.int64)
-    return places, np.where(rng.random((ROWS, ENTRIES)) < 0.5, -1, 1).astype(np.int32)
+    return places, np.where(rng.random((ROWS, ENTRIES)) < 0.5, -1, 1).astype(np.int64)
 
 
 def _rows(text: str | None, known: Remembered) -> np.ndarray:
@@ -71,30 +72,46 @@ def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = index_vectors()
         known = Remembered(row_of, REMEMBERED)
-        sums, times, seen = np.zeros(ROWS * WIDTH, np.int32), np.zeros(ROWS, np.int64), 0
+        places, signs = np.ascontiguousarray(places.T), np.ascontiguousarray(signs.T)
+        # Between texts lies a row that no word has.
+        gap = np.full(WINDOW, ROWS)
+        sums, times, seen = np.zeros(ROWS * WIDTH, np.int64), np.zeros(ROWS, np.int64), 0
+        held, size = [], 0
+
+        def add(rows: np.ndarray) -> None:
+            times[:] += np.bincount(rows, minlength=ROWS + 1)[:ROWS]
+            for at in range(0, len(rows), LOT):
+                part = rows[at:at + LOT + WINDOW]
+                pairs = []
+                for apart in range(1, WINDOW + 1):
+                    left, right = part[:min(LOT, len(part) - apart)], part[apart:apart + LOT]
+                    pairs.append((left << 32 | right)[(left < ROWS) & (right < ROWS)])
+                pairs, n = np.unique(np.concatenate(pairs), return_counts=True)
+                left, right = pairs >> 32, pairs & 0xFFFFFFFF
+                for word, other in ((left, right), (right, left)):
+                    for place, sign in zip(places, signs):
+                        np.add.at(sums, word * WIDTH + place.take(other), sign.take(other) * n)
 
         def table() -> Iterator[pa.RecordBatch]:
             used = np.flatnonzero(times)
             for at in range(0, len(used), 4096):
                 part = used[at:at + 4096]
-                values = sums.reshape(ROWS, WIDTH)[part].astype(np.int64)
+                values = sums.reshape(ROWS, WIDTH)[part]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part), pa.array(times[part]), *[pa.array(np.ascontiguousarray(values[:, i])) for i in range(WIDTH)]], names)
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                rows = _rows(text, known)
-                np.add.at(times, rows, 1)
-                for apart in range(1, WINDOW + 1):
-                    for at in range(0, max(0, len(rows) - apart), CHUNK):
-                        left = rows[at:min(at + CHUNK, len(rows) - apart)]
-                        right = rows[at + apart:at + apart + len(left)]
-                        for word, other in ((left, right), (right, left)):
-                            np.add.at(sums, (word[:, None] * WIDTH + places[other]).ravel(), signs[other].ravel())
-                seen += len(rows)
+                held += [_rows(text, known), gap]
+                size += len(held[-2])
+                if size >= LOT:
+                    add(np.concatenate(held))
+                    seen, held, size = seen + size, [], 0
                 if seen > FLUSH:
                     yield from table()
                     sums[:], times[:], seen = 0, 0, 0
+        if held:
+            add(np.concatenate(held))
         yield from table()
 
     parts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(

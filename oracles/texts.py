@@ -518,6 +518,58 @@ select cast(event_id as varchar) as event_id, session_id, user_id, event_type, {
 select {ts("date_trunc('hour', ts)")} as hour_start, platform, count(*) as events from clickstream group by 1, 2""",
 }
 
+_TEXTS["stream_orders"] = _TEXTS["stock_order_atomic"]
+_TEXTS["stream_restock"] = _TEXTS["restock"]
+_ATOMIC = _TEXTS["stock_order_atomic"].replace("with recursive need", "with recursive decided as (with recursive need", 1)
+_TEXTS["stream_purchase_events"] = f"""
+{_ATOMIC}),
+bought as (select order_id, string_agg(cast(product_id as varchar), ',' order by product_id) as products
+           from (select distinct order_id, product_id from fact_order_line) p group by order_id)
+select concat('order-', cast(d.order_id as varchar)) as event_id,
+       concat(cast(o.customer_id as varchar), '-', strftime(o.order_date, '%Y%m%d')) as session_id, o.customer_id as user_id,
+       'purchase' as event_type, {ts('o.order_date')} as timestamp, strftime(o.order_date, '%Y-%m') as event_month, d.order_id,
+       cast(t.total as double) as revenue, b.products, 'COD' as payment_method, 'live_ui' as source
+from decided d join fact_order o on o.order_id = d.order_id join order_discount t on t.order_id = d.order_id
+join bought b on b.order_id = d.order_id where d.accepted"""
+_TEXTS["stream_seller_rating"] = f"""
+with kept as (select product_id, case when order_id % 7 = 1 then 1 + rating % 5 else rating end as rating
+              from review where order_id % 5 <> 0)
+select s.seller_id, coalesce({ratio('sum(rating)', 'count(rating)')}, 0.0) as rating_avg
+from dim_seller s left join dim_product p on p.seller_id = s.seller_id
+left join kept k on k.product_id = p.product_id group by s.seller_id"""
+_TEXTS["delete_chain"] = """
+with recursive ref as materialized (
+    select 'product.seller_id' as relation, 'cascade' as action, 'seller' as parent, cast(seller_id as varchar) as pk,
+           'product' as child, cast(product_id as varchar) as ck from dim_product
+    union all select 'variant.product_id', 'cascade', 'product', cast(product_id as varchar), 'variant', cast(variant_id as varchar) from variant
+    union all select 'inventory.variant_id', 'cascade', 'variant', cast(variant_id as varchar), 'inventory', cast(variant_id as varchar) from inventory
+    union all select 'orders.customer_id', 'restrict', 'customer', cast(customer_id as varchar), 'orders', cast(order_id as varchar) from fact_order
+    union all select 'orders.promotion_id', 'set null', 'promotion', cast(promotion_id as varchar), 'orders', cast(order_id as varchar)
+        from fact_order where promotion_id is not null
+    union all select 'order_line.order_id', 'cascade', 'orders', cast(order_id as varchar), 'order_line', concat(order_id, '-', variant_id)
+        from order_variant
+    union all select 'order_line.variant_id', 'restrict', 'variant', cast(variant_id as varchar), 'order_line', concat(order_id, '-', variant_id)
+        from order_variant
+    union all select 'payment.order_id', 'cascade', 'orders', cast(order_id as varchar), 'payment', cast(order_id as varchar) from payment
+    union all select 'shipment.order_id', 'cascade', 'orders', cast(order_id as varchar), 'shipment', cast(order_id as varchar) from fact_shipment
+    union all select 'review.product_id', 'cascade', 'product', cast(product_id as varchar), 'review', concat(order_id, '-', product_id) from review
+    union all select 'review.customer_id', 'cascade', 'customer', cast(customer_id as varchar), 'review', concat(order_id, '-', product_id) from review
+    union all select 'review.order_id', 'cascade', 'orders', cast(order_id as varchar), 'review', concat(order_id, '-', product_id) from review),
+reach(root, tab, k) as (
+    select concat('product:', product_id), 'product', cast(product_id as varchar) from dim_product where not is_approved
+    union select concat('seller:', s_suppkey), 'seller', cast(s_suppkey as varchar) from supplier where s_suppkey % 10 = 0
+    union select concat('customer:', c_custkey), 'customer', cast(c_custkey as varchar) from customer where c_custkey % 10 = 0
+    union select concat('orders:', order_id), 'orders', cast(order_id as varchar) from fact_order where status = 'Cancelled'
+    union select concat('promotion:', promotion_id), 'promotion', cast(promotion_id as varchar) from promotion where promotion_id % 2 = 0
+    union select r.root, f.child, f.ck from reach r join ref f on f.parent = r.tab and f.pk = r.k where f.action = 'cascade'),
+blocked as (select distinct r.root from reach r join ref f on f.parent = r.tab and f.pk = r.k where f.action = 'restrict'),
+edges as (select distinct relation, action from ref)
+select e.relation, e.action, count(distinct f.ck) filter (where r.root is not null and (e.action = 'restrict' or b.root is null)) as touched
+from edges e left join ref f on f.relation = e.relation left join reach r on f.parent = r.tab and f.pk = r.k
+left join blocked b on b.root = r.root group by e.relation, e.action
+union all
+select split_part(r.root, ':', 1), case when b.root is null then 'deleted' else 'blocked' end, count(distinct r.root)
+from reach r left join blocked b on b.root = r.root group by all"""
 _TEXTS["stream_stock"] = (
     _TEXTS["stock_line_greedy"].replace("select order_id, variant_id, quantity, accepted from walk", "")
     + """select variant_id, count(*) as lines, count(*) filter (where accepted) as accepted,

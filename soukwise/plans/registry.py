@@ -8,13 +8,14 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from soukwise.operators import integrity, quality, stock
+from soukwise.operators import deletes, integrity, quality, stock
 from soukwise.plans import business, catalogue, history, insights, merges
 from soukwise.session import materialise, new_folder, settle
 from soukwise.sources import documents, lake
 from soukwise.sources.model import Marketplace, discounts
 from soukwise.sources.tables import stream_table
 from soukwise.streaming import events as event_streams
+from soukwise.streaming import placement, views
 from soukwise.streaming import stock as stock_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -507,6 +508,56 @@ def cascade_delete(m):
          .where(F.col("promotion_id").isNull()))])
 
 
+def references() -> list[deletes.Reference]:
+    """What each reference of the model does when its parent goes; fixed values."""
+    return [deletes.Reference(*row) for row in (
+        ("product", "seller_id", "seller", deletes.CASCADE),
+        ("variant", "product_id", "product", deletes.CASCADE),
+        ("inventory", "variant_id", "variant", deletes.CASCADE),
+        ("orders", "customer_id", "customer", deletes.RESTRICT),
+        ("orders", "promotion_id", "promotion", deletes.SET_NULL),
+        ("order_line", "order_id", "orders", deletes.CASCADE),
+        ("order_line", "variant_id", "variant", deletes.RESTRICT),
+        ("payment", "order_id", "orders", deletes.CASCADE),
+        ("shipment", "order_id", "orders", deletes.CASCADE),
+        ("review", "product_id", "product", deletes.CASCADE),
+        ("review", "customer_id", "customer", deletes.CASCADE),
+        ("review", "order_id", "orders", deletes.CASCADE))]
+
+
+def keyed_tables(m: Marketplace) -> dict[str, DataFrame]:
+    """The tables of the model by name, each with its key and its references."""
+    def pair(a: str, b: str):
+        return F.concat_ws("-", a, b)
+    orders = m.orders()
+    return {
+        "seller": m.table("supplier").select(F.col("s_suppkey").alias("key")),
+        "customer": m.table("customer").select(F.col("c_custkey").alias("key")),
+        "promotion": m.promotions().select(F.col("promotion_id").alias("key")),
+        "product": m.products().select(F.col("product_id").alias("key"), "seller_id"),
+        "variant": m.variants().select(F.col("variant_id").alias("key"), "product_id"),
+        "inventory": m.inventory().select(F.col("variant_id").alias("key"), "variant_id"),
+        "orders": orders.select(F.col("order_id").alias("key"), "customer_id", "promotion_id"),
+        "order_line": stock.one_line_per_order(m.bare_lines()).select(
+            pair("order_id", "variant_id").alias("key"), "order_id", "variant_id"),
+        "payment": m.payments().select(F.col("order_id").alias("key"), "order_id"),
+        "shipment": m.shipments().select(F.col("order_id").alias("key"), "order_id"),
+        "review": m.reviews().select(pair("order_id", "product_id").alias("key"), "product_id", "customer_id", "order_id")}
+
+
+@query
+def delete_chain(m):
+    """What deletes of unapproved products, every tenth seller and customer, the cancelled orders and half of
+    the promotions would touch, followed to the end; a restriction anywhere blocks its whole delete."""
+    roots = {
+        "product": m.products().where("not is_approved").select(F.col("product_id").alias("key")),
+        "seller": m.table("supplier").where("s_suppkey % 10 = 0").select(F.col("s_suppkey").alias("key")),
+        "customer": m.table("customer").where("c_custkey % 10 = 0").select(F.col("c_custkey").alias("key")),
+        "orders": m.orders(only=("Cancelled",)).select(F.col("order_id").alias("key")),
+        "promotion": m.promotions().where("promotion_id % 2 = 0").select(F.col("promotion_id").alias("key"))}
+    return deletes.Deletion(keyed_tables(m), references(), roots).report()
+
+
 @query
 def orders_with_lines(m):
     return integrity.orders_with_lines(m.orders(), m.bare_lines())
@@ -666,6 +717,75 @@ def stream_stock(m):
         F.sum(F.when(F.col("accepted"), F.col("quantity")).otherwise(0)).alias("units"))
 
 
+#: Deliveries that the tables are cut into for the streams below.
+DELIVERIES = 3
+
+
+def _delivered(df: DataFrame, key: str, write: Callable[[DataFrame, str], None]) -> str:
+    """A folder that received ``df`` in deliveries by ascending ranges of a number, one after the other."""
+    path, rows = new_folder(df.sparkSession, "deliveries"), materialise(df)
+    cuts = rows.approxQuantile(key, [i / DELIVERIES for i in range(1, DELIVERIES)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = rows if low is None else rows.where(F.col(key) > low)
+        part = part if high is None else part.where(F.col(key) <= high)
+        write(part, path)
+    return path
+
+
+def _placed(m: Marketplace) -> str:
+    """Where the orders of the model were placed, as three deliveries of order documents."""
+    source = _delivered(placement.order_documents(m.bare_lines(), m.orders()), "order_id",
+                        lambda part, path: part.coalesce(1).write.mode("append").json(path))
+    out = new_folder(m.spark, "placed")
+    placement.run_placement(placement.read_orders(m.spark, source, 1), _on_hand(m), out,
+                            new_folder(m.spark, "progress")).awaitTermination()
+    return out
+
+
+@query
+def stream_orders(m):
+    return placement.decisions(m.spark, _placed(m)).select("order_id", "accepted")
+
+
+@query
+def stream_purchase_events(m):
+    events = placement.logged(m.spark, _placed(m))
+    return events.select("event_id", "session_id", "user_id", "event_type", "timestamp", "event_month", "order_id", "revenue",
+                         F.array_join("product_ids", ",").alias("products"), "payment_method", "source")
+
+
+@query
+def stream_restock(m):
+    source = _delivered(_status_changes(m), "order_id", lambda part, path: part.coalesce(1).write.mode("append").parquet(path))
+    out = new_folder(m.spark, "returned")
+    views.run_returned_units(views.read_changes(m.spark, source, views.STATUS_CHANGE, 1), m.bare_lines(), out,
+                             new_folder(m.spark, "progress")).awaitTermination()
+    return views.stock_view(m.spark, _on_hand(m), out)
+
+
+def _review_changes(m: Marketplace) -> DataFrame:
+    """Every review is written; every seventh order's is changed afterwards, every fifth order's deleted in the end."""
+    new, key = m.reviews(), F.col("order_id")
+    head = ["order_id", "customer_id", "product_id"]
+    none, changed = F.lit(None).cast("int"), (1 + F.col("rating") % 5).cast("int")
+    steps = [(F.lit(True), none, F.col("rating")), (key % 7 == 1, F.col("rating"), changed),
+             (key % 5 == 0, F.when(key % 7 == 1, changed).otherwise(F.col("rating")), none)]
+    return new.select(*head, F.explode(F.filter(F.array(*[
+        F.struct(F.lit(i).alias("step"), when.alias("applies"), old.cast("int").alias("old_rating"), to.cast("int").alias("new_rating"))
+        for i, (when, old, to) in enumerate(steps)]), lambda s: s["applies"])).alias("s")).select(
+        *head, "s.step", "s.old_rating", "s.new_rating")
+
+
+@query
+def stream_seller_rating(m):
+    source = _delivered(_review_changes(m), "order_id",
+                        lambda part, path: part.drop("step").coalesce(1).write.mode("append").parquet(path))
+    out = new_folder(m.spark, "ratings")
+    views.run_rating_sums(views.read_changes(m.spark, source, views.REVIEW_CHANGE, 1), m.products(), out,
+                          new_folder(m.spark, "progress")).awaitTermination()
+    return views.rating_view(m.spark, m.sellers(), out)
+
+
 # ------------------------------------------------------------------ catalogue
 # The code of each business question and the query that answers it.
 CODES = {

@@ -36,6 +36,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what a folder holds, from Spark's own file system layer."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(entry.getPath().getName() for entry in system.listStatus(target))
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 

@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     # Split a skewed join partition even where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A Python worker holds few long texts at a time.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Month folders stay text: type inference would read 2024-01 as a date.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

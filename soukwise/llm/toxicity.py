@@ -37,7 +37,7 @@ STEPS, BATCH, RATE, SEED = 480, 64, 0.02, 7
 #: One in so many words counts for a document, one in so many sampled documents is kept for the slope and the offset.
 TELLING, KEPT = 50, 4
 #: Words whose value a worker remembers, in each of two generations.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
 
 
 def subwords(word: str) -> list[int]:

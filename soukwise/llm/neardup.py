@@ -12,7 +12,8 @@ The fingerprint of a short text turns on a few shingles, so its bits say less. T
 two sets that are 0.8 alike must share one of.
 
 Texts with equal shingle sets are one node. First the cells of two fingerprints link their members to
-their most frequent node, so that a large group is joined by few links. Then pairs are only
+their most frequent node and, in a cell of many, to the one that is closest to the majority of their bits: copies that
+each differ from one original in their own way surround it. So a large group is joined by few links. Then pairs are only
 made of nodes that are still in different components. Texts stay where they are, but for those that a link
 has to be verified on, or that may have to go.
 """
@@ -37,6 +38,8 @@ PRINTS = 8
 GRIDS = [range(8 * g, 8 * g + 8) for g in range(4)] + [range(g, 32, 4) for g in range(2)]
 #: Fingerprints and grids of each whose cells link to their most frequent node first.
 HUBS = 2, 4
+#: Members of a cell from which on its middle is looked for.
+MANY = 8
 #: Bits of the map that tells which texts may be meant, before any is moved; one megabyte.
 BITS = 1 << 23
 #: Differing bits that are allowed in the fingerprint that shares a cell, and in all fingerprints together.
@@ -157,6 +160,17 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             .where(f"{shared} >= {LEAST} * (size(x) + size(y) - {shared})").select("a", "b"))
 
 
+def _middles(cells: DataFrame, large: DataFrame) -> DataFrame:
+    """(cell, node2, n2, fp2): of the cells in ``large`` the member that is closest to the bits that most members have."""
+    members = cells.join(large, "cell")
+    bits = [F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(F.lit(1))).alias(f"bit{i}") for i in range(64)]
+    counted = members.groupBy("cell").agg(F.count("*").alias("all"), *bits)
+    middle = counted.selectExpr("cell", " | ".join(f"if(bit{i} * 2 > all, shiftleft(1L, {i}), 0L)" for i in range(64)) + " as middle")
+    apart = F.expr("bit_count(fp ^ middle)")
+    return (members.join(middle, "cell").groupBy("cell").agg(F.min(F.struct(apart.alias("apart"), "node", "n", "fp")).alias("best"))
+            .selectExpr("cell", "best.node as node2", "best.n as n2", "best.fp as fp2"))
+
+
 def groups(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, label, rep) of the nodes of ``rows``, as ``described`` gives them; equal labels are near copies of each other.
 
@@ -167,8 +181,9 @@ def groups(rows: DataFrame, docs: DataFrame) -> DataFrame:
         F.first("fps").alias("fps"), F.first("few").alias("few"), F.count("*").alias("copies")).withColumn("label", F.col("node")))
     full = nodes.where("n > 0")
     cells = _cells(full, *HUBS).select("cell", "node", "n", "fp", "copies")
-    hubs = (cells.groupBy("cell").agg(F.max(F.struct("copies", "node", "n", "fp")).alias("top"), F.count("*").alias("m"))
-            .where("m > 1").selectExpr("cell", "top.node as node2", "top.n as n2", "top.fp as fp2"))
+    tops = materialise(cells.groupBy("cell").agg(F.max(F.struct("copies", "node", "n", "fp")).alias("top"), F.count("*").alias("m"))
+                       .where("m > 1").selectExpr("cell", "top.node as node2", "top.n as n2", "top.fp as fp2", "m"))
+    hubs = tops.drop("m").unionByName(_middles(cells, tops.where(F.col("m") >= MANY).select("cell")))
     to_hub = cells.join(hubs, "cell").where(f"node <> node2 and {_ALIKE}").selectExpr("node as a", "node2 as b")
     first = materialise(components(_verified(to_hub, nodes, docs)))
     nodes = materialise(nodes.drop("label").join(first.withColumnRenamed("id", "node"), "node", "left")

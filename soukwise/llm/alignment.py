@@ -22,7 +22,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +64,7 @@ _LOADED: dict[tuple, Loaded] = {}
 class Loaded:
     def __init__(self, byte_path: str, piece_path: str, pattern: str) -> None:
         import sentencepiece
+        import tiktoken
         with open(byte_path, encoding="utf-8") as file:
             described = json.load(file)
         bytes_of, entries = byte_of_character(), described["model"]["vocab"]

@@ -37,7 +37,9 @@ STEPS, BATCH, RATE, SEED = 480, 64, 0.02, 7
 #: One in so many words counts for a document, one in so many sampled documents is kept for the slope and the offset.
 TELLING, KEPT = 50, 4
 #: Words whose value a worker remembers, in each of two generations.
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 18
+#: Words whose buckets the training remembers, likewise.
+TRAINED = 1 << 14
 
 
 def subwords(word: str) -> list[int]:
@@ -48,17 +50,16 @@ def subwords(word: str) -> list[int]:
     return [zlib.crc32(g) % BUCKETS for g in (b"=" + marked, *grams)]
 
 
-def bag(text: str, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def bag(text: str, known: Remembered[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their weights, which add up to 1; empty for no word."""
     weights: dict[int, float] = {}
     words = WORDS.findall(text.lower())
     for word in words:
-        if (found := known.get(word)) is None:
-            found = known[word] = subwords(word)
+        found = known[word]
         share = 1.0 / len(found)
         for bucket in found:
             weights[bucket] = weights.get(bucket, 0.0) + share
-    buckets = np.fromiter(weights.keys(), np.int64, len(weights))
+    buckets = np.fromiter(weights.keys(), np.int32, len(weights))
     return buckets, np.fromiter(weights.values(), np.float32, len(weights)) / np.float32(max(1, len(words)))
 
 
@@ -88,7 +89,7 @@ def _probability(logit: float) -> float:
 
 def embedded(texts: list[str], target: np.ndarray) -> np.ndarray:
     """Fit embeddings and softmax to texts of two classes; the logit that each bucket adds to the mean."""
-    known: dict[str, list[int]] = {}
+    known: Remembered[str, list[int]] = Remembered(subwords, TRAINED)
     bags = [bag(t, known) for t in texts]
     rng = np.random.default_rng(SEED)
     embed = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)

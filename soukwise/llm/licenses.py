@@ -14,7 +14,7 @@ All of it works on one row at a time, so nothing is shuffled.
 from __future__ import annotations
 
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Creative Commons licences: conditions in short, and as the long name spells them.
@@ -176,6 +176,25 @@ def rule_pattern(ids: str) -> str:
     return "(?: [^ ]+ )*?".join(" " + known.replace("+", "  ") + " " for known in ids.split())
 
 
+def without_rule(at: str, ids: str) -> Column:
+    """A sequence, in the column ``at``, without what a rule covers.
+
+    In such a sequence " x " occurs at whole identifiers only, so any characters may stand for those in between, which Java
+    matches in a loop. Nothing is looked for behind the last place of the rule's last identifier, nor where the
+    identifiers do not follow each other at all, so a search that fails does not start again at each identifier.
+    """
+    parts = [" " + known.replace("+", "  ") + " " for known in ids.split()]
+    if len(parts) == 1:
+        return F.regexp_replace(at, parts[0], "")
+    behind = F.substring_index(at, parts[-1], -1)
+    head = F.substr(F.col(at), F.lit(1), F.length(at) - F.length(behind))
+    place = F.lit(1)
+    for part in parts:
+        # A place of 0 stays: nothing is found from there on.
+        place = F.call_function("locate", F.lit(part), head, place)
+    return F.when(place > 0, F.concat(F.regexp_replace(head, ".*?".join(parts), ""), behind)).otherwise(F.col(at))
+
+
 def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, sentences, licences) for each row of ``docs``: the identifiers found, in order, and the licences, sorted.
 
@@ -192,8 +211,7 @@ def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = rows.select("id", F.transform("found", lambda p: table[p]).alias("sentences"))
     rows = rows.select("*", F.array_join(F.transform("sentences", lambda i: F.concat(F.lit(" "), i, F.lit(" "))), "").alias("_0"))
     for k, (_, ids) in enumerate(RULES):
-        rows = rows.select("*", F.when(F.col(f"_{k}") == "", "").otherwise(
-            F.regexp_replace(f"_{k}", rule_pattern(ids), "")).alias(f"_{k + 1}"))
+        rows = rows.select("*", F.when(F.col(f"_{k}") == "", "").otherwise(without_rule(f"_{k}", ids)).alias(f"_{k + 1}"))
     named = F.array(*[F.when(F.col(f"_{k}") != F.col(f"_{k + 1}"), name) for k, (name, _) in enumerate(RULES)])
     return rows.select("id", "sentences", F.array_sort(F.array_distinct(F.array_compact(named))).alias("licences"))
 

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from soukwise.llm.spans import add_spans, labelled, listed, merged, overlaps
+from soukwise.llm.spans import add_spans, apart_from, in_blocks, labelled, listed, merged, not_within_earlier
 from soukwise.session import materialise
 
 # The fixed patterns, written so that no place is tried twice: a local part begins where the last match ended or
@@ -32,7 +32,7 @@ KINDS = ("email", "ip", "card", "phone")
 
 # Further candidates, in this order, by the kind that a match of the joint pattern has.
 OTHER = {
-    "masked_email": r"[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++ ?(?:[\[(]dot[\])]|\.) ?[A-Za-z]{2,10}",
+    "masked_email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++ ?(?:[\[(]dot[\])]|\.) ?[A-Za-z]{2,10}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "national": r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[-. ][0-9]{2,3}[-. ][0-9]{4}(?![0-9A-Za-z])",
     "name": r"(?<!\p{L})(?:Mrs?|Ms|Dr|Herr|Frau|Monsieur|Madame|Señora?)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
@@ -247,10 +247,12 @@ def _with_spans(found: DataFrame, kept: list[str], prior: float, weights: dict[s
             out = out + part
         return out
 
-    chosen = F.filter("cands", lambda s: s["kind"].isin(*ADDED) & (odds(s) > 0) & ~overlaps(s, F.col("base")))
-    found = found.select(*dict.fromkeys([*kept, "base"]), chosen.alias("chosen"))
-    alone = F.filter("chosen", lambda s: ~F.exists("chosen", lambda o: (o["start"] < s["start"]) & (s["start"] < o["end"])))
-    found = found.select(*dict.fromkeys([*kept, "base"]), alone.alias("added"))
+    carried = [*dict.fromkeys([*kept, "base"])]
+    likely = F.array_sort(F.filter("cands", lambda s: s["kind"].isin(*ADDED) & (odds(s) > 0)))
+    found = found.select(*carried, likely.alias("likely"), in_blocks(F.col("base")).alias("cut"))
+    found = found.select(*carried, apart_from(F.col("likely"), "cut").alias("chosen"))
+    found = found.select(*carried, "chosen", in_blocks(F.col("chosen")).alias("cut"))
+    found = found.select(*carried, not_within_earlier(F.col("chosen"), "cut").alias("added"))
     added = [labelled(F.filter("added", _of_kind(kind)), rank, kind) for rank, kind in enumerate(ADDED, len(KINDS))]
     return found.select(*kept, F.array_sort(F.concat("base", *added)).alias("spans"))
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from soukwise.llm.spans import add_spans, labelled, listed, merged, overlaps
+from soukwise.llm.spans import add_spans, apart_from, in_blocks, labelled, listed, merged
 from soukwise.session import materialise
 
 # Fixed patterns. Those for hex and access keys hold their least length; a run that is
@@ -177,8 +177,8 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     long = F.filter("_spans_assign", lambda s: F.length(F.regexp_extract(s["hit"], ASSIGN, 1)) >= ASSIGN_LEAST)
     based = found.select("id", merged({"assign": long, "access": F.col("_spans_access"), "hex": F.col("_spans_hex")})
                          .alias("base"), "_spans_token", "text")
-    fresh = F.filter("_spans_token", lambda s: ~overlaps(s, F.col("base")))
-    based = based.select("id", "base", "text", fresh.alias("fresh"))
+    based = based.select("*", in_blocks(F.col("base")).alias("cut"))
+    based = based.select("id", "base", "text", apart_from(F.col("_spans_token"), "cut").alias("fresh"))
     letters = F.when(F.size("fresh") > 0, F.regexp_replace("text", LONG_OR_OTHER, "")).otherwise("")
     based = based.select("id", "base", "fresh", letters.alias("letters"))
     based = based.select("id", "base", with_decoys(F.col("fresh"), F.col("letters")).alias("drawn"))

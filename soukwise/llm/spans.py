@@ -94,6 +94,28 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def overlaps(span: Column, others: Column) -> Column:
-    """Whether a span shares a place with any of an array."""
-    return F.exists(others, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
+def in_blocks(spans: Column) -> Column:
+    """An array of spans, sorted by start, in blocks of (low, high, spans): the first start, the last end, and the spans."""
+    cut = F.when(F.size(spans) > 0, F.transform(blocks(spans), lambda b: F.struct(
+        b[0]["start"].alias("low"), F.array_max(F.transform(b, lambda s: s["end"])).alias("high"), b.alias("spans"))))
+    return F.coalesce(cut, F.array())
+
+
+def apart_from(spans: Column, cut: str) -> Column:
+    """Those of an array of spans that share no place with any span in the blocks of the column ``cut``.
+
+    A span looks at the blocks and into those it reaches, so n spans cost about n * (n / BLOCK + BLOCK) steps.
+    """
+    def meets(span: Column) -> Column:
+        return F.exists(cut, lambda b: (b["low"] < span["end"]) & (span["start"] < b["high"]) & F.exists(
+            b["spans"], lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"])))
+    # Named twice, so that the blocks are made once and not again for every span.
+    return F.when(F.size(cut) == 0, spans).otherwise(F.filter(spans, lambda s: ~meets(s)))
+
+
+def not_within_earlier(spans: Column, cut: str) -> Column:
+    """Those of an array that do not begin inside another one of it, which begins before; ``cut`` has its blocks."""
+    def within(span: Column) -> Column:
+        return F.exists(cut, lambda b: (b["low"] < span["start"]) & (span["start"] < b["high"]) & F.exists(
+            b["spans"], lambda o: (o["start"] < span["start"]) & (span["start"] < o["end"])))
+    return F.when(F.size(cut) == 0, spans).otherwise(F.filter(spans, lambda s: ~within(s)))

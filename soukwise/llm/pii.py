@@ -233,7 +233,8 @@ def without_personal_data(docs: DataFrame, text_col: str = "text", size_col: str
 
 
 def _learned(found: DataFrame) -> tuple[float, dict[str, dict[object, float]]]:
-    seen = found.select(F.inline("cands")).groupBy(*FEATURES).count().collect()
+    # The outer form: for the other one Spark filters by the size of the array first, and makes all of it for that as well.
+    seen = found.select(F.inline_outer("cands")).where("kind is not null").groupBy(*FEATURES).count().collect()
     return classifier([(tuple(r[f] for f in FEATURES), r["count"]) for r in seen])
 
 

@@ -518,6 +518,11 @@ select cast(event_id as varchar) as event_id, session_id, user_id, event_type, {
 select {ts("date_trunc('hour', ts)")} as hour_start, platform, count(*) as events from clickstream group by 1, 2""",
 }
 
+_TEXTS["recent_lake_events"] = _TEXTS["recent_events"]
+_TEXTS["purchase_products"] = """
+select distinct concat('order-', cast(order_id as varchar)) as event_id,
+       concat(cast(customer_id as varchar), '-', strftime(order_date, '%Y%m%d')) as session_id, customer_id as user_id, product_id
+from fact_order_line"""
 _TEXTS["stream_orders"] = _TEXTS["stock_order_atomic"]
 _TEXTS["stream_restock"] = _TEXTS["restock"]
 _ATOMIC = _TEXTS["stock_order_atomic"].replace("with recursive need", "with recursive decided as (with recursive need", 1)

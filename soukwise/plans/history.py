@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from soukwise.operators.skew import HOT_ROWS, hot_keys, running_sums
+from soukwise.sources.lake import folder_names
 
 
 def numbered(df: DataFrame, key: str, order: list[Column], range_on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -69,6 +70,26 @@ def recent_events(events: DataFrame, limit: int = 25, only_live: bool = False) -
     return rows.select(*EVENT).orderBy(F.desc("ts"), F.desc("event_id")).limit(limit)
 
 
+def recent_lake_events(spark: SparkSession, path: str, limit: int = 25, only_live: bool = False) -> DataFrame:
+    """The same over a lake of month folders, the newest month first; older folders are opened only while rows are missing.
+
+    Events without a time are in the last folder to be opened.
+    """
+    months = [name for name in folder_names(spark, path) if name.startswith("event_month=")]
+    months.sort(key=lambda name: ("__HIVE_DEFAULT_PARTITION__" not in name, name), reverse=True)
+    opened, found = [], 0
+    for month in months:
+        opened.append(f"{path}/{month}")
+        rows = spark.read.option("basePath", path).parquet(opened[-1])
+        # Months do not overlap in time, so the newest folder's rows all come before the next one's.
+        found += (rows.where(F.col("source") == "live_ui") if only_live else rows).select("event_id").limit(limit - found).count()
+        if found >= limit:
+            break
+    if not opened:
+        raise FileNotFoundError(f"no month folder in {path}")
+    return recent_events(spark.read.option("basePath", path).parquet(*opened), limit, only_live)
+
+
 def scan_reconcile(shipments: DataFrame, scans: DataFrame) -> DataFrame:
     """Shipments and scans per order, from either side, and whether both are there."""
     sent = shipments.groupBy("order_id").agg(F.count("*").alias("shipments"))

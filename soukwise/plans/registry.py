@@ -639,6 +639,20 @@ def orders_to_purchase_events(m):
     return integrity.orders_to_purchase_events(m.orders(), m.order_totals())
 
 
+@query
+def purchase_products(m):
+    """The products of each order's purchase, written as documents with a list and read back under their schema."""
+    path = new_folder(m.spark, "purchase-documents")
+    bought = placement.purchase_events(placement.order_documents(m.bare_lines(), m.orders()))
+    documents.write_documents(documents.purchase_documents(bought), path)
+    return documents.purchased_products(documents.read_events(m.spark, path))
+
+
+@query
+def recent_lake_events(m):
+    return history.recent_lake_events(m.spark, _event_lake(m))
+
+
 # --------------------------------------------------------------------- stock
 def _on_hand(m: Marketplace) -> DataFrame:
     return m.inventory().select("variant_id", F.col("quantity_on_hand").cast("bigint").alias("on_hand"))

@@ -69,6 +69,13 @@ def purchased_products(documents: DataFrame) -> DataFrame:
         "event_id", "session_id", "user_id", F.explode_outer("payload.product_ids").alias("product_id"))
 
 
+def purchase_documents(purchases: DataFrame) -> DataFrame:
+    """Purchases (event_id, session_id, user_id, timestamp, order_id, revenue, product_ids, payment_method, source) in document form."""
+    return purchases.select(
+        "event_id", "session_id", "user_id", F.lit("purchase").alias("event_type"), "timestamp",
+        F.struct("product_ids", F.col("revenue").cast("double").alias("revenue"), "payment_method", "order_id").alias("payload"), "source")
+
+
 def as_documents(events: DataFrame) -> DataFrame:
     """Flat clickstream rows in document form, as a shop front end would send them.
 

@@ -206,3 +206,23 @@ def test_chained_deletes_against_one_by_one(spark):
     assert report["c.b_id", CASCADE] == len(children(refs[1], going["b"]))
     assert sum(n for (_, action), n in report.items() if action == "blocked") == sum(state.values())
     assert any(state.values()) and not all(state.values())
+
+
+def test_latest_events_open_only_the_months_they_need(spark, tmp_path):
+    from soukwise.plans import history
+    from soukwise.sources import lake
+    path = str(tmp_path / "lake")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 40_000)
+    rows = spark.range(400).select(
+        F.col("id").alias("event_id"), F.when(F.col("id") < 395, at).alias("ts"), F.lit(1).alias("user_id"), F.lit("s").alias("session_id"),
+        F.lit("page_view").alias("event_type"), F.lit(None).cast("bigint").alias("product_id"), F.lit("ios").alias("platform"),
+        F.when(F.col("id") % 50 == 0, "live_ui").otherwise("mock").alias("source")).withColumn("event_month", F.date_format("ts", "yyyy-MM"))
+    lake.write_by_month(rows, path)
+    for limit, live, opened in ((5, False, 1), (150, False, 3), (2, True, 2), (10_000, False, 8)):
+        found = history.recent_lake_events(spark, path, limit, live)
+        assert [tuple(r) for r in found.collect()] == [tuple(r) for r in history.recent_events(rows, limit, live).collect()]
+        months = {f.split("event_month=")[1].split("/")[0] for f in found.inputFiles()}
+        assert len(months) == opened, (limit, months)
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "none").mkdir()
+        history.recent_lake_events(spark, str(tmp_path / "none"))

@@ -47,7 +47,7 @@ def top_sellers_in_range(lines: DataFrame, products: DataFrame, first: date, las
             .join(top, "product_id").orderBy(F.desc("units"), "product_id"))
 
 
-def rfm(lines: DataFrame, customers: DataFrame, as_of: date, buckets: int = 64) -> DataFrame:
+def rfm(lines: DataFrame, customers: DataFrame, as_of: date, buckets: int | None = None) -> DataFrame:
     """Recency, frequency and spend of every buyer, scored 1 to 5, and the segment they imply."""
     per_order = (delivered(lines).groupBy("order_id", "customer_id", "order_date")
                  .agg(F.sum("line_revenue").alias("total")))
@@ -97,7 +97,7 @@ def low_stock(inventory: DataFrame, variants: DataFrame, products: DataFrame) ->
 
 
 def seller_scorecard(sellers: DataFrame, products: DataFrame, lines: DataFrame, reviews: DataFrame,
-                     buckets: int = 64) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """Sales, range and ratings per seller. Each branch is summed before it is joined, so none
     multiplies another."""
     owner = products.select("product_id", "seller_id")

@@ -64,7 +64,7 @@ def viewed_and_sold(merged: DataFrame) -> DataFrame:
         "product_id", "product_name", "category", F.col("product_view").alias("views"), "revenue")
 
 
-def leaks_among(pairs: DataFrame, buckets: int = 64) -> DataFrame:
+def leaks_among(pairs: DataFrame, buckets: int | None = None) -> DataFrame:
     """Products in the top quarter by views but the bottom 35 percent by revenue."""
     by_views = (global_ranks(pairs, "views", "product_id", buckets=buckets)
                 .withColumnRenamed("pct_rank", "views_pct").drop("row_number", "rank"))
@@ -75,11 +75,11 @@ def leaks_among(pairs: DataFrame, buckets: int = 64) -> DataFrame:
         "product_id", "product_name", "category", "views", "revenue", "views_pct", "revenue_pct")
 
 
-def leak_products(merged: DataFrame, buckets: int = 64) -> DataFrame:
+def leak_products(merged: DataFrame, buckets: int | None = None) -> DataFrame:
     return leaks_among(viewed_and_sold(merged), buckets)
 
 
-def insight_view_revenue(merged: DataFrame, buckets: int = 64) -> DataFrame:
+def insight_view_revenue(merged: DataFrame, buckets: int | None = None) -> DataFrame:
     pairs = materialise(viewed_and_sold(merged))
     leaks = leaks_among(pairs, buckets).agg(F.count("*"))
     return pairs.agg(F.round(F.corr("views", F.col("revenue").cast("double")), 6).alias("corr"),

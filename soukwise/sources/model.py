@@ -23,10 +23,11 @@ EVENT_TYPES = ("page_view", "search", "product_view", "add_to_cart", "remove_fro
 
 
 def payment_status_for(order_status: Column) -> Column:
+    """NULL for a state that is not one of the model's."""
     return (F.when(order_status == "Pending", "Pending")
             .when(order_status == "Cancelled", "Failed")
             .when(order_status == "Returned", "Refunded")
-            .otherwise("Paid"))
+            .when(order_status.isin("Confirmed", "Shipping", "Delivered"), "Paid"))
 
 
 def shipment_status_for(order_status: Column) -> Column:

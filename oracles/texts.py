@@ -330,6 +330,18 @@ select {EVENT}, row_number() over (partition by session_id order by clickstream.
     "shipment_journey": f"""
 select tracking_no, order_id, station, {ts('scanned_at')} as scanned_at,
        row_number() over (partition by tracking_no order by shipment_scan.scanned_at, station) as seq from shipment_scan""",
+    "session_chunks": """
+with s as (select *, row_number() over (partition by session_id order by clickstream.ts, event_id) as seq from clickstream)
+select session_id, (seq - 1) // 3 as chunk, min(seq) as first_seq, count(*) as n,
+       string_agg(concat_ws(':', seq, event_id, event_type, product_id), ',' order by seq) as steps from s group by 1, 2""",
+    "shipment_chunks": """
+with s as (select *, row_number() over (partition by tracking_no order by shipment_scan.scanned_at, station) as seq
+           from shipment_scan)
+select tracking_no, (seq - 1) // 2 as chunk, min(seq) as first_seq, count(*) as n,
+       string_agg(concat_ws(':', seq, order_id, station), ',' order by seq) as steps from s group by 1, 2""",
+    "curated_refresh": """
+select event_month, event_type, platform, count(*) as events, count(distinct session_id) as sessions
+from clickstream group by 1, 2, 3""",
     "recent_events": f"""
 select {EVENT} from clickstream order by clickstream.ts desc, event_id desc limit 25""",
     "scan_reconcile": """

@@ -27,6 +27,9 @@ def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+#: Rows of a nested array at most.
+CHUNK_ROWS = 1000
+
 EVENT = ["event_id", "ts", "user_id", "session_id", "event_type", "product_id", "platform", "source"]
 
 
@@ -56,6 +59,31 @@ def shipment_journey(scans: DataFrame, tracking_no: str | None = None, hot_rows:
     return numbered(timed, "tracking_no", [F.col("_at"), F.col("station")], "_at", hot_rows).drop("_at")
 
 
+def chunked(numbered_rows: DataFrame, key: str, steps: str, rows_per_chunk: int) -> DataFrame:
+    """(key, chunk, first_seq, n, ``steps``): the rows of each key as nested arrays in the order of ``seq``.
+
+    An array holds ``rows_per_chunk`` rows at most; a key with more has several, one after the other. So the rows of a
+    hot key meet in many small groups, whatever their number. A missing key is a key.
+    """
+    if rows_per_chunk < 1:
+        raise ValueError("a chunk holds one row at least")
+    fields = ["seq", *[c for c in numbered_rows.columns if c not in (key, "seq")]]
+    chunk = F.floor((F.col("seq") - 1) / F.lit(rows_per_chunk)).cast("bigint")
+    return (numbered_rows.groupBy(key, chunk.alias("chunk"))
+            .agg(F.min("seq").alias("first_seq"), F.count("*").alias("n"),
+                 F.array_sort(F.collect_list(F.struct(*fields))).alias(steps)))
+
+
+def session_chunks(events: DataFrame, rows_per_chunk: int = CHUNK_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Each session as nested arrays of its events in time order."""
+    return chunked(session_replay(events, hot_rows=hot_rows), "session_id", "events", rows_per_chunk)
+
+
+def shipment_chunks(scans: DataFrame, rows_per_chunk: int = CHUNK_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Each parcel as nested arrays of its scans in time order."""
+    return chunked(shipment_journey(scans, hot_rows=hot_rows), "tracking_no", "scans", rows_per_chunk)
+
+
 def events_by_type_range(events: DataFrame, event_type: str, start: datetime, end: datetime) -> DataFrame:
     """Events of one type in [start, end). The month is bounded too, which prunes lake folders."""
     months = F.col("event_month").between(f"{start:%Y-%m}", f"{end:%Y-%m}")

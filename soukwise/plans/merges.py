@@ -191,3 +191,9 @@ def event_stats(events: DataFrame) -> DataFrame:
 def events_by_month(events: DataFrame) -> DataFrame:
     return events.groupBy("event_month").agg(
         F.count("*").alias("events"), F.count_distinct("session_id").alias("sessions"))
+
+
+def monthly_activity(events: DataFrame) -> DataFrame:
+    """Events and sessions by month, type and platform. A month depends on its own events only."""
+    return events.groupBy("event_month", "event_type", "platform").agg(
+        F.count("*").alias("events"), F.count_distinct("session_id").alias("sessions"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from soukwise.operators import deletes, integrity, quality, stock
 from soukwise.plans import business, catalogue, history, insights, merges
 from soukwise.session import materialise, new_folder, settle
-from soukwise.sources import documents, lake
+from soukwise.sources import documents, lake, refresh
 from soukwise.sources.model import Marketplace, discounts
 from soukwise.sources.tables import stream_table
 from soukwise.streaming import events as event_streams
@@ -424,6 +424,21 @@ def shipment_journey(m):
     return history.shipment_journey(m.scans())
 
 
+@query
+def session_chunks(m):
+    """Small arrays, so that sessions have several here."""
+    step = F.transform("events", lambda e: F.concat_ws(":", e["seq"], e["event_id"], e["event_type"], e["product_id"]))
+    return history.session_chunks(m.clickstream(), 3).select(
+        "session_id", "chunk", "first_seq", "n", F.array_join(step, ",").alias("steps"))
+
+
+@query
+def shipment_chunks(m):
+    step = F.transform("scans", lambda s: F.concat_ws(":", s["seq"], s["order_id"], s["station"]))
+    return history.shipment_chunks(m.scans(), 2).select(
+        "tracking_no", "chunk", "first_seq", "n", F.array_join(step, ",").alias("steps"))
+
+
 @query
 def recent_events(m):
     return history.recent_events(m.clickstream())
@@ -648,6 +663,17 @@ def purchase_products(m):
     return documents.purchased_products(documents.read_events(m.spark, path))
 
 
+@query
+def curated_refresh(m):
+    """The raw zone is replaced after a first refresh; the second one finds what has changed."""
+    raw, curated = new_folder(m.spark, "raw"), new_folder(m.spark, "curated")
+    events = m.clickstream()
+    for rows in (events.where(F.col("source") == "mock"), events):
+        lake.write_by_month(rows, raw)
+        refresh.refresh(m.spark, raw, curated, merges.monthly_activity)
+    return refresh.read_curated(m.spark, curated)
+
+
 @query
 def recent_lake_events(m):
     return history.recent_lake_events(m.spark, _event_lake(m))

@@ -36,6 +36,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, through Spark's own file system layer."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """The names of what a folder holds, from Spark's own file system layer."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

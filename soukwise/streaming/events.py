@@ -34,15 +34,22 @@ def read_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) ->
     return (spark.readStream.schema(EVENT_DOCUMENT).option("maxFilesPerTrigger", files_per_batch).json(folder))
 
 
-def _with_ids(batch: DataFrame) -> DataFrame:
-    """An id for each event of a batch that came without one, from the place it was read from.
+def with_ids(batch: DataFrame) -> DataFrame:
+    """An id for each event that came without one, from its file (``_file``), what it says and its number among the
+    events of that file that say the same.
 
-    A batch that is repeated reads the same files in the same way, so a line gets the
-    same id again; two equal lines get two.
+    Equal events of a file are counted, not sorted, and the numbers are given out again from the count. So the ids do not
+    depend on how files are cut into tasks or ordered, equal events get different ids, and one event that fills a file
+    is no hot key. A missing time is the time of the file (``_arrived``).
     """
-    place = F.concat_ws("#", "_file", F.monotonically_increasing_id().cast("string"))
-    return batch.select("*", F.concat(F.lit("live-"), F.sha2(place, 256)).alias("_own")).withColumn(
-        "event_id", F.coalesce("event_id", "_own")).drop("_own", "_file")
+    batch = batch.withColumn("timestamp", F.coalesce("timestamp", "_arrived")).drop("_arrived")
+    said = [c for c in batch.columns if c != "event_id"]
+    counted = batch.where("event_id is null").groupBy(*said).agg(F.count("*").alias("_n"))
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0), F.expr("(_n - 1) div 4096"))))
+    each = blocks.withColumn("_no", F.explode(F.expr("sequence(_block * 4096 + 1, least(_n, (_block + 1) * 4096))")))
+    place = F.to_json(F.struct(*said, "_no"))
+    own = each.select(F.concat(F.lit("live-"), F.sha2(place, 256)).alias("event_id"), *said)
+    return batch.where("event_id is not null").select("event_id", *said).unionByName(own).drop("_file")
 
 
 def _append_new(out: str):
@@ -50,7 +57,7 @@ def _append_new(out: str):
     by a repeated batch, is stored once; only the months of the batch are looked at."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        events = materialise(events_flat(with_defaults(_with_ids(batch))).dropDuplicates(["event_id"]))
+        events = materialise(events_flat(with_defaults(with_ids(batch))).dropDuplicates(["event_id"]))
         # A batch touches few months, whatever it holds.
         months = [r[0] for r in events.select("event_month").distinct().collect()]
         held = [f"{out}/event_month={month}" for month in months if exists(spark, f"{out}/event_month={month}")]
@@ -63,7 +70,8 @@ def _append_new(out: str):
 def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, files_per_batch: int = 100,
            **trigger) -> StreamingQuery:
     """Documents to the month-partitioned lake, every event once, however late it is."""
-    events = read_stream(spark, folder, files_per_batch).select("*", F.col("_metadata.file_path").alias("_file"))
+    events = read_stream(spark, folder, files_per_batch).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_arrived"))
     return (events.writeStream.foreachBatch(_append_new(out)).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 

@@ -6,8 +6,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from soukwise.plans import history
-from soukwise.sources import documents, lake
+from soukwise.plans import history, merges
+from soukwise.sources import documents, lake, refresh
+from soukwise.sources.documents import EVENT_DOCUMENT
 from soukwise.sources.model import Marketplace
 from soukwise.streaming import events as streams
 
@@ -208,3 +209,98 @@ def test_running_counts_over_several_batches(spark, tmp_path):
         streams.run_event_stats(stream, out, progress).awaitTermination()
     got = {r["event_type"]: r["events"] for r in streams.latest(spark, out, ["event_type"], "events").collect()}
     assert got == {"view": 2, "buy": 1}
+
+
+def test_own_ids_do_not_depend_on_how_a_batch_is_cut(spark, tmp_path):
+    live = {"session_id": "s", "event_type": "search", "timestamp": "2024-02-02T10:01:00Z"}
+    lines = [live] * 9000 + [{**live, "user_id": k % 7} for k in range(50)] + [{**live, "event_id": "e"}] * 3 + [{"session_id": "t"}]
+    for name in ("a.json", "b.json"):
+        write_lines(tmp_path / "in", name, lines)
+    documents = spark.read.schema(EVENT_DOCUMENT).json(str(tmp_path / "in")).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_arrived"))
+    whole = sorted(r["event_id"] for r in streams.with_ids(documents.coalesce(1)).collect())
+    parts = sorted(r["event_id"] for r in streams.with_ids(documents.repartition(13)).collect())
+    assert whole == parts and len(whole) == 2 * len(lines)
+    assert len(set(whole)) == 2 * (len(lines) - 3) + 1
+    assert streams.with_ids(documents).where("timestamp is null").isEmpty()
+
+
+def test_a_batch_repeated_with_other_splits_stores_nothing_twice(spark, tmp_path):
+    live = {"session_id": "s", "event_type": "search", "timestamp": "2024-02-02T10:01:00Z"}
+    for name in ("a.json", "b.json"):
+        write_lines(tmp_path / "in", name, [live] * 40 + [{**live, "user_id": k} for k in range(40)] + [{"session_id": "late"}])
+    out, before = str(tmp_path / "lake"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for run, (split, files) in enumerate((("128m", 100), ("500b", 1))):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            streams.ingest(spark, str(tmp_path / "in"), out, str(tmp_path / f"progress{run}"), files).awaitTermination()
+            assert lake.read_by_month(spark, out).count() == 162
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def month_rows(spark, rows):
+    return spark.createDataFrame(rows, "event_month string, event_type string, platform string, session_id string")
+
+
+def test_refresh_computes_changed_months_only(spark, tmp_path):
+    raw, curated = str(tmp_path / "raw"), str(tmp_path / "curated")
+    rows = [(month, kind, "ios", f"s{k % 3}") for month in ("2024-01", "2024-02", "2024-03", None) for kind in "ab" for k in range(5)]
+    seen = []
+
+    def build(df):
+        seen.append(sorted(str(r[0]) for r in df.select("event_month").distinct().collect()))
+        return merges.monthly_activity(df.where("event_type <> 'none'"))
+
+    def check(every):
+        got = sorted(map(str, refresh.read_curated(spark, curated).select("event_month", "event_type", "platform", "events", "sessions").collect()))
+        assert got == sorted(map(str, merges.monthly_activity(month_rows(spark, every).where("event_type <> 'none'")).collect()))
+
+    lake.write_by_month(month_rows(spark, rows), raw)
+    assert len(refresh.refresh(spark, raw, curated, build)) == 4
+    check(rows)
+    assert refresh.refresh(spark, raw, curated, build) == [] and len(seen) == 1
+    # The same rows in other files.
+    lake.write_by_month(month_rows(spark, rows[::-1]).repartition(3), raw)
+    assert refresh.refresh(spark, raw, curated, build) == [] and len(seen) == 1
+    # A repeated row counts; the month without a name is a month.
+    more = [*rows, rows[10], (None, "c", "ios", "s")]
+    lake.write_by_month(month_rows(spark, [r for r in more if r[0] in ("2024-02", None)]), raw)
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "curated" / "event_month=2024-01").iterdir()}
+    assert refresh.refresh(spark, raw, curated, build) == ["2024-02", refresh.MISSING] and seen[-1] == ["2024-02", "None"]
+    assert kept == {p: p.stat().st_mtime_ns for p in (tmp_path / "curated" / "event_month=2024-01").iterdir()}
+    check(more)
+    # A month that is gone, one of which nothing is left, and one that is new.
+    lake.remove(spark, f"{raw}/event_month=2024-01")
+    last = [r for r in more if r[0] in ("2024-02", None)] + [("2024-03", "none", "ios", "s"), ("2024-04", "a", "ios", "s")]
+    lake.write_by_month(month_rows(spark, last[-2:]), raw)
+    assert refresh.refresh(spark, raw, curated, build) == ["2024-01", "2024-03", "2024-04"]
+    check(last)
+
+
+def test_refresh_that_stopped_before_its_manifest_is_done_again(spark, tmp_path):
+    raw, curated, manifest = (str(tmp_path / n) for n in ("raw", "curated", "manifest"))
+    rows = [("2024-01", "a", "ios", "s"), ("2024-02", "a", "ios", "s")]
+    lake.write_by_month(month_rows(spark, rows), raw)
+    refresh.refresh(spark, raw, curated, merges.monthly_activity, manifest)
+    lake.remove(spark, manifest)
+    assert refresh.refresh(spark, raw, curated, merges.monthly_activity, manifest) == ["2024-01", "2024-02"]
+    assert refresh.read_curated(spark, curated).count() == 2
+
+
+@pytest.mark.parametrize("hot_rows", [4, 10 ** 9])
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_nested_replay_joins_to_the_numbered_one(spark, hot_rows, size):
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("id"), F.lit(9)) * 60)
+    events = spark.range(60).select(
+        F.col("id").alias("event_id"), at.alias("ts"), F.lit(1).alias("user_id"),
+        F.expr("case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('s', id % 7) end").alias("session_id"),
+        F.lit("search").alias("event_type"), F.lit(None).cast("bigint").alias("product_id"), F.lit("ios").alias("platform"),
+        F.lit("mock").alias("source"))
+    chunks = history.session_chunks(events, size, hot_rows).collect()
+    assert all(r["n"] == len(r["events"]) <= size and r["first_seq"] == r["chunk"] * size + 1 for r in chunks)
+    opened = [(r["session_id"], e["seq"], e["event_id"]) for r in sorted(chunks, key=lambda r: (r["session_id"] or "", r["chunk"])) for e in r["events"]]
+    flat = [(r["session_id"], r["seq"], r["event_id"]) for r in history.session_replay(events, hot_rows=hot_rows).collect()]
+    assert opened == sorted(flat, key=lambda r: (r[0] or "", r[1]))
+    with pytest.raises(ValueError):
+        history.session_chunks(events, 0)

@@ -3,12 +3,16 @@
 A word is read letter by letter, each given the three letters before it, with
 spaces before the word and one after it. The highest order counts occurrences, the
 lower ones in how many contexts a sequence was seen. All rows of the training
-table are counted, in Spark; a model keeps its most frequent sequences up to a bound. It is a set
-of sorted arrays of 64-bit hashes with a probability each, and of contexts
+table are counted, and discounts, contexts and probabilities come from all counted sequences, in Spark. A model
+is a table of them. Tasks hold it as sorted arrays of 64-bit hashes with a probability each, and of contexts
 with the weight that is left to the next lower order.
 
-The language of a text is the one of lowest cross-entropy per letter. A sample of
-training texts shows how high that gets for texts of a language by length; a text above is marked as rejected.
+A table of more than ``PART_ROWS`` sequences is dealt into parts by the two letters before the last one, so that all that a
+place in a text asks for lies in one part (sequences of one and two letters are in every part). Each part takes a pass
+over the texts; the sums of the passes are added by row.
+
+The language of a text is the one of lowest cross-entropy per letter. The training
+texts show how high that gets for texts of a language by length; a text above is marked as rejected.
 """
 
 from __future__ import annotations
@@ -17,20 +21,22 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from soukwise.session import materialise
 
 WORDS = re.compile(r"[^\W\d_]+")
 ORDER = 4
-#: Sequences that all models together keep at most, the more frequent ones first.
-KEPT = 1 << 20
-#: Texts of the sample that shows the usual cross-entropy, the part of them that is accepted, and the lengths it is seen by.
-SAMPLE, ACCEPTED, LENGTHS = 2000, 0.995, (1, 32, 128, 512, 1 << 62)
+#: Sequences and contexts of a part, about: what a task holds at a time, some 16 bytes each.
+PART_ROWS = 1 << 21
+#: The part of the training texts that is accepted, the lengths it is seen by, and the texts of a length from which on
+#: they have a limit of their own, not that of their language.
+ACCEPTED, LENGTHS, ENOUGH = 0.995, (1, 32, 128, 512), 20
 #: Letters that speak for a language in the score at most: neighbouring letters are not independent.
 EVIDENCE = 32
 #: Characters that a task looks at together, to score each of their words once.
@@ -70,7 +76,7 @@ class LanguageModel:
 
     @classmethod
     def fit(cls, codes: np.ndarray, counts: np.ndarray, alphabet: int) -> LanguageModel:
-        """From the distinct sequences of ``ORDER`` codes and their counts."""
+        """From the distinct sequences of ``ORDER`` codes and their counts, where one task can hold them."""
         levels = [(codes, counts.astype(np.float64))]
         for _ in range(ORDER - 1):
             above = levels[-1][0]
@@ -120,20 +126,56 @@ def _windows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat[ends[:, None] + np.arange(-ORDER + 1, 1)], starts
 
 
+def part_of(first: np.ndarray, second: np.ndarray, parts: int) -> np.ndarray:
+    """The part that knows what follows two letters, given by their codes; ``_PART`` says the same to Spark."""
+    return (first.astype(np.int64) * 7919 + second.astype(np.int64) * 104729) % 1000003 % parts
+
+
+_PART = "(ascii({0}) * 7919L + ascii({1}) * 104729L) % 1000003L % {parts}L"
+
+
 @dataclass
-class Model:
-    languages: list[str]
+class Part:
+    """What a task needs of a model at a time."""
+
     models: list[LanguageModel]
-    #: For each language and length class the highest cross-entropy that is accepted.
-    limits: np.ndarray
+    number: int = 0
+    parts: int = 1
+
+    @classmethod
+    def of(cls, rows: pa.Table, languages: int, unseen: float, number: int, parts: int) -> Part:
+        """From rows (lang, width, context, seq, value) in any order."""
+        place = (rows.column("lang").to_numpy() * ORDER + rows.column("width").to_numpy() - 1) * 2 + rows.column("context").to_numpy()
+        order = np.argsort(place, kind="stable")
+        cuts = np.searchsorted(place[order], np.arange(languages * ORDER * 2 + 1))
+        seqs, values = rows.column("seq").take(pa.array(order)), rows.column("value").to_numpy()[order]
+        models = []
+        for lang in range(languages):
+            model = LanguageModel(unseen)
+            for width in range(1, ORDER + 1):
+                for context, into in ((0, model.grams), (1, model.contexts)):
+                    at = (lang * ORDER + width - 1) * 2 + context
+                    one = slice(cuts[at], cuts[at + 1])
+                    flat = "".join(seqs[one].to_pylist()).encode("utf-32-le")
+                    keys = _keys(np.frombuffer(flat, np.uint32).reshape(one.stop - one.start, width - context))
+                    by_key = np.argsort(keys)
+                    into.append((keys[by_key], values[one][by_key]))
+            models.append(model)
+        return cls(models, number, parts)
 
     def word_logs(self, words: list[str]) -> np.ndarray:
-        """The logarithm of the probability of each word in each language."""
+        """The logarithm of the probability of each word in each language, over the places that this part knows."""
         codes, starts = _windows(words)
-        return np.stack([np.add.reduceat(np.log(m.probability(codes)), starts) for m in self.models], axis=1)
-
-    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The cross-entropy of each text in each language, and how many letters and word ends it has."""
+        if self.parts == 1:
+            return np.stack([np.add.reduceat(np.log(m.probability(codes)), starts) for m in self.models], axis=1)
+        own = np.flatnonzero(part_of(codes[:, 1], codes[:, 2], self.parts) == self.number)
+        out = np.zeros((len(codes), len(self.models)))
+        for i, m in enumerate(self.models):
+            out[own, i] = np.log(m.probability(codes[own]))
+        return np.add.reduceat(out, starts, axis=0)
+
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The negative logarithm of the probability of each text in each language, and how many letters and word ends it has."""
         out, sizes = np.zeros((len(texts), len(self.models))), np.zeros(len(texts), np.int64)
         at = 0
         while at < len(texts):
@@ -153,23 +195,24 @@ class Model:
                 for i, ids in enumerate(rows, at):
                     if len(ids):
                         sizes[i] = letters[ids].sum()
-                        out[i] = -logs[ids].sum(axis=0) / sizes[i]
+                        out[i] = -logs[ids].sum(axis=0)
             at = stop
         return out, sizes
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[bool]]:
-        """Language, score and whether the text is rejected; ``und`` and 0 without a letter or a learned language."""
-        if not self.models:
-            return ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
-        entropies, sizes = self.entropies(texts)
-        best = entropies.argmin(axis=1)
-        lowest = entropies[np.arange(len(texts)), best] if len(texts) else np.zeros(0)
-        evidence = np.minimum(sizes, EVIDENCE)[:, None]
-        score = 1 / np.exp(-(entropies - lowest[:, None]) * evidence).sum(axis=1)
-        rejected = lowest > self.limits[best, np.searchsorted(LENGTHS, sizes)]
-        some = sizes > 0
-        return ([self.languages[b] if s else "und" for b, s in zip(best, some)],
-                np.where(some, score, 0.0).tolist(), (rejected | ~some).tolist())
+
+@dataclass
+class Model:
+    languages: list[str]
+    unseen: float
+    #: (part, lang, width, context, seq, value); part -1 belongs to every part.
+    table: DataFrame | None
+    parts: int
+    #: For each language and length class the highest cross-entropy that is accepted.
+    limits: np.ndarray | None = None
+
+    def part(self, number: int) -> Part:
+        rows = self.table.where(F.col("part").isin(-1, number)).drop("part").toArrow()
+        return Part.of(rows, len(self.languages), self.unseen, number, self.parts)
 
 
 def count_sequences(docs: DataFrame) -> DataFrame:
@@ -195,63 +238,134 @@ def count_sequences(docs: DataFrame) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id") -> Model:
-    """Learn from all rows of ``docs`` (id, text, lang) that have a text and a language."""
-    docs = docs.where("text is not null and lang is not null").select(F.col(id_col).alias("id"), "text", "lang")
-    counted = materialise(count_sequences(docs))
-    # Which counts to keep: for each language the number of sequences by the power of two of their count.
-    classes: dict[str, dict[int, int]] = {}
-    for lang, power, n in counted.groupBy("lang", F.floor(F.log2("n")).cast("int").alias("p")).count().collect():
-        classes.setdefault(lang, {})[power] = n
-    languages = sorted(classes)
+def _smoothed(counted: DataFrame) -> tuple[DataFrame, list[str], float]:
+    """(lang, width, context, seq, value) of all counted sequences (lang, gram, n): the probability of the last letter, and for
+    contexts the weight passed on; the languages, and the probability of a letter that no language has."""
+    level = counted.selectExpr("lang", f"{ORDER} as width", "gram as seq", "n")
+    levels = [level]
+    for width in range(ORDER - 1, 0, -1):
+        level = (level.groupBy("lang", F.expr("substring(seq, 2)").alias("seq")).agg(F.count("*").alias("n"))
+                 .select("lang", F.lit(width).alias("width"), "seq", "n"))
+        levels.append(level)
+    every = materialise(reduce(DataFrame.unionByName, levels))
+    languages = sorted(r[0] for r in every.select("lang").distinct().collect())
+    unseen = 1.0 / (every.where("width = 1").select("seq").distinct().count() + 1)
+
+    # One row for each language and width.
+    once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    share = F.least(F.greatest(once / F.greatest(F.lit(1), once + 2 * twice), F.lit(0.1)), F.lit(0.9))
+    discounts = every.groupBy("lang", "width").agg(share.alias("discount"))
+    # A context has as many rows as letters follow it.
+    same = Window.partitionBy("lang", "width", "before")
+    weighed = materialise(
+        every.join(F.broadcast(discounts), ["lang", "width"]).withColumn("before", F.expr("substring(seq, 1, width - 1)"))
+        .withColumns({"total": F.sum("n").over(same), "kinds": F.count("*").over(same)})
+        .selectExpr("lang", "width", "before", "seq", "(n - discount) / total as own", "discount * kinds / total as passed"))
+    below, found = None, []
+    for width in range(1, ORDER + 1):
+        own = weighed.where(F.col("width") == width)
+        if below is None:
+            lower = own.withColumn("lower", F.lit(unseen))
+        else:
+            lower = own.withColumn("rest", F.expr("substring(seq, 2)")).join(
+                below.selectExpr("lang", "seq as rest", "value as lower"), ["lang", "rest"])
+        below = lower.selectExpr("lang", "width", "0 as context", "seq", "own + passed * lower as value")
+        if width < ORDER:
+            below = materialise(below)
+        found.append(below)
+    contexts = weighed.groupBy("lang", "width", "before").agg(F.first("passed").alias("value")).selectExpr(
+        "lang", "width", "1 as context", "before as seq", "value")
+    return reduce(DataFrame.unionByName, [*found, contexts]), languages, unseen
+
+
+def learn(docs: DataFrame, part_rows: int = PART_ROWS) -> Model:
+    """The sequences of all rows of ``docs`` (text, lang) that have a text and a language; no limits yet."""
+    rows, languages, unseen = _smoothed(materialise(count_sequences(docs.where("text is not null and lang is not null"))))
     if not languages:
-        return Model([], [], np.zeros((0, len(LENGTHS))))
-    room = KEPT // len(languages)
-    least = {}
-    for lang in languages:
-        held, at = 0, max(classes[lang]) + 1
-        while at > 0 and held + classes[lang].get(at - 1, 0) <= room:
-            at -= 1
-            held += classes[lang].get(at, 0)
-        least[lang] = 1 << at
-    kept = None
-    for lang, floor in least.items():
-        one = (F.col("lang") == lang) & (F.col("n") >= floor)
-        kept = one if kept is None else kept | one
-    table = counted.where(kept).orderBy("lang", "gram").toArrow()
-    lang_of = np.array(table.column("lang").to_pylist())
-    codes = np.frombuffer("".join(table.column("gram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
-    counts = table.column("n").to_numpy()
-    alphabet = len(np.unique(codes))
-    models = [LanguageModel.fit(codes[lang_of == lang], counts[lang_of == lang], alphabet) for lang in languages]
-    model = Model(languages, models, np.full((len(languages), len(LENGTHS)), np.inf))
-    model.limits = _limits(model, docs)
+        return Model([], unseen, None, 1)
+    number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
+    rows = materialise(rows.withColumn("lang", number.cast("int")))
+    parts = max(1, -(-rows.where("width > 2").count() // part_rows))
+    # The two letters before the last one of a sequence are the last two of a context.
+    end = "(width - 1 - {})"
+    pair = _PART.format(f"substring(seq, {end.format(1)}, 1)", f"substring(seq, {end.format(0)}, 1)", parts=parts)
+    part = F.expr(f"if(width > 2, int({pair}), -1)")
+    return Model(languages, unseen, rows.withColumn("part", part), parts)
+
+
+def entropies(docs: DataFrame, model: Model) -> DataFrame:
+    """(id, own, sums, letters) for each row of a table (id, text, own): negative logarithm of the probability of the text in each
+    language, and its letters and word ends. ``own`` comes along."""
+    kind = docs.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, own string, h bigint, sums array<double>, letters bigint"
+    docs = docs.select("id", "text", "own", F.xxhash64("text", "own").alias("h"))
+
+    def one(number: int) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(model.part(number))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                sums, sizes = shared.value.sums([t or "" for t in batch.column(1).to_pylist()])
+                ends = np.arange(len(sums) + 1, dtype=np.int32) * sums.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(2), batch.column(3), pa.ListArray.from_arrays(ends, pa.array(sums.ravel())), pa.array(sizes)],
+                    ["id", "own", "h", "sums", "letters"])
+
+        return docs.mapInArrow(run, schema)
+
+    found = [one(number) for number in range(model.parts)]
+    if model.parts == 1:
+        return found[0].drop("h")
+    # Rows that are the same in all of this get the same sums: they are added together and given out again.
+    added = F.array(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(len(model.languages))])
+    grouped = (reduce(DataFrame.unionByName, found).groupBy("id", "own", "h", "letters")
+               .agg(F.expr(f"count(*) div {model.parts}").alias("copies"), added.alias("sums")))
+    return grouped.select("id", "own", F.transform("sums", lambda s: s / F.col("copies")).alias("sums"), "letters",
+                          F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+
+
+_CLASS = " + ".join(f"if(letters > {length}, 1, 0)" for length in LENGTHS)
+
+
+def limits(scored: DataFrame, model: Model) -> np.ndarray:
+    """The accepted cross-entropy by language and length: a quantile of all rows of ``scored`` whose ``own`` is a learned language."""
+    place = F.array_position(F.array(*map(F.lit, model.languages)), F.col("own"))
+    seen = (scored.withColumn("l", place).where("l > 0 and letters > 0")
+            .selectExpr("l - 1 as l", f"{_CLASS} as k", "sums[int(l) - 1] / letters as e"))
+    quantile = F.percentile_approx("e", ACCEPTED, 10_000)
+    rows = (seen.groupBy("l", "k").agg(F.count("*").alias("n"), quantile.alias("e"))
+            .unionByName(seen.groupBy("l").agg(F.count("*").alias("n"), quantile.alias("e")).withColumn("k", F.lit(-1))).collect())
+    out = np.full((len(model.languages), len(LENGTHS) + 1), np.inf)
+    for r in sorted(rows, key=lambda r: r["k"]):
+        if r["k"] < 0:
+            out[r["l"]] = r["e"]
+        elif r["n"] >= ENOUGH:
+            out[r["l"], r["k"]] = r["e"]
+    return out
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", part_rows: int = PART_ROWS) -> Model:
+    """Learn from all rows of ``docs`` (id, text, lang) that have a text and a language, limits included."""
+    rows = docs.where("text is not null and lang is not null")
+    model = learn(rows, part_rows)
+    if model.languages:
+        model.limits = limits(entropies(rows.select(F.col(id_col).alias("id"), "text", F.col("lang").alias("own")), model), model)
     return model
 
 
-def _limits(model: Model, docs: DataFrame) -> np.ndarray:
-    """The accepted cross-entropy by language and length, from a sample of ``SAMPLE`` texts or so."""
-    every = max(1, docs.count() // SAMPLE)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            entropies, sizes = model.entropies(batch.column(1).to_pylist())
-            own = [model.languages.index(x) if x in model.languages else -1 for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.int32()), pa.array(sizes), pa.array(entropies[np.arange(len(own)), own])], ["l", "n", "e"])
-
-    sample = docs.where(F.pmod(F.xxhash64("id", F.lit("limits")), F.lit(every)) == 0).select("lang", "text")
-    rows = sample.mapInArrow(run, "l int, n bigint, e double").where("l >= 0 and n > 0").toArrow()
-    lang, size, entropy = (rows.column(c).to_numpy() for c in ("l", "n", "e"))
-    limits = np.full((len(model.languages), len(LENGTHS)), np.inf)
-    for i in range(len(model.languages)):
-        for k in range(len(LENGTHS)):
-            seen = entropy[(lang == i) & (np.searchsorted(LENGTHS, size) == k)]
-            if len(seen) >= 20:
-                limits[i, k] = np.quantile(seen, ACCEPTED)
-    return limits
+def _judged(scored: DataFrame, model: Model) -> DataFrame:
+    width = len(LENGTHS) + 1
+    names = F.array(*map(F.lit, model.languages))
+    bounds = F.array(*[F.lit(float(x)) for x in model.limits.ravel()])
+    best = scored.withColumns({"least": F.array_min("sums"), "some": F.col("letters") > 0}).withColumn(
+        "best", F.array_position("sums", F.col("least")).cast("int"))
+    share = F.aggregate("sums", F.lit(0.0), lambda acc, s: acc + F.exp(
+        (F.col("least") - s) / F.col("letters") * F.least("letters", F.lit(EVIDENCE))))
+    bound = F.element_at(bounds, (F.col("best") - 1) * width + F.expr(_CLASS) + 1)
+    return best.select(
+        "id", F.when(F.col("some"), F.element_at(names, F.col("best"))).otherwise("und").alias("lang_pred"),
+        F.when(F.col("some"), 1 / share).otherwise(0.0).alias("score"),
+        F.when(F.col("some"), F.col("least") / F.col("letters") > bound).otherwise(True).alias("rejected"))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,15 +375,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     text if no language was learned. Of languages that are equally likely the first by name is taken. Repeated rows
     and null ids each keep a row; other columns are not looked at; an empty table gives an empty one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores, rejected = shared.value.predict([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
-                ["id", "lang_pred", "score", "rejected"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, f"id {kind}, lang_pred string, score double, rejected boolean"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    if not model.languages:
+        return rows.select("id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+    return _judged(entropies(rows.withColumn("own", F.lit(None).cast("string")), model), model)
+
+
+def identify(docs: DataFrame, learning: Column, id_col: str = "doc_id", part_rows: int = PART_ROWS) -> DataFrame:
+    """The same as ``predict(docs, fit(docs.where(learning)))``, but every text is scored once."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col("text").cast("string").alias("text"), F.when(learning, F.col("lang")).alias("own"))
+    model = learn(rows.select("text", F.col("own").alias("lang")), part_rows)
+    if not model.languages:
+        return predict(rows, model, "id")
+    scored = materialise(entropies(rows, model))
+    model.limits = limits(scored, model)
+    return _judged(scored, model)

@@ -48,8 +48,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    model = langid.fit(docs.where(~held_out("doc_id")))
-    return langid.predict(docs, model).select(
+    return langid.identify(docs, ~held_out("doc_id")).select(
         F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score", "rejected")
 
 

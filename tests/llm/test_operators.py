@@ -330,6 +330,50 @@ def test_kneser_ney_sums_to_one():
         assert model.probability(every).sum() == pytest.approx(1, abs=1e-6)
 
 
+def language_rows(spark):
+    rnd = random.Random(4)
+    letters = {"aa": "abcdeé", "bb": "bcdfg\u4e2d", "cc": "xyz\U00010400"}
+    rows = [(k, " ".join("".join(rnd.choice(letters[lang]) for _ in range(rnd.randrange(1, 7))) for _ in range(rnd.randrange(1, 30))), lang)
+            for k, lang in enumerate(rnd.choices("aa bb cc".split(), [5, 2, 1], k=200))]
+    rows += [rows[0], rows[0], (None, "abc", "aa"), (None, "abc", "aa"), (900, None, "aa"), (901, "abc", None), (902, "123", "bb"), (903, "", None)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), rows
+
+
+def test_language_model_against_one_made_in_memory(spark):
+    docs, rows = language_rows(spark)
+    model = langid.learn(docs.repartition(7))
+    part = model.part(0)
+    assert model.languages == ["aa", "bb", "cc"] and model.parts == 1
+    grams = {lang: Counter() for lang in model.languages}
+    for _, text, lang in rows:
+        for word in langid.WORDS.findall((text or "").lower()) if lang else ():
+            padded = f"   {word} "
+            grams[lang].update(padded[i:i + 4] for i in range(len(word) + 1))
+    alphabet = {g[3] for counted in grams.values() for g in counted}
+    assert model.unseen == 1 / (len(alphabet) + 1)
+    asked = np.array([[ord(c) for c in g] for counted in grams.values() for g in counted] +
+                     [[ord(c) for c in g] for g in ("zzza", "qqqq", "abcq", " ab ", "qbcd")], np.uint32)
+    for lang, own in zip(model.languages, part.models):
+        codes = np.array([[ord(c) for c in g] for g in grams[lang]], np.uint32)
+        known = langid.LanguageModel.fit(codes, np.array(list(grams[lang].values())), len(alphabet))
+        assert own.probability(asked) == pytest.approx(known.probability(asked), rel=1e-12)
+
+
+def test_language_in_parts_and_in_one_pass(spark):
+    docs, rows = language_rows(spark)
+
+    def found(df):
+        return sorted(((r["id"], r["lang_pred"], round(r["score"], 9), r["rejected"]) for r in df.collect()), key=str)
+
+    whole = found(langid.predict(docs, langid.fit(docs)))
+    assert len(whole) == len(rows)
+    many = langid.fit(docs, part_rows=100)
+    assert many.parts > 5 and found(langid.predict(docs, many)) == whole
+    assert found(langid.identify(docs, F.lit(True))) == found(langid.identify(docs, F.lit(True), part_rows=150)) == whole
+    assert [r[1:] for r in whole if r[0] in (900, 902, 903)] == [("und", 0.0, True)] * 3
+    assert sum(r[3] for r in whole) <= 3 + 6
+
+
 def test_language_of_held_out_rows(spark, data):
     rows = QUERIES["op7_language_id"](spark, data).join(read(spark, data, "documents", "doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r["held_out"]]

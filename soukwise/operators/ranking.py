@@ -24,22 +24,33 @@ from soukwise.session import materialise
 BUCKETS, MOST_BUCKETS, ROWS_PER_BUCKET = 64, 1024, 1_000_000
 
 
+def _at(df: DataFrame, key: str, id_col: str, points: dict[str, list[float]]) -> DataFrame:
+    """Add ``_piece``, the range of the key, and ``_slot``, the range of the id inside a range that holds one frequent value."""
+    placed = with_buckets(df, {c: points[c] for c in (key, id_col)})
+    # A probe found twice is a value that fills a whole range. It opens its range, so it
+    # comes before the rest of it.
+    frequent = sorted({p for p in points[key] if points[key].count(p) > 1})
+    is_frequent = f"double(`{key}`) in ({', '.join(f'{v!r}D' for v in frequent)})" if frequent else "false"
+    return placed.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"int(`_in_{key}`) * 2 + if({is_frequent}, 0, 1) as _piece",
+        f"if({is_frequent}, int(`_in_{id_col}`), 0) as _slot")
+
+
+def _points(df: DataFrame, keys: list[str], id_col: str, buckets: int) -> dict[str, list[float]]:
+    return dict(zip([*keys, id_col], split_points(df, [*keys, id_col], buckets)))
+
+
 def _place(df: DataFrame, keys: list[str], id_col: str, buckets: int) -> dict[str, DataFrame]:
-    """For each order key the frame with ``_piece``, the range of the key, and ``_slot``, the range
-    of the id inside a range that holds one frequent value."""
-    points = dict(zip([*keys, id_col], split_points(df, [*keys, id_col], buckets)))
-    placed = with_buckets(df, points)
-    out = {}
-    for key in keys:
-        # A probe found twice is a value that fills a whole range. It opens its range, so it
-        # comes before the rest of it.
-        frequent = sorted({p for p in points[key] if points[key].count(p) > 1})
-        is_frequent = f"double(`{key}`) in ({', '.join(f'{v!r}D' for v in frequent)})" if frequent else "false"
-        out[key] = placed.selectExpr(
-            *[f"`{c}`" for c in df.columns],
-            f"int(`_in_{key}`) * 2 + if({is_frequent}, 0, 1) as _piece",
-            f"if({is_frequent}, int(`_in_{id_col}`), 0) as _slot")
-    return out
+    """For each order key the frame with its ranges."""
+    points = _points(df, keys, id_col, buckets)
+    return {key: _at(df, key, id_col, points) for key in keys}
+
+
+def _unsplit(df: DataFrame, counts: list[tuple[int, int, int, bool]]) -> DataFrame:
+    """Pieces that look like one value but hold several are not cut by id."""
+    mixed = sorted({piece for piece, _, _, single in counts if piece % 2 == 0 and not single})
+    return df.withColumn("_slot", F.when(F.col("_piece").isin(mixed), 0).otherwise(F.col("_slot"))) if mixed else df
 
 
 def _counted(placed: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, list[tuple[int, int, int, bool]]]]:
@@ -64,8 +75,7 @@ def _counted(placed: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[s
             at = (r["_piece"], r["_slot"] if single[r["_piece"]] else 0)
             sums[at] = sums.get(at, 0) + r["n"]
         counts[key] = [(piece, slot, n, single[piece]) for (piece, slot), n in sorted(sums.items())]
-        mixed = [piece for piece, one in single.items() if piece % 2 == 0 and not one]
-        frames[key] = df.withColumn("_slot", F.when(F.col("_piece").isin(mixed), 0).otherwise(F.col("_slot"))) if mixed else df
+        frames[key] = _unsplit(df, counts[key])
     return frames, counts
 
 
@@ -74,18 +84,8 @@ def _ranges(df: DataFrame) -> int:
     return max(BUCKETS, min(MOST_BUCKETS, df.count() // ROWS_PER_BUCKET))
 
 
-def global_ranks(df: DataFrame, key: str, id_col: str, descending: bool = False,
-                 buckets: int | None = None) -> DataFrame:
-    """Add ``row_number``, ``rank`` and ``pct_rank`` over all rows.
-
-    ``row_number`` breaks ties by ascending id. ``pct_rank`` is the average rank
-    of the tied rows as a share of all rows.
-    """
-    df = materialise(df.withColumn("_key", F.negate(F.col(key)) if descending else F.col(key)))
-    placed, counted = _counted(_place(df, ["_key"], id_col, buckets or _ranges(df)))
-    counts = counted["_key"]
-
-    total = sum(n for _, _, n, _ in counts)
+def _offsets(df: DataFrame, counts: list[tuple[int, int, int, bool]]) -> DataFrame:
+    """Where each piece and slot starts in the global order: bounded by the bucket count, whatever the data."""
     per_piece: dict[int, int] = {}
     for piece, _, n, _ in counts:
         per_piece[piece] = per_piece.get(piece, 0) + n
@@ -95,22 +95,50 @@ def global_ranks(df: DataFrame, key: str, id_col: str, descending: bool = False,
         starts.append((piece, slot, seen, first_of[piece], per_piece[piece], single))
         seen += n
     schema = "_piece int, _slot int, _start bigint, _first bigint, _size bigint, _single boolean"
-    # One row per piece and slot: bounded by the bucket count, whatever the data.
-    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, schema))
+    return F.broadcast(df.sparkSession.createDataFrame(starts, schema))
 
+
+def _ranked(placed: DataFrame, key: str, id_col: str, counts: list[tuple[int, int, int, bool]], names: dict[str, str]) -> DataFrame:
+    """Add rank columns to a frame with ``_piece`` and ``_slot``; ``names`` says which and under what names."""
+    total = sum(n for _, _, n, _ in counts)
     within = Window.partitionBy("_piece", "_slot")
     single = F.col("_single")
     ties = F.when(single, F.col("_size")).otherwise(
-        F.count("*").over(Window.partitionBy("_piece", "_slot", "_key")))
+        F.count("*").over(Window.partitionBy("_piece", "_slot", key)))
     rank = F.when(single, F.col("_first") + 1).otherwise(
-        F.col("_start") + F.rank().over(within.orderBy("_key")))
-    return (placed["_key"].join(offsets, ["_piece", "_slot"])
-            .withColumns({
-                "row_number": F.col("_start") + F.row_number().over(within.orderBy("_key", id_col)),
-                "rank": rank,
-                "_ties": ties})
-            .withColumn("pct_rank", (F.col("rank") + (F.col("_ties") - 1) / 2) / F.lit(total))
-            .drop("_key", "_piece", "_slot", "_start", "_first", "_size", "_single", "_ties"))
+        F.col("_start") + F.rank().over(within.orderBy(key)))
+    found = {"row_number": F.col("_start") + F.row_number().over(within.orderBy(key, id_col)),
+             "rank": rank, "pct_rank": (rank + (ties - 1) / 2) / F.lit(total)}
+    return (placed.join(_offsets(placed, counts), ["_piece", "_slot"])
+            .withColumns({name: found[kind] for kind, name in names.items()})
+            .drop("_piece", "_slot", "_start", "_first", "_size", "_single"))
+
+
+def global_ranks(df: DataFrame, key: str, id_col: str, descending: bool = False,
+                 buckets: int | None = None) -> DataFrame:
+    """Add ``row_number``, ``rank`` and ``pct_rank`` over all rows.
+
+    ``row_number`` breaks ties by ascending id. ``pct_rank`` is the average rank
+    of the tied rows as a share of all rows.
+    """
+    df = materialise(df.withColumn("_key", F.negate(F.col(key)) if descending else F.col(key)))
+    placed, counts = _counted(_place(df, ["_key"], id_col, buckets or _ranges(df)))
+    return _ranked(placed["_key"], "_key", id_col, counts["_key"],
+                   {c: c for c in ("row_number", "rank", "pct_rank")}).drop("_key")
+
+
+def pct_ranks(df: DataFrame, keys: dict[str, str], id_col: str, buckets: int | None = None) -> DataFrame:
+    """Percent ranks over the whole table by several order keys: ``keys`` maps an output column to its order column.
+
+    The table is stored once, and one pass places all keys and one counts their ranges.
+    """
+    df = materialise(df)
+    columns = list(dict.fromkeys(keys.values()))
+    points = _points(df, columns, id_col, buckets or _ranges(df))
+    _, counts = _counted({c: _at(df, c, id_col, points) for c in columns})
+    for out, c in keys.items():
+        df = _ranked(_unsplit(_at(df, c, id_col, points), counts[c]), c, id_col, counts[c], {"pct_rank": out})
+    return df
 
 
 def _tile_ends(total: int, tiles: int) -> list[int]:

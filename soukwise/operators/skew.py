@@ -42,7 +42,8 @@ def with_buckets(df: DataFrame, points: dict[str, list[float]], prefix: str = "_
     """
     columns = list(points)
     wide = df.selectExpr("*", *[f"double(`{c}`) as `_double_{c}`" for c in columns])
-    cut = Bucketizer(splitsArray=[[float("-inf"), *sorted(set(points[c])), float("inf")] for c in columns],
+    # A column of an empty table has no points; any cut will do.
+    cut = Bucketizer(splitsArray=[[float("-inf"), *sorted(set(points[c]) or {0.0}), float("inf")] for c in columns],
                      inputCols=[f"_double_{c}" for c in columns], outputCols=[f"{prefix}{c}" for c in columns])
     return cut.transform(wide).drop(*[f"_double_{c}" for c in columns])
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from soukwise.functions.exact import cents, half_up, percent, seconds_between, whole
-from soukwise.operators.ranking import global_ranks
+from soukwise.operators.ranking import pct_ranks
 from soukwise.plans.business import DAY, delivered, month_of
 from soukwise.plans.merges import FUNNEL_STEPS, funnel_row, hourly_platform, scan_counts
 from soukwise.session import materialise
@@ -66,11 +66,8 @@ def viewed_and_sold(merged: DataFrame) -> DataFrame:
 
 def leaks_among(pairs: DataFrame, buckets: int | None = None) -> DataFrame:
     """Products in the top quarter by views but the bottom 35 percent by revenue."""
-    by_views = (global_ranks(pairs, "views", "product_id", buckets=buckets)
-                .withColumnRenamed("pct_rank", "views_pct").drop("row_number", "rank"))
-    in_cents = by_views.withColumn("_cents", cents(F.col("revenue")))
-    both = (global_ranks(in_cents, "_cents", "product_id", buckets=buckets)
-            .withColumnRenamed("pct_rank", "revenue_pct"))
+    both = pct_ranks(pairs.withColumn("_cents", cents(F.col("revenue"))), {"views_pct": "views", "revenue_pct": "_cents"},
+                     "product_id", buckets)
     return both.where((F.col("views_pct") > LEAK_VIEWS) & (F.col("revenue_pct") < LEAK_REVENUE)).select(
         "product_id", "product_name", "category", "views", "revenue", "views_pct", "revenue_pct")
 

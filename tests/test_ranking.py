@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from soukwise.operators.percentile import percentile_hundredths
-from soukwise.operators.ranking import _tile_ends, global_ranks, ntiles
+from soukwise.operators.ranking import _tile_ends, global_ranks, ntiles, pct_ranks
 from soukwise.operators.skew import hot_keys, running_sums
 
 
@@ -38,6 +38,20 @@ def test_global_ranks(spark, name, descending):
         assert rows[i]["pct_rank"] == pytest.approx((rank + (ties - 1) / 2) / len(values))
 
 
+def test_percent_ranks_by_several_keys_at_once(spark):
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice([1, 1, 1, 2, 7, i]), 5 if rnd.random() < 0.4 else rnd.randrange(90)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id bigint, v bigint, w bigint")
+    got = {r["id"]: r for r in pct_ranks(df, {"v_pct": "v", "w_pct": "w", "again": "v"}, "id", buckets=8).collect()}
+    assert len(got) == 500 and set(df.columns) | {"v_pct", "w_pct", "again"} == set(next(iter(got.values())).asDict())
+    for at, name in ((1, "v_pct"), (2, "w_pct"), (1, "again")):
+        values = [r[at] for r in rows]
+        for i, v in enumerate(values):
+            rank = 1 + sum(x < v for x in values)
+            assert got[i][name] == pytest.approx((rank + (values.count(v) - 1) / 2) / 500)
+    assert pct_ranks(df.where("false"), {"v_pct": "v"}, "id").count() == 0
+
+
 @pytest.mark.parametrize("name,tiles", [*((n, 5) for n in SAMPLES), ("distinct", 7)])
 def test_ntiles(spark, name, tiles):
     values = SAMPLES[name]

@@ -1,21 +1,20 @@
-"""One document of each group of near copies: SimHash candidates, exact shingle similarity.
+"""One document of each group of near copies: SimHash candidates, first shingles, exact shingle similarity.
 
 Texts are near copies if the Jaccard coefficient of their sets of five-word
-shingles is 0.8 or more. Such sets give SimHash fingerprints that differ in about
-9 of 64 bits, too many to find all pairs of one fingerprint in a grid. So every text gets eight
-fingerprints, each with its segment counts in six grids of eight axes, four of neighbouring and
-two of spread ones; two texts that are 0.8 alike share one of the 48 cells with a chance of 0.99. The
-Hamming distances and then the shingles themselves decide.
-
-The fingerprint of a short text turns on a few shingles, so its bits say less. Texts of up to
-``FEW`` shingles get cells of another kind besides: their shingles of lowest hash, as many as any
-two sets that are 0.8 alike must share one of.
-
-Texts with equal shingle sets are one node. First the cells of two fingerprints link their members to
-their most frequent node and, in a cell of many, to the one that is closest to the majority of their bits: copies that
-each differ from one original in their own way surround it. So a large group is joined by few links. Then pairs are only
-made of nodes that are still in different components. Texts stay where they are, but for those that a link
-has to be verified on, or that may have to go.
+shingles is 0.8 or more. Texts with equal shingle sets are one node, and links are found in three steps, each verified on the shingles:
+
+1. Every text gets eight fingerprints. The segment counts of two of them in four grids of eight axes are cells, and the
+   members of a cell within ``NEAR`` bits link to its most frequent node. This joins most groups by few links.
+2. Fingerprints of sets that are 0.8 alike differ in about 9 bits, so grids alone would lose some. Therefore each text is
+   also in a cell for each of its first shingles, rarest first, as many as any two sets that are 0.8 alike must share one
+   of, whatever their length. Members link to the one of a cell that has the shingle earliest: that is the original of texts which each
+   differ from it in their own way, as these have new, rare shingles in front.
+3. In cells that still hold several components, the members outside of the most frequent one are paired with the rest.
+
+"Rarest" goes by counts of all shingles of all texts in a table of fixed size. Any order gives the same groups, this one
+keeps passages that many texts share out of the cells. Places and lengths bound how many shingles a pair can share. All eight
+fingerprints of a pair may differ in ``NEAR_ALL`` of 512 bits: pairs that are 0.8 alike differ in about 80 to 100,
+with a deviation of 9, so none is lost by it. Texts stay where they are, but for those that a link has to be verified on, or that may have to go.
 """
 
 from __future__ import annotations
@@ -35,17 +34,15 @@ from soukwise.session import materialise
 WIDTH, LEAST = 5, 0.8
 PRINTS = 8
 #: The axes of each grid, out of the 32 segments of two bits.
-GRIDS = [range(8 * g, 8 * g + 8) for g in range(4)] + [range(g, 32, 4) for g in range(2)]
-#: Fingerprints and grids of each whose cells link to their most frequent node first.
+GRIDS = [range(8 * g, 8 * g + 8) for g in range(4)]
+#: Fingerprints and grids of each whose cells link to their most frequent node.
 HUBS = 2, 4
-#: Members of a cell from which on its middle is looked for.
-MANY = 8
 #: Bits of the map that tells which texts may be meant, before any is moved; one megabyte.
 BITS = 1 << 23
 #: Differing bits that are allowed in the fingerprint that shares a cell, and in all fingerprints together.
 NEAR, NEAR_ALL = 12, 160
-#: Shingles of a short text at most.
-FEW = 50
+#: Counters of shingles by hash, a power of two, and counters in a row that is sent.
+COUNTERS, BLOCK = 1 << 17, 1 << 10
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -72,33 +69,69 @@ def prints(shingles: np.ndarray) -> list[int]:
     return out
 
 
-def prefix(shingles: np.ndarray) -> list[int]:
-    """The first shingles of a short text, one of which any set that is similar enough has among its own."""
-    if len(shingles) > FEW:
-        return []
-    return shingles[:len(shingles) - int(np.ceil(LEAST * len(shingles) - 1e-9)) + 1].view(np.int64).tolist()
+def _counters(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def shingle_counts(docs: DataFrame) -> np.ndarray:
+    """How often the shingles of a table (id, text) occur, by ``COUNTERS`` hash values; a megabyte, whatever the input."""
+    def blocks(counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(range(COUNTERS // BLOCK), pa.int32()),
+                                           pa.array([c.tobytes() for c in counts.reshape(-1, BLOCK)], pa.binary())], ["block", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                np.add.at(counts, _counters(shingle_set(text)), 1)
+        if counts.any():
+            yield blocks(counts)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[block] = sums.get(block, 0) + np.frombuffer(part, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
+                                          pa.array([c.tobytes() for c in sums.values()], pa.binary())], ["block", "counts"])
+
+    kind = "block int, counts binary"
+    total = np.zeros(COUNTERS, np.int64)
+    for block, part in docs.select("text").mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).collect():
+        total[block * BLOCK:(block + 1) * BLOCK] = np.frombuffer(part, np.int64)
+    return total
+
+
+def prefix(shingles: np.ndarray, counts: np.ndarray) -> list[int]:
+    """The first shingles of a set, rarest first; any set that is similar enough has one of them among its own first ones."""
+    first = len(shingles) - int(np.ceil(LEAST * len(shingles) - 1e-9)) + 1
+    order = np.lexsort((shingles, counts[_counters(shingles)]))
+    return shingles[order[:first]].view(np.int64).tolist()
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """(id, h, node, n, fps, few) of a table (id, text): hash of the text, of its shingle set, the set's size,
-    fingerprints and, for a short text, first shingles."""
+    """(id, h, node, n, fps, firsts) of a table (id, text): hash of the text, of its shingle set, the set's size,
+    fingerprints and first shingles."""
+    counts = shingle_counts(docs)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, node, n, fps, few = [], [], [], [], []
+            h, node, n, fps, firsts = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 h.append(xxhash.xxh64_intdigest(text.encode(), SEED))
                 shingles = shingle_set(text)
                 node.append(xxhash.xxh64_intdigest(shingles.tobytes(), SEED))
                 n.append(len(shingles))
                 fps.append(prints(shingles))
-                few.append(prefix(shingles))
+                firsts.append(prefix(shingles, counts))
             signed = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (h, node)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *signed, pa.array(n, pa.int64()), pa.array(fps, pa.list_(pa.int64())),
-                 pa.array(few, pa.list_(pa.int64()))], ["id", "h", "node", "n", "fps", "few"])
+                 pa.array(firsts, pa.list_(pa.int64()))], ["id", "h", "node", "n", "fps", "firsts"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, h bigint, node bigint, n bigint, fps array<bigint>, few array<bigint>")
+    return docs.select("id", "text").mapInArrow(
+        run, f"id {kind}, h bigint, node bigint, n bigint, fps array<bigint>, firsts array<bigint>")
 
 
 def _mask(axes: range) -> int:
@@ -107,18 +140,18 @@ def _mask(axes: range) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
-def _cells(nodes: DataFrame, prints_used: int = PRINTS, grids: int = len(GRIDS)) -> DataFrame:
-    """(cell, node, n, fp, copies, label): a row for each fingerprint and grid, and for each first shingle of a
-    short text, which no fingerprint goes with."""
-    points = nodes.select("node", "n", "copies", "label", F.posexplode(F.slice("fps", 1, prints_used)).alias("k", "fp"))
+def _cells(nodes: DataFrame, prints_used: int, grids: int) -> DataFrame:
+    """(cell, node, n, fp, copies): a row for each of the first fingerprints and grids."""
+    points = nodes.select("node", "n", "copies", F.posexplode(F.slice("fps", 1, prints_used)).alias("k", "fp"))
     even, odd = "(fp & 6148914691236517205L)", "(shiftrightunsigned(fp, 1) & 6148914691236517205L)"
     points = points.withColumn("point", F.expr(f"shiftleft({even} & {odd}, 1) | ({even} ^ {odd})"))
     cells = ", ".join(f"xxhash64(k, {g}, point & {_mask(axes)}L)" for g, axes in enumerate(GRIDS[:grids]))
-    long = points.selectExpr(f"explode(array({cells})) as cell", "node", "n", "fp", "copies", "label")
-    return long.unionByName(nodes.selectExpr("explode(few) as cell", "node", "n", "0L as fp", "copies", "label"))
+    return points.selectExpr(f"explode(array({cells})) as cell", "node", "n", "fp", "copies")
 
 
 _ALIKE = f"bit_count(fp ^ fp2) <= {NEAR} and least(n, n2) >= {LEAST} * greatest(n, n2)"
+#: At the first shingle that two sets have in common, what is left of both must do.
+_ENOUGH = f"{1 + LEAST} * least(n - place, n2 - place2) >= {LEAST} * (n + n2)"
 
 
 def _marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -160,15 +193,26 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
             .where(f"{shared} >= {LEAST} * (size(x) + size(y) - {shared})").select("a", "b"))
 
 
-def _middles(cells: DataFrame, large: DataFrame) -> DataFrame:
-    """(cell, node2, n2, fp2): of the cells in ``large`` the member that is closest to the bits that most members have."""
-    members = cells.join(large, "cell")
-    bits = [F.sum(F.shiftrightunsigned("fp", i).bitwiseAND(F.lit(1))).alias(f"bit{i}") for i in range(64)]
-    counted = members.groupBy("cell").agg(F.count("*").alias("all"), *bits)
-    middle = counted.selectExpr("cell", " | ".join(f"if(bit{i} * 2 > all, shiftleft(1L, {i}), 0L)" for i in range(64)) + " as middle")
-    apart = F.expr("bit_count(fp ^ middle)")
-    return (members.join(middle, "cell").groupBy("cell").agg(F.min(F.struct(apart.alias("apart"), "node", "n", "fp")).alias("best"))
-            .selectExpr("cell", "best.node as node2", "best.n as n2", "best.fp as fp2"))
+def _joined(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) of ``nodes`` (node, label) after links (a, b) of nodes have joined their components."""
+    a, b = nodes.toDF("a", "a_label"), nodes.toDF("b", "b_label")
+    between = links.join(a, "a").join(b, "b").selectExpr("a_label as a", "b_label as b")
+    roots = components(between).toDF("label", "root")
+    return materialise(nodes.join(roots, "label", "left").selectExpr("node", "coalesce(root, label) as label"))
+
+
+def _across(cells: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``cells`` (cell, node, n, place, label) that share a cell and not a label.
+
+    A component that holds most of a cell is not paired with itself, so a large one costs what the others add.
+    """
+    counted = cells.groupBy("cell", "label").agg(F.count("*").alias("m"))
+    mixed = (counted.groupBy("cell").agg(F.max(F.struct("m", "label")).alias("most"), F.count("*").alias("labels"))
+             .where("labels > 1").select("cell", F.col("most.label").alias("main")))
+    within = materialise(cells.join(mixed, "cell"))
+    other = within.select("cell", *[F.col(c).alias(c + "2") for c in ("node", "n", "place", "label")])
+    return (within.where("label <> main").join(other, "cell")
+            .where(f"label <> label2 and (label2 = main or node < node2) and {_ENOUGH}").selectExpr("node as a", "node2 as b"))
 
 
 def groups(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -178,27 +222,26 @@ def groups(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """
     nodes = materialise(rows.groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "h")).alias("rep"), F.first("n").alias("n"),
-        F.first("fps").alias("fps"), F.first("few").alias("few"), F.count("*").alias("copies")).withColumn("label", F.col("node")))
+        F.first("fps").alias("fps"), F.first("firsts").alias("firsts"), F.count("*").alias("copies")))
     full = nodes.where("n > 0")
-    cells = _cells(full, *HUBS).select("cell", "node", "n", "fp", "copies")
-    tops = materialise(cells.groupBy("cell").agg(F.max(F.struct("copies", "node", "n", "fp")).alias("top"), F.count("*").alias("m"))
-                       .where("m > 1").selectExpr("cell", "top.node as node2", "top.n as n2", "top.fp as fp2", "m"))
-    hubs = tops.drop("m").unionByName(_middles(cells, tops.where(F.col("m") >= MANY).select("cell")))
+    cells = _cells(full, *HUBS)
+    hubs = (cells.groupBy("cell").agg(F.max(F.struct("copies", "node", "n", "fp")).alias("top"), F.count("*").alias("m"))
+            .where("m > 1").selectExpr("cell", "top.node as node2", "top.n as n2", "top.fp as fp2"))
     to_hub = cells.join(hubs, "cell").where(f"node <> node2 and {_ALIKE}").selectExpr("node as a", "node2 as b")
-    first = materialise(components(_verified(to_hub, nodes, docs)))
-    nodes = materialise(nodes.drop("label").join(first.withColumnRenamed("id", "node"), "node", "left")
-                        .withColumn("label", F.expr("coalesce(label, node)")))
-
-    cells = _cells(nodes.where("n > 0")).select("cell", "node", "n", "fp", "label")
-    other = cells.toDF("cell", "node2", "n2", "fp2", "label2")
-    across = (cells.join(other, "cell").where(f"node < node2 and label <> label2 and {_ALIKE}")
-              .selectExpr("node as a", "node2 as b"))
-    links = _verified(across, nodes, docs)
-    labels = nodes.select("node", "label")
-    between = (links.join(labels.toDF("a", "a_label"), "a").join(labels.toDF("b", "b_label"), "b")
-               .selectExpr("a_label as a", "b_label as b"))
-    second = components(between).toDF("label", "root")
-    return (nodes.join(second, "label", "left").selectExpr("node", "coalesce(root, label) as label", "rep"))
+    labels = _joined(nodes.select("node", F.col("node").alias("label")), _verified(to_hub, nodes, docs))
+
+    cells = full.select("node", F.col("n").cast("int").alias("n"), F.posexplode("firsts").alias("place", "cell"))
+    earliest = (cells.groupBy("cell").agg(F.min(F.struct("place", "node", "n")).alias("top"), F.count("*").alias("m"))
+                .where("m > 1").selectExpr("cell", "top.node as node2", "top.n as n2", "top.place as place2"))
+    shared = materialise(cells.join(materialise(earliest), "cell"))
+    by_node, by_node2 = labels, labels.toDF("node2", "label2")
+    to_earliest = (shared.where(f"node <> node2 and {_ENOUGH}").select("node", "node2").distinct()
+                   .join(by_node, "node").join(by_node2, "node2").where("label <> label2").selectExpr("node as a", "node2 as b"))
+    labels = _joined(labels, _verified(to_earliest, nodes, docs))
+
+    rest = shared.select("cell", "node", "n", "place").join(labels, "node")
+    labels = _joined(labels, _verified(_across(materialise(rest)), nodes, docs))
+    return nodes.select("node", "rep").join(labels, "node").select("node", "label", "rep")
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

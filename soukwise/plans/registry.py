@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from soukwise.operators import deletes, integrity, quality, stock
 from soukwise.plans import business, catalogue, history, insights, merges
-from soukwise.session import materialise, new_folder, settle
+from soukwise.session import deal, materialise, new_folder, settle
 from soukwise.sources import documents, lake, refresh
 from soukwise.sources.model import Marketplace, discounts
-from soukwise.sources.tables import stream_table
+from soukwise.sources.tables import SCHEMAS, stream_table, table_path
 from soukwise.streaming import events as event_streams
 from soukwise.streaming import placement, views
 from soukwise.streaming import stock as stock_stream
@@ -32,9 +32,15 @@ WATCH_VIEWS, WATCH_REVENUE = 10, 500_000
 DELIVERED = ("Delivered",)
 
 
+def prepared(m: Marketplace) -> Marketplace:
+    """The model with its session set for the size of its tables."""
+    deal(settle(m.spark), sum(lake.size_of(m.spark, table_path(m.folder, name)) for name in SCHEMAS))
+    return m
+
+
 def query(build: Callable[[Marketplace], DataFrame]) -> Callable[[Marketplace], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(Marketplace(settle(spark), folder))
+        return build(prepared(Marketplace(spark, folder)))
 
     QUERIES[build.__name__] = run
     BUILDERS[build.__name__] = build
@@ -849,8 +855,7 @@ def query_catalog(spark: SparkSession) -> DataFrame:
 
 def answer(name: str, m: Marketplace) -> DataFrame:
     """A query over any marketplace, for instance one with bucketed tables."""
-    settle(m.spark)
-    return BUILDERS[name](m)
+    return BUILDERS[name](prepared(m))
 
 
 def run_code(code: str, spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:

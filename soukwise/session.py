@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     # Split a skewed join partition even where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Sorts and groupings hold many times what a task reads, so a task reads little, however large the input is.
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     # A Python worker holds few long texts at a time.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
@@ -46,6 +49,23 @@ def settle(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Bytes of input for each part that a shuffle is dealt into, before Spark puts small parts together.
+PART_BYTES = 4 << 20
+
+
+def deal(spark: SparkSession, size: int) -> SparkSession:
+    """Shuffles of jobs over ``size`` bytes of input start with so many parts that a part does not grow with the input.
+
+    A larger number that the session has already is kept.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    usual, stated = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.conf.get(key, None)
+    parts = max(-(-size // PART_BYTES), usual, int(stated or 0))
+    if parts > int(stated or usual):
+        spark.conf.set(key, str(parts))
+    return spark
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

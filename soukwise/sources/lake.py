@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +13,30 @@ from soukwise.operators.quality import coerce_numeric
 from soukwise.session import settle
 
 
+#: What a task of a rebalanced write gets, and with it the size of a file.
+FILE_BYTES = "64m"
+
+
+@contextmanager
+def part_size(spark: SparkSession, size: str) -> Iterator[None]:
+    """Shuffles inside are put together to parts of another size than the session's."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
 def write_by_month(events: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per month. Rows are rebalanced by month, so that a small month gives one
     file and a large one is split over many tasks. Overwriting replaces only the months
     present in ``events``."""
-    (events.hint("rebalance", "event_month").write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-     .partitionBy("event_month").parquet(path))
+    with part_size(events.sparkSession, FILE_BYTES):
+        (events.hint("rebalance", "event_month").write.mode(mode)
+         .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+         .partitionBy("event_month").parquet(path))
 
 
 def read_by_month(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
@@ -36,6 +55,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files of a folder, 0 if there is none, from Spark's own file system layer."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(target).getLength() if system.exists(target) else 0
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, through Spark's own file system layer."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from soukwise.operators import deletes, integrity, quality, stock
 from soukwise.plans import business, catalogue, history, insights, merges
@@ -767,24 +768,26 @@ def stream_stock(m):
 DELIVERIES = 3
 
 
-def _delivered(df: DataFrame, key: str, write: Callable[[DataFrame, str], None]) -> str:
-    """A folder that received ``df`` in deliveries by ascending ranges of a number, one after the other."""
+def _deliver(df: DataFrame, key: str, file_format: str, follow: Callable[[str], StreamingQuery]) -> None:
+    """``df`` arrives in a folder in deliveries by ascending ranges of a number; the stream that ``follow`` starts on the folder
+    takes each one before the next arrives.
+
+    A delivery has as many files as its rows need, and is one micro-batch.
+    """
     path, rows = new_folder(df.sparkSession, "deliveries"), materialise(df)
     cuts = rows.approxQuantile(key, [i / DELIVERIES for i in range(1, DELIVERIES)], 0.01)
     for low, high in zip([None, *cuts], [*cuts, None]):
         part = rows if low is None else rows.where(F.col(key) > low)
         part = part if high is None else part.where(F.col(key) <= high)
-        write(part, path)
-    return path
+        part.write.mode("append").format(file_format).save(path)
+        follow(path).awaitTermination()
 
 
 def _placed(m: Marketplace) -> str:
     """Where the orders of the model were placed, as three deliveries of order documents."""
-    source = _delivered(placement.order_documents(m.bare_lines(), m.orders()), "order_id",
-                        lambda part, path: part.coalesce(1).write.mode("append").json(path))
-    out = new_folder(m.spark, "placed")
-    placement.run_placement(placement.read_orders(m.spark, source, 1), _on_hand(m), out,
-                            new_folder(m.spark, "progress")).awaitTermination()
+    out, progress = new_folder(m.spark, "placed"), new_folder(m.spark, "progress")
+    _deliver(placement.order_documents(m.bare_lines(), m.orders()), "order_id", "json",
+             lambda source: placement.run_placement(placement.read_orders(m.spark, source, None), _on_hand(m), out, progress))
     return out
 
 
@@ -802,10 +805,9 @@ def stream_purchase_events(m):
 
 @query
 def stream_restock(m):
-    source = _delivered(_status_changes(m), "order_id", lambda part, path: part.coalesce(1).write.mode("append").parquet(path))
-    out = new_folder(m.spark, "returned")
-    views.run_returned_units(views.read_changes(m.spark, source, views.STATUS_CHANGE, 1), m.bare_lines(), out,
-                             new_folder(m.spark, "progress")).awaitTermination()
+    out, progress = new_folder(m.spark, "returned"), new_folder(m.spark, "progress")
+    _deliver(_status_changes(m), "order_id", "parquet", lambda source: views.run_returned_units(
+        views.read_changes(m.spark, source, views.STATUS_CHANGE, None), m.bare_lines(), out, progress))
     return views.stock_view(m.spark, _on_hand(m), out)
 
 
@@ -824,11 +826,9 @@ def _review_changes(m: Marketplace) -> DataFrame:
 
 @query
 def stream_seller_rating(m):
-    source = _delivered(_review_changes(m), "order_id",
-                        lambda part, path: part.drop("step").coalesce(1).write.mode("append").parquet(path))
-    out = new_folder(m.spark, "ratings")
-    views.run_rating_sums(views.read_changes(m.spark, source, views.REVIEW_CHANGE, 1), m.products(), out,
-                          new_folder(m.spark, "progress")).awaitTermination()
+    out, progress = new_folder(m.spark, "ratings"), new_folder(m.spark, "progress")
+    _deliver(_review_changes(m).drop("step"), "order_id", "parquet", lambda source: views.run_rating_sums(
+        views.read_changes(m.spark, source, views.REVIEW_CHANGE, None), m.products(), out, progress))
     return views.rating_view(m.spark, m.sellers(), out)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader
 
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -31,6 +32,11 @@ def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.readStream.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parque[t]")
 
 
+def at_most(stream: DataStreamReader, files: int | None) -> DataStreamReader:
+    """A reader of files that gives so many of them to a batch, or all that there are."""
+    return stream if files is None else stream.option("maxFilesPerTrigger", files)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, bounds: tuple[int, int],
               partitions: int, **options: str) -> DataFrame:
     """Relational extract straight from a database, split into ranges of a numeric key."""

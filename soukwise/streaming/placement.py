@@ -19,6 +19,7 @@ from soukwise.operators.stock import allocate_orders, one_line_per_order
 from soukwise.session import materialise
 from soukwise.sources.documents import month_key
 from soukwise.sources.lake import exists, folder_names
+from soukwise.sources.tables import at_most
 
 ORDER_DOCUMENT = """
     order_id bigint, customer_id bigint, session_id string, placed_at timestamp, payment_method string,
@@ -41,10 +42,12 @@ def order_documents(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return heads.join(nested, "order_id")
 
 
-def read_orders(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    """Order documents as a stream; an order delivered again is dropped, by the stream's own state."""
-    return (spark.readStream.schema(ORDER_DOCUMENT).option("maxFilesPerTrigger", files_per_batch).json(folder)
-            .dropDuplicates(["order_id"]))
+def read_orders(spark: SparkSession, folder: str, files_per_batch: int | None = 100) -> DataFrame:
+    """Order documents as a stream; an order delivered again is dropped, by the stream's own state.
+
+    Without a number of files a batch takes all that has arrived.
+    """
+    return at_most(spark.readStream.schema(ORDER_DOCUMENT), files_per_batch).json(folder).dropDuplicates(["order_id"])
 
 
 def purchase_events(accepted: DataFrame) -> DataFrame:

@@ -13,14 +13,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from soukwise.functions.exact import half_up
 from soukwise.operators.stock import RELEASED
+from soukwise.sources.tables import at_most
 
 STATUS_CHANGE = "order_id bigint, old_status string, new_status string"
 #: A new review has no old rating, a deleted one no new rating.
 REVIEW_CHANGE = "order_id bigint, customer_id bigint, product_id bigint, old_rating int, new_rating int"
 
 
-def read_changes(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 100) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+def read_changes(spark: SparkSession, folder: str, schema: str, files_per_batch: int | None = 100) -> DataFrame:
+    """Change rows as a stream; without a number of files a batch takes all that has arrived."""
+    return at_most(spark.readStream.schema(schema), files_per_batch).parquet(folder)
 
 
 def returned_units(changes: DataFrame, lines: DataFrame) -> DataFrame:

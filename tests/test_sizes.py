@@ -1,5 +1,7 @@
 """What one task gets does not grow with the input."""
 
+import glob
+
 import pytest
 
 from soukwise.plans import registry
@@ -47,3 +49,18 @@ def test_months_keep_large_files(spark):
     with lake.part_size(spark, lake.FILE_BYTES):
         assert spark.conf.get(key) == "64m"
     assert spark.conf.get(key) == before == "8m"
+
+
+def test_a_delivery_is_written_by_many_tasks_and_is_one_batch(spark, tmp_path):
+    files, batches = [], {}
+
+    def follow(source):
+        files.append(len(glob.glob(f"{source.removeprefix('file:')}/part-*")))
+        stream = registry.views.read_changes(spark, source, "number bigint", None)
+        return stream.writeStream.foreachBatch(lambda rows, n: batches.update({n: (rows.count(), rows.agg({"number": "max"}).first()[0])})).option(
+            "checkpointLocation", f"{tmp_path}/progress").trigger(availableNow=True).start()
+
+    registry._deliver(spark.range(3000).withColumnRenamed("id", "number").repartition(6), "number", "parquet", follow)
+    assert len(files) == 3 and files[0] > 1 and files[2] - files[1] > 1
+    assert sorted(batches) == [0, 1, 2] and sum(n for n, _ in batches.values()) == 3000
+    assert batches[0][1] < batches[1][1] < batches[2][1] == 2999

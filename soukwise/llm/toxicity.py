@@ -40,6 +40,8 @@ TELLING, KEPT = 50, 4
 REMEMBERED = 1 << 18
 #: Words whose buckets the training remembers, likewise.
 TRAINED = 1 << 14
+#: Rows of embeddings that the training draws and moves at a time, so that the driver holds little beside them.
+ROWS = 1 << 14
 
 
 def subwords(word: str) -> list[int]:
@@ -92,10 +94,13 @@ def embedded(texts: list[str], target: np.ndarray) -> np.ndarray:
     known: Remembered[str, list[int]] = Remembered(subwords, TRAINED)
     bags = [bag(t, known) for t in texts]
     rng = np.random.default_rng(SEED)
-    embed = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
+    embed = np.empty((BUCKETS, WIDTH), np.float32)
+    for at in range(0, BUCKETS, ROWS):
+        embed[at:at + ROWS] = rng.uniform(-1 / WIDTH, 1 / WIDTH, embed[at:at + ROWS].shape)
     weight, offset = np.zeros((WIDTH, 2), np.float32), np.zeros(2, np.float32)
     params = [embed, weight, offset]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    slope = np.empty_like(embed)
     step = 0
     while step < STEPS:
         order = rng.permutation(len(bags))
@@ -114,11 +119,14 @@ def embedded(texts: list[str], target: np.ndarray) -> np.ndarray:
             soft[np.arange(len(chosen)), target[chosen]] -= 1
             soft /= len(chosen)
             back = np.repeat(soft @ weight.T, sizes, axis=0) * weights[:, None]
-            slope = np.stack([np.bincount(buckets, back[:, d], BUCKETS) for d in range(WIDTH)], axis=1)
-            for p, m, v, g in zip(params, first, second, (slope.astype(np.float32), mean.T @ soft, soft.sum(axis=0))):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                p -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+            for d in range(WIDTH):
+                slope[:, d] = np.bincount(buckets, back[:, d], BUCKETS)
+            for whole in zip(params, first, second, (slope, mean.T @ soft, soft.sum(axis=0))):
+                for start in range(0, len(whole[0]), ROWS):
+                    p, m, v, g = (x[start:start + ROWS] for x in whole)
+                    m += 0.1 * (g - m)
+                    v += 0.001 * (g * g - v)
+                    p -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     return embed @ (weight[:, 1] - weight[:, 0])
 
 
